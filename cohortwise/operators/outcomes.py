@@ -21,23 +21,44 @@ HOSP_COLUMNS = [
 ]
 
 
-def primary_care_outcomes(events: DataFrame, read_lookup: DataFrame) -> DataFrame:
-    """GP events whose code is a non-sensitive code of a concept, distinct,
-    ranked per (concept, person) by event date (ties share a rank)."""
+GP_RANK_ORDER = ["event_dt"]
+HOSP_RANK_ORDER = ["admis_dt", "disch_dt", "epi_str_dt", "epi_end_dt"]
+
+
+def match_primary_care(events: DataFrame, read_lookup: DataFrame) -> DataFrame:
+    """Distinct GP events whose code is a non-sensitive code of a concept."""
     lookup = read_lookup.where(F.col("sensitive") == 0).select(
         F.col("code").alias("event_cd"), F.col("description").alias("event_cd_desc"), "concept"
     )
-    matched = events.join(small_side(lookup), "event_cd").select(*GP_COLUMNS).distinct()
-    return rank_within(matched, ["concept", "person_id"], ["event_dt"], "event_seq")
+    return events.join(small_side(lookup), "event_cd").select(*GP_COLUMNS).distinct()
+
+
+def rank_events(matched: DataFrame, order: list[str]) -> DataFrame:
+    """Add ``event_seq``: rank per (concept, person) by ``order`` (ties share a
+    rank, gaps follow)."""
+    return rank_within(matched, ["concept", "person_id"], order, "event_seq")
+
+
+def primary_care_outcomes(events: DataFrame, read_lookup: DataFrame) -> DataFrame:
+    """GP events whose code is a non-sensitive code of a concept, distinct,
+    ranked per (concept, person) by event date (ties share a rank)."""
+    return rank_events(match_primary_care(events, read_lookup), GP_RANK_ORDER)
 
 
 def hospital_outcomes(
     diag: DataFrame, episodes: DataFrame, spells: DataFrame, icd_lookup: DataFrame, icd_dict: DataFrame
+) -> DataFrame:
+    """Hospital diagnoses matched to concepts (see ``match_hospital``), ranked
+    per (concept, person) by admission, discharge, episode start and end."""
+    return rank_events(match_hospital(diag, episodes, spells, icd_lookup, icd_dict), HOSP_RANK_ORDER)
+
+
+def match_hospital(
+    diag: DataFrame, episodes: DataFrame, spells: DataFrame, icd_lookup: DataFrame, icd_dict: DataFrame
 ) -> DataFrame:
     """Diagnoses matched on their 3-character code to 3-character lookup codes
     (4-character text from the dictionary) or on their 4-character code to
-    4-character lookup codes, with episode and spell dates; distinct and
-    ranked per (concept, person) by admission, discharge, episode start, end.
+    4-character lookup codes, with episode and spell dates; distinct.
 
     The small lookups filter the diagnoses first, so only matched diagnoses
     reach the joins with episodes and spells.
@@ -58,13 +79,12 @@ def hospital_outcomes(
     matched = m3.select(*dcols).unionByName(m4.select(*dcols))
     epi = episodes.select("provider_cd", "spell_id", "epi_num", "epi_str_dt", "epi_end_dt")
     spl = spells.select("provider_cd", "spell_id", "person_id", "admis_dt", "disch_dt")
-    rows = (
+    return (
         matched.join(epi, ["provider_cd", "spell_id", "epi_num"])
         .join(spl, ["provider_cd", "spell_id"])
         .select(*HOSP_COLUMNS)
         .distinct()
     )
-    return rank_within(rows, ["concept", "person_id"], ["admis_dt", "disch_dt", "epi_str_dt", "epi_end_dt"], "event_seq")
 
 
 def single_concept_outcomes(

@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortwise.operators import codelists as K
 from cohortwise.operators import extract as E
@@ -26,7 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _study(spark: SparkSession, sf_dir: str) -> Study:
-    return Study(spark, sf_dir)
+    return Study.shared(spark, sf_dir)
 
 
 def q_consort_flow(spark, sf_dir):

@@ -34,7 +34,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     read from the session. Only when it is unset (local tests) a local
     temporary folder is created and registered as the checkpoint folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - e.g. remote sessions without a context
+            base = None
     if not base:
         base = tempfile.mkdtemp(prefix="cohortwise-")
         spark.sparkContext.setCheckpointDir(base)

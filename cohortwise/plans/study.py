@@ -35,7 +35,27 @@ LINKAGE_GROUPS = {
 }
 
 
+_CATALOG: dict[tuple[str, str], "Study"] = {}
+
+
 class Study:
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "Study":
+        """The study of ``sf_dir`` for this Spark application.
+
+        Like the tables a study keeps between its scripts, stages materialized
+        by one query (cohort, outcomes, ...) are reused by the next one in the
+        same application instead of being rebuilt.
+        """
+        try:
+            app = spark.conf.get("spark.app.id")
+        except Exception:  # noqa: BLE001 - sessions without the setting
+            app = str(id(spark))
+        key = (app, sf_dir)
+        if key not in _CATALOG:
+            _CATALOG[key] = cls(spark, sf_dir)
+        return _CATALOG[key]
+
     def __init__(
         self, spark: SparkSession, sf_dir: str, window: StudyWindow = DEFAULT_WINDOW, checkpoint: bool = True
     ):
@@ -254,17 +274,25 @@ class Study:
         return K.codelist_diff(new, published)
 
     # ---- outcomes -----------------------------------------------------------
+    @cached_property
+    def gp_matched(self) -> DataFrame:
+        return self._cut(O.match_primary_care(self.fx.gp_event, self.read_lookup))
+
     @cached_property
     def gp_outcomes(self) -> DataFrame:
-        return self._cut(O.primary_care_outcomes(self.fx.gp_event, self.read_lookup))
+        return self._cut(O.rank_events(self.gp_matched, O.GP_RANK_ORDER))
 
     @cached_property
-    def hosp_outcomes(self) -> DataFrame:
+    def hosp_matched(self) -> DataFrame:
         fx = self.fx
         return self._cut(
-            O.hospital_outcomes(fx.hospital_diag, fx.hospital_episode, fx.hospital_spell, self.icd_lookup, fx.icd10_dict)
+            O.match_hospital(fx.hospital_diag, fx.hospital_episode, fx.hospital_spell, self.icd_lookup, fx.icd10_dict)
         )
 
+    @cached_property
+    def hosp_outcomes(self) -> DataFrame:
+        return self._cut(O.rank_events(self.hosp_matched, O.HOSP_RANK_ORDER))
+
     # ---- report -------------------------------------------------------------
     @cached_property
     def gp_aged(self) -> DataFrame:
