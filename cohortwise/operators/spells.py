@@ -26,26 +26,85 @@ def merge_spells(
     island early); ``rule="running_max"`` measures against the furthest end
     seen so far. Entry is clamped up to the window start, an exit after the
     window end becomes the open-end sentinel, and islands are numbered by their
-    unclamped dates.
+    unclamped dates. Spell ends must not be null (use the open-end sentinel).
 
-    Identical (person, start, end) rows always fall into the same island, so
-    they are removed first: the windows then run on distinct spells only.
+    Parallel shape: no window runs over all spells of a person. Copies of one
+    (person, start, end) spell are counted first. Extra copies only matter for
+    a malformed spell that ends two or more days before it starts: the second
+    copy then closes the island of the first and opens its own, and a third
+    adds the single-spell island (start, end); further copies repeat islands
+    already present in the result set. So at most three copies are kept, which
+    gives exactly the same islands. Then
+
+    * per (person, start day) aggregates -- the last end of the day, how many
+      of its spells open an island -- are chained over a person's start days
+      (at most one row per calendar day), giving each day the end of the
+      previous spell and the number of islands opened before it;
+    * inside one (person, start day) the spells are ordered by end (at most
+      three rows per calendar day) to finish the previous-end chain and number
+      the island openers.
+
+    A person with a huge share of the spells is therefore spread over its
+    start days, and every window is bounded by the calendar, not the data.
     """
     if rule not in ("pairwise", "running_max"):
         raise ValueError(f"unknown rule {rule!r}")
-    spells = rows.select(F.col(person).alias("person_id"), F.col(start).alias("s"), F.col(end).alias("e")).distinct()
-    ordered = Window.partitionBy("person_id").orderBy("s", "e")
+    gap = window.gap_days
+    spells = (
+        rows.select(F.col(person).alias("person_id"), F.col(start).alias("s"), F.col(end).alias("e"))
+        .repartition("person_id", "s")
+        .groupBy("person_id", "s", "e")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .select("person_id", "s", "e", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(3)))).alias("copy"))
+    )
+
+    # One row per (person, start day). ``small`` counts ends at least ``gap``
+    # days before the start (only malformed spells, end < start - 1, have them).
+    far = F.date_diff(F.col("s"), F.col("e")) >= gap
+    per_day = spells.groupBy("person_id", "s").agg(
+        F.max("e").alias("last_e"),
+        F.sum(F.when(far, 1).otherwise(0)).alias("small"),
+    )
+    days = Window.partitionBy("person_id").orderBy("s")
+    earlier = days.rowsBetween(Window.unboundedPreceding, -1)
+    if rule == "pairwise":
+        prev_day_e = F.lag("last_e").over(days)
+    else:
+        prev_day_e = F.max("last_e").over(earlier)
+    per_day = per_day.withColumn("prev_day_e", prev_day_e)
+    first_new = F.col("prev_day_e").isNull() | (F.date_diff(F.col("s"), F.col("prev_day_e")) >= gap)
+    # Spells after the first of the day compare with the previous end of the
+    # same day, which is one of the day's ends except the last one.
+    rest_small = F.col("small") - F.when(F.date_diff(F.col("s"), F.col("last_e")) >= gap, 1).otherwise(0)
+    if rule == "pairwise":
+        rest_new = rest_small
+    else:
+        rest_new = F.when(first_new, rest_small).otherwise(0)
+    per_day = per_day.withColumn("n_new", F.when(first_new, 1).otherwise(0) + rest_new)
+    per_day = per_day.select(
+        "person_id",
+        "s",
+        "prev_day_e",
+        F.coalesce(F.sum("n_new").over(earlier), F.lit(0)).alias("offset"),
+    )
+
+    in_day = Window.partitionBy("person_id", "s").orderBy("e")
+    prev_in_day = F.lag("e").over(in_day)
     if rule == "pairwise":
-        prev_end = F.lag("e").over(ordered)
+        prev_end = F.coalesce(prev_in_day, F.col("prev_day_e"))
     else:
-        prev_end = F.max("e").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    starts_island = F.when(prev_end.isNull() | (F.date_diff("s", prev_end) >= window.gap_days), 1).otherwise(0)
-    tagged = spells.withColumn("new_island", starts_island).withColumn(
-        "island", F.sum("new_island").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        prev_end = F.greatest(prev_in_day, F.col("prev_day_e"))
+    opens = F.when(prev_end.isNull() | (F.date_diff(F.col("s"), prev_end) >= gap), 1).otherwise(0)
+    tagged = spells.join(per_day, ["person_id", "s"]).withColumn("opens", opens)
+    tagged = tagged.withColumn(
+        "island",
+        F.col("offset") + F.sum("opens").over(in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
     )
     last_end = F.max(F.struct("s", "e"))["e"] if rule == "pairwise" else F.max("e")
     islands = tagged.groupBy("person_id", "island").agg(F.min("s").alias("s"), last_end.alias("e"))
     # Two islands can only coincide on malformed spells (end < start); keep one.
+    # Islands of well-formed spells have distinct start days, so this window is
+    # bounded by the calendar too.
     islands = islands.select("person_id", "s", "e").distinct()
     numbered = Window.partitionBy("person_id").orderBy("s", "e")
     return islands.select(

@@ -93,3 +93,34 @@ def test_unknown_rule_rejected(spark):
     df = spark.createDataFrame([(1, d("2000-01-01"), d("2000-01-02"))], "person_id long, active_from date, active_to date")
     with pytest.raises(ValueError):
         merge_spells(df, W, rule="other")
+
+
+def _brute_pairwise(spells, gap=2):
+    rows = sorted(spells)  # duplicates kept, as in the row-by-row rule
+    out, start = [], None
+    for i, (s, e) in enumerate(rows):
+        if i == 0 or (s - rows[i - 1][1]).days >= gap:
+            if start is not None:
+                out.append((start, rows[i - 1][1]))
+            start = s
+    out.append((start, rows[-1][1]))
+    return sorted(set(out))
+
+
+def test_pairwise_matches_brute_force_with_duplicates_and_malformed_spells(spark):
+    rng = random.Random(11)
+    rows = []
+    for p in range(60):
+        for _ in range(rng.randint(1, 8)):
+            s = dt.date(2000, 1, 1) + dt.timedelta(days=rng.randint(0, 60))
+            e = s + dt.timedelta(days=rng.randint(-5, 20))  # some end before they start
+            rows.append((p, s, e))
+            if rng.random() < 0.2:
+                rows.append((p, s, e))
+    df = spark.createDataFrame(rows, "person_id long, active_from date, active_to date")
+    got = {}
+    for r in merge_spells(df, WIDE, rule="pairwise").collect():
+        got.setdefault(r.person_id, []).append((r.rw_seq, r.entry_dt, r.exit_dt))
+    for p in range(60):
+        expect = _brute_pairwise([(s, e) for q, s, e in rows if q == p])
+        assert sorted(got[p]) == [(i + 1, s, e) for i, (s, e) in enumerate(expect)]
