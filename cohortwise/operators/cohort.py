@@ -19,11 +19,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortwise.functions.dates import OPEN_END, days_between, open_end
 from cohortwise.functions.study import StudyWindow
+from cohortwise.operators.ranking import row_number_within
 
 # Deprivation quintile labels and cohort text labels.
 MOST_DEPRIVED = "1. Most Deprived"
@@ -348,8 +349,7 @@ def cohort_evolution(history: DataFrame, cohort: DataFrame, areas: DataFrame, wi
         "entry_dt", "area_start_dt", "area_end_dt", "area_quintile", "exit_dt",
         "birth_dt", "death_dt", "sex_cd", "age_at_start", "exit_reason",
     ]
-    w = Window.partitionBy("person_id").orderBy(*[F.col(c).asc_nulls_first() for c in tie_break])
-    return base.withColumn("rw_seq", F.row_number().over(w).cast("int"))
+    return row_number_within(base, ["person_id"], tie_break, "rw_seq", lead=2)
 
 
 def consort_flow(steps: Sequence[tuple[str, DataFrame]], person: str = "person_id") -> DataFrame:

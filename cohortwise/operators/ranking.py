@@ -30,3 +30,36 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
     )
     cond = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(cols)]
     return df.join(ranks, cond, "inner").select(*df.columns, name)
+
+
+def row_number_within(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, lead: int = 1
+) -> DataFrame:
+    """SQL ``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)`` (ascending,
+    nulls first), computed in two levels.
+
+    The first ``lead`` order columns (dates) form a bucket. Rows are counted per
+    (keys, bucket); a window over these counts -- at most one row per distinct
+    bucket value, bounded by the calendar -- gives each bucket the number of
+    rows before it, and a row_number inside (keys, bucket) over the remaining
+    order columns completes the numbering. Rows that tie on every order column
+    are interchangeable, so the numbering equals the one-level window's.
+    """
+    keys, order = list(keys), list(order)
+    lead_cols, rest = order[:lead], order[lead:]
+    bucket = keys + lead_cols
+    counts = df.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in lead_cols]).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = counts.select(
+        *[F.col(c).alias(f"_b{i}") for i, c in enumerate(bucket)],
+        F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"),
+    )
+    inner = Window.partitionBy(*bucket).orderBy(*[F.col(c).asc_nulls_first() for c in rest] or [F.lit(1)])
+    cond = [F.col(c).eqNullSafe(F.col(f"_b{i}")) for i, c in enumerate(bucket)]
+    return (
+        df.join(offsets, cond, "inner")
+        .withColumn(name, (F.col("_offset") + F.row_number().over(inner)).cast("int"))
+        .select(*df.columns, name)
+    )

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from cohortwise.functions.dates import full_years
 from cohortwise.functions.rounding import round_to
 from cohortwise.functions.study import StudyWindow
+from cohortwise.operators.ranking import row_number_within
 
 # Report layout.
 SOURCES = ("gp", "hosp")
@@ -61,19 +62,30 @@ def enrich_events(
     event date (null when none; one row per distinct quintile when several
     spells match) and number each person's events by date.
 
-    The interval match is an equi join on the person with a range condition;
-    it runs on distinct (concept, person, date, code) keys only. With
+    The interval match runs on distinct (concept, person, date, code) keys.
+    It is an equi join on (person, year) followed by the exact range test:
+    each spell is listed once per calendar year it covers (years after the
+    current date fold into the current year), so an event only meets the
+    spells of its own year instead of every spell of the person. With
     ``cohort`` the rows are restricted to (and repeated per row of) the
-    cohort, as in a plain inner join.
+    cohort, as in a plain inner join. Events are numbered per (concept,
+    person) by ``order`` with a two-level row number (see
+    ``row_number_within``).
     """
     keys = ["concept", "person_id", date_col, code_col]
-    spells = history.select(
+    horizon = F.current_date()
+
+    def year_of(c):
+        return F.year(F.least(c, horizon))
+
+    spells = history.where(F.col("active_from") <= F.col("active_to")).select(
         "person_id", F.col("active_from").alias("_from"), F.col("active_to").alias("_to"),
         F.col("dep1_quintile").alias("area_quintile"),
+        F.explode(F.sequence(year_of(F.col("active_from")), year_of(F.col("active_to")))).alias("_year"),
     )
-    ev = outcomes.select(*keys).distinct()
+    ev = outcomes.select(*keys).distinct().withColumn("_year", year_of(F.col(date_col)))
     quint = (
-        ev.join(spells, "person_id")
+        ev.join(spells, ["person_id", "_year"])
         .where(F.col(date_col).between(F.col("_from"), F.col("_to")))
         .select(*keys, "area_quintile")
         .distinct()
@@ -83,8 +95,7 @@ def enrich_events(
     tot = aged.join(q, cond, "left").select(*aged.columns, "area_quintile").distinct()
     if cohort is not None:
         tot = tot.join(cohort.select("person_id"), "person_id")
-    w = Window.partitionBy("concept", "person_id").orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return tot.withColumn("num_event", F.row_number().over(w).cast("int"))
+    return row_number_within(tot, ["concept", "person_id"], order, "num_event")
 
 
 def first_events(enriched: DataFrame, order: Sequence[str]) -> DataFrame:

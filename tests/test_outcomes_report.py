@@ -80,3 +80,33 @@ def test_person_counts_either_source(spark):
     c, dd = out["C"], out["D"]
     assert (c.n_persons_gp, c.n_persons_hosp, c.n_persons_any, c.n_male_any, c.n_female_any) == (2, 2, 3, 1, 1)
     assert dd.n_persons_gp is None and dd.n_persons_hosp == 1
+
+
+def test_row_number_within_matches_window(spark):
+    from cohortwise.operators.ranking import row_number_within
+
+    rng = random.Random(5)
+    rows = [(rng.randint(0, 2), rng.choice([None, d("2000-01-01"), d("2000-01-02")]), rng.randint(0, 3), i)
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, day date, x int, uid int")
+    order = ["day", "x", "uid"]
+    ours = row_number_within(df, ["k"], order, "rn")
+    w = Window.partitionBy("k").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    ref = df.withColumn("rn", F.row_number().over(w))
+    assert Counter(map(tuple, ours.collect())) == Counter(map(tuple, ref.collect()))
+
+
+def test_event_on_shared_spell_boundary_gets_both_quintiles(spark):
+    outcomes = spark.createDataFrame(
+        [("C", 1, d("2000-03-01"), "X1"), ("C", 1, d("1999-01-01"), "X1")],
+        "concept string, person_id long, event_dt date, event_cd string",
+    )
+    aged = outcomes.withColumns({"sex_cd": F.lit(1), "age_event": F.lit(40)})
+    history = spark.createDataFrame(
+        [(1, d("2000-01-01"), d("2000-03-01"), 1), (1, d("2000-03-01"), d("9999-01-01"), 4)],
+        "person_id long, active_from date, active_to date, dep1_quintile int",
+    )
+    out = R.enrich_events(aged, outcomes, history, "event_dt", "event_cd", ["event_dt", "event_cd", "area_quintile"])
+    got = sorted((r.event_dt.isoformat(), r.area_quintile if r.area_quintile is not None else -1, r.num_event)
+                 for r in out.collect())
+    assert got == [("1999-01-01", -1, 1), ("2000-03-01", 1, 2), ("2000-03-01", 4, 3)]
