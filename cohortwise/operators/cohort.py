@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from cohortwise.functions.dates import OPEN_END, days_between, open_end
 from cohortwise.functions.study import StudyWindow
 from cohortwise.operators.ranking import row_number_within
+from cohortwise.plans.sizing import small_side
 
 # Deprivation quintile labels and cohort text labels.
 MOST_DEPRIVED = "1. Most Deprived"
@@ -165,7 +166,7 @@ def deprivation_lookup(areas: DataFrame) -> DataFrame:
 
 def deprivation_map(rows: DataFrame, areas: DataFrame, window: StudyWindow) -> DataFrame:
     """Attach deprivation quintiles by area and a died-by-window-end flag."""
-    lookup = deprivation_lookup(areas)
+    lookup = small_side(deprivation_lookup(areas))
     eth_cols = [c for c in rows.columns if c.startswith("ethn_")]
     return rows.join(lookup, "area_cd", "left").select(
         "person_id",
@@ -301,7 +302,7 @@ def residence_history(spells: DataFrame, cohort: DataFrame, areas_wide: DataFram
             & (F.col("active_from") <= F.lit(window.end))
         )
         .join(cohort.select("person_id").distinct(), "person_id", "left_semi")
-        .join(areas_wide, "area_cd")
+        .join(small_side(areas_wide), "area_cd")
         .select(
             "person_id",
             "active_from",
@@ -329,7 +330,7 @@ def cohort_evolution(history: DataFrame, cohort: DataFrame, areas: DataFrame, wi
             cohort.select("person_id", "birth_dt", "death_dt", "sex_cd", "age_at_start", "exit_reason", "entry_dt", "exit_dt"),
             "person_id",
         )
-        .join(areas.select("area_cd", F.col("dep1_quintile").alias("area_quintile")), "area_cd")
+        .join(small_side(areas.select("area_cd", F.col("dep1_quintile").alias("area_quintile"))), "area_cd")
         .select(
             "person_id",
             "birth_dt",
