@@ -328,3 +328,9 @@ def concept_report(
                 name = f"n_{sex}_{band}_{src}"
                 out.append(F.when(present[src], round_to(F.coalesce(F.col(name), F.lit(0)), base)).alias(name))
     return report.select(*out)
+
+
+def write_report_csv(report: DataFrame, path: str) -> None:
+    """Write the report (one row per concept, so bounded by the number of
+    concepts) as a single CSV file with a header, sorted by concept."""
+    report.orderBy("concept").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
