@@ -101,7 +101,10 @@ def enrich_events(
 def first_events(enriched: DataFrame, order: Sequence[str]) -> DataFrame:
     """The first event of each (concept, person) in ``order`` (ties broken by
     the listed columns) -> (concept, person_id, sex_cd, age_event).
-    Equivalent to ``num_event == 1`` but aggregated map-side."""
+    Rows numbered by ``enrich_events`` already carry it as ``num_event == 1``;
+    otherwise it is a map-side ``min`` over a struct."""
+    if "num_event" in enriched.columns:
+        return enriched.where(F.col("num_event") == 1).select("concept", "person_id", "sex_cd", "age_event")
     first = F.min(F.struct(*[F.col(c) for c in order], F.col("age_event").alias("_age"), F.col("sex_cd").alias("_sex")))
     return enriched.groupBy("concept", "person_id").agg(first.alias("_f")).select(
         "concept", "person_id", F.col("_f._sex").alias("sex_cd"), F.col("_f._age").alias("age_event")

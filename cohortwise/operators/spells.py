@@ -9,6 +9,24 @@ from cohortwise.functions.dates import OPEN_END
 from cohortwise.functions.study import StudyWindow
 
 
+_EPOCH = "1970-01-01"
+_DAY0 = 719162  # days from 0001-01-01 to 1970-01-01: shifts every date to >= 0
+_SPAN = 1 << 22  # more days than 0001-01-01 .. 9999-12-31
+
+
+def _days(c):
+    return F.date_diff(c, F.lit(_EPOCH)).cast("long") + _DAY0
+
+
+def _pack(s, e):
+    """(start, end) -> one long ordered like the pair."""
+    return _days(s) * _SPAN + _days(e)
+
+
+def _unpack_end(v):
+    return F.date_add(F.lit(_EPOCH).cast("date"), (v % _SPAN - _DAY0).cast("int"))
+
+
 def merge_spells(
     rows: DataFrame,
     window: StudyWindow,
@@ -100,7 +118,12 @@ def merge_spells(
         "island",
         F.col("offset") + F.sum("opens").over(in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
     )
-    last_end = F.max(F.struct("s", "e"))["e"] if rule == "pairwise" else F.max("e")
+    if rule == "pairwise":
+        # End of the island's last spell in (start, end) order: the maximum of
+        # (start, end) packed into one long keeps this a hash aggregate.
+        last_end = _unpack_end(F.max(_pack(F.col("s"), F.col("e"))))
+    else:
+        last_end = F.max("e")
     islands = tagged.groupBy("person_id", "island").agg(F.min("s").alias("s"), last_end.alias("e"))
     # Two islands can only coincide on malformed spells (end < start); keep one.
     # Islands of well-formed spells have distinct start days, so this window is
