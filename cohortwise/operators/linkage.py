@@ -1,9 +1,10 @@
 """Which data sources hold records for each cohort member.
 
-Each source contributes the distinct person ids that have a record inside a
-date range. All sources are tagged and unioned, so the per-person flags come
-from a single aggregation over one shuffle by person (combined map-side), and
-one left join from the cohort's persons supplies the zeros.
+Each source contributes the person ids of its records inside a date range.
+All sources are tagged and unioned, so the per-person flags come from a
+single aggregation over one shuffle by person (combined map-side, which also
+removes repeated ids), and one left join from the cohort's persons supplies
+the zeros.
 """
 
 from __future__ import annotations
@@ -28,9 +29,11 @@ def record_keys(
     source: DataFrame, date_col: str | None = None, lo: dt.date | None = None, hi: dt.date | None = None,
     person: str = "person_id",
 ) -> DataFrame:
-    """Distinct persons with a record whose date lies in [lo, hi]."""
+    """Person ids of records whose date lies in [lo, hi] (one per record;
+    ``source_flag`` and ``linkage_table`` de-duplicate while aggregating, so
+    no separate shuffle is spent on it here)."""
     rows = source if date_col is None else source.where(_in_range(date_col, lo, hi))
-    return rows.select(F.col(person).alias("person_id")).distinct()
+    return rows.select(F.col(person).alias("person_id"))
 
 
 def record_keys_via_parent(
@@ -40,14 +43,14 @@ def record_keys_via_parent(
     """Persons of child records that carry no person id themselves: the id
     comes from the parent record with the same keys; the date is the child's."""
     c = child.where(_in_range(date_col, lo, hi)).select(*keys)
-    return c.join(parent.select(*keys, "person_id"), list(keys)).select("person_id").distinct()
+    return c.join(parent.select(*keys, "person_id"), list(keys)).select("person_id")
 
 
 def registry_keys(cohort: DataFrame, registry: DataFrame, cohort_date_col: str, hi: dt.date) -> DataFrame:
     """Cohort persons whose own registry-derived date is on or before ``hi``
     and who appear in the registry."""
     c = cohort.where(F.col(cohort_date_col) <= F.lit(hi)).select("person_id")
-    return c.join(registry.select("person_id"), "person_id", "left_semi").distinct()
+    return c.join(registry.select("person_id"), "person_id", "left_semi")
 
 
 def source_flag(cohort: DataFrame, keys: DataFrame, name: str = "flag") -> DataFrame:
