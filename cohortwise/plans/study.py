@@ -57,25 +57,48 @@ class Study:
         return _CATALOG[key]
 
     def __init__(
-        self, spark: SparkSession, sf_dir: str, window: StudyWindow = DEFAULT_WINDOW, checkpoint: bool = True
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        window: StudyWindow = DEFAULT_WINDOW,
+        checkpoint: bool = True,
+        materialize: str = "checkpoint",
     ):
         self.spark = spark
         self.sf_dir = sf_dir
         self.w = window
         self.fx = Fixtures(ParquetTables(spark, sf_dir))
         self._checkpoint = checkpoint
+        self._materialize = materialize
+        self._root = None
         if checkpoint:
-            shared_dir(spark, "ckpt")  # makes sure a reliable checkpoint folder is set
+            try:
+                self._root = shared_dir(spark, "study")  # shared folder under spark.checkpoint.dir
+            except Exception:  # noqa: BLE001 - sessions that cannot name a folder: keep lineage
+                self._checkpoint = False
 
-    def _cut(self, df: DataFrame) -> DataFrame:
+    def _cut(self, df: DataFrame, name: str = "stage") -> DataFrame:
         """Materialize a stage that later steps reuse several times.
 
-        A reliable checkpoint in the cluster's checkpoint folder: later plans
-        start from the written rows instead of re-planning (and possibly
-        recomputing) the chain, and a lost executor does not force the chain
-        to be recomputed from the sources.
+        The rows are written once to the cluster's shared checkpoint folder,
+        by default as a reliable ``checkpoint()``, which keeps the stage's
+        partitioning (by person for the cohort stages) so later joins on the
+        person do not shuffle it again; ``materialize="parquet"`` writes a
+        Parquet table instead (columnar, column-pruned reads, real sizes for
+        the planner). Later plans start from the written rows instead of
+        re-planning and recomputing the chain, and a lost executor does not
+        force a recomputation from the sources.
         """
-        return df.checkpoint(eager=True) if self._checkpoint else df
+        if not self._checkpoint:
+            return df
+        if self._materialize == "checkpoint":
+            return df.checkpoint(eager=True)
+        import os
+        import uuid
+
+        path = os.path.join(self._root, f"{name}-{uuid.uuid4().hex[:8]}")
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     # ---- cohort -------------------------------------------------------------
     @cached_property
@@ -100,11 +123,11 @@ class Study:
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return self._cut(C.cohort_start_flags(self.deprived, self.w))
+        return self._cut(C.cohort_start_flags(self.deprived, self.w), "flagged")
 
     @cached_property
     def islands(self) -> DataFrame:
-        return self._cut(merge_spells(self.flagged, self.w))
+        return self._cut(merge_spells(self.flagged, self.w), "islands")
 
     @cached_property
     def breaks(self) -> DataFrame:
@@ -120,11 +143,11 @@ class Study:
 
     @cached_property
     def cohort(self) -> DataFrame:
-        return self._cut(C.cohort_table(self.flagged, self.islands, self.reasons, self.baseline, self.w))
+        return self._cut(C.cohort_table(self.flagged, self.islands, self.reasons, self.baseline, self.w), "cohort")
 
     @cached_property
     def history(self) -> DataFrame:
-        return self._cut(C.residence_history(self.fx.residence, self.cohort, self.fx.areas, self.w))
+        return self._cut(C.residence_history(self.fx.residence, self.cohort, self.fx.areas, self.w), "history")
 
     @cached_property
     def evolution(self) -> DataFrame:
@@ -276,22 +299,23 @@ class Study:
     # ---- outcomes -----------------------------------------------------------
     @cached_property
     def gp_matched(self) -> DataFrame:
-        return self._cut(O.match_primary_care(self.fx.gp_event, self.read_lookup))
+        return self._cut(O.match_primary_care(self.fx.gp_event, self.read_lookup), "gp_matched")
 
     @cached_property
     def gp_outcomes(self) -> DataFrame:
-        return self._cut(O.rank_events(self.gp_matched, O.GP_RANK_ORDER))
+        return self._cut(O.rank_events(self.gp_matched, O.GP_RANK_ORDER), "gp_outcomes")
 
     @cached_property
     def hosp_matched(self) -> DataFrame:
         fx = self.fx
         return self._cut(
-            O.match_hospital(fx.hospital_diag, fx.hospital_episode, fx.hospital_spell, self.icd_lookup, fx.icd10_dict)
+            O.match_hospital(fx.hospital_diag, fx.hospital_episode, fx.hospital_spell, self.icd_lookup, fx.icd10_dict),
+            "hosp_matched",
         )
 
     @cached_property
     def hosp_outcomes(self) -> DataFrame:
-        return self._cut(O.rank_events(self.hosp_matched, O.HOSP_RANK_ORDER))
+        return self._cut(O.rank_events(self.hosp_matched, O.HOSP_RANK_ORDER), "hosp_outcomes")
 
     # ---- report -------------------------------------------------------------
     @cached_property
@@ -305,11 +329,13 @@ class Study:
     @cached_property
     def gp_enriched(self) -> DataFrame:
         return self._cut(
-            R.enrich_events(self.gp_aged, self.gp_outcomes, self.history, "event_dt", "event_cd", R.GP_ORDER, self.cohort)
+            R.enrich_events(self.gp_aged, self.gp_outcomes, self.history, "event_dt", "event_cd", R.GP_ORDER, self.cohort),
+            "gp_enriched",
         )
 
     @cached_property
     def hosp_enriched(self) -> DataFrame:
         return self._cut(
-            R.enrich_events(self.hosp_aged, self.hosp_outcomes, self.history, "admis_dt", "diag_cd", R.HOSP_ORDER)
+            R.enrich_events(self.hosp_aged, self.hosp_outcomes, self.history, "admis_dt", "diag_cd", R.HOSP_ORDER),
+            "hosp_enriched",
         )
