@@ -28,8 +28,6 @@ from cohortwise.operators.ranking import row_number_within
 from cohortwise.plans.sizing import small_side
 
 # Deprivation quintile labels and cohort text labels.
-MOST_DEPRIVED = "1. Most Deprived"
-LEAST_DEPRIVED = "5. Least Deprived"
 QUINTILE_LABELS = {1: "1. Most Deprived", 2: "2.", 3: "3.", 4: "4.", 5: "5. Least Deprived"}
 SEX_LABELS = {1: "Male", 2: "Female"}
 START_LABELS = {1: "Joined the cohort on COHORT_ST_DT", 0: "Joined the cohort after COHORT_ST_DT"}

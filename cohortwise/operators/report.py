@@ -21,8 +21,6 @@ from cohortwise.functions.study import StudyWindow
 from cohortwise.operators.ranking import row_number_within
 
 # Report layout.
-SOURCES = ("gp", "hosp")
-SEX_GROUPS = {1: "male", 2: "female"}
 BANDS = [f"{lo}_{lo + 9}" for lo in range(0, 100, 10)]
 SKIPPED_CONCEPT_PARTS = ("ALL_MEDICATIONS", "PAIN_MEDICATIONS")
 
