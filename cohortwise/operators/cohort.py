@@ -43,11 +43,12 @@ def _label(col, labels: dict):
     return expr
 
 
-def _agree_or_one_sided(own, reg, both_null_ok: bool):
-    ok = (own.isNotNull() & reg.isNotNull() & (own == reg)) | (own.isNotNull() & reg.isNull()) | (
-        own.isNull() & reg.isNotNull()
-    )
-    return ok | (own.isNull() & reg.isNull()) if both_null_ok else ok
+def _consistent(own, reg, allow_both_missing: bool):
+    """Equal, or known on exactly one side (or, if allowed, on neither)."""
+    one_sided = own.isNull() != reg.isNull()
+    if allow_both_missing:
+        return F.coalesce(own == reg, F.lit(True))
+    return F.coalesce(own == reg, one_sided)
 
 
 def valid_registry_people(spells: DataFrame, births: DataFrame, deaths: DataFrame) -> DataFrame:
@@ -61,12 +62,12 @@ def valid_registry_people(spells: DataFrame, births: DataFrame, deaths: DataFram
     d = deaths.select("person_id", F.col("death_dt").alias("reg_d"))
     birth_ok = (
         s.join(b, "person_id", "left")
-        .where(_agree_or_one_sided(F.col("own_b"), F.col("reg_b"), both_null_ok=False))
+        .where(_consistent(F.col("own_b"), F.col("reg_b"), allow_both_missing=False))
         .select("person_id")
     )
     death_ok = (
         s.join(d, "person_id", "left")
-        .where(_agree_or_one_sided(F.col("own_d"), F.col("reg_d"), both_null_ok=True))
+        .where(_consistent(F.col("own_d"), F.col("reg_d"), allow_both_missing=True))
         .select("person_id")
     )
     return birth_ok.distinct().join(death_ok.distinct(), "person_id", "left_semi")
@@ -220,15 +221,9 @@ def exit_reason(rows: DataFrame, islands: DataFrame, breaks: DataFrame, window:
     up (with or without a later re-entry); otherwise null."""
     first = islands.where(F.col("rw_seq") == 1).select("person_id", F.col("exit_dt").alias("end_overlap"))
     j = rows.select("person_id", "death_dt").join(first, "person_id").join(breaks, "person_id")
-    death, end = F.col("death_dt"), F.col("end_overlap")
-    lost = end <= F.lit(window.end)
-    after_grace = death.isNull() | (death > F.date_add(end, 7))
-    reason = (
-        F.when(death.isNotNull() & (death <= end), EXIT_DEATH)
-        .when(death.isNotNull() & death.between(F.date_add(end, 1), F.date_add(end, 7)), EXIT_DEATH)
-        .when(after_grace & lost & (F.col("flag_fu") == 1), EXIT_LOST_BREAK)
-        .when(after_grace & lost & (F.col("flag_fu") == 0), EXIT_LOST)
-    )
+    died = F.col("death_dt") <= F.date_add(F.col("end_overlap"), 7)  # on or before the end, or within 7 days
+    lost = F.col("end_overlap") <= F.lit(window.end)
+    reason = F.when(died, EXIT_DEATH).when(lost, F.when(F.col("flag_fu") == 1, EXIT_LOST_BREAK).when(F.col("flag_fu") == 0, EXIT_LOST))
     return j.select("person_id", reason.alias("exit_reason")).distinct()
 
 
