@@ -124,3 +124,20 @@ def test_pairwise_matches_brute_force_with_duplicates_and_malformed_spells(spark
     for p in range(60):
         expect = _brute_pairwise([(s, e) for q, s, e in rows if q == p])
         assert sorted(got[p]) == [(i + 1, s, e) for i, (s, e) in enumerate(expect)]
+
+
+def test_hot_person_many_spells_matches_brute_force(spark):
+    # one person holds most rows: the result must not depend on how the
+    # per-day chain splits the person's spells over tasks
+    rng = random.Random(21)
+    rows = []
+    for _ in range(3000):
+        s = dt.date(1990, 1, 1) + dt.timedelta(days=rng.randint(0, 4000))
+        rows.append((1, s, s + dt.timedelta(days=rng.randint(0, 3))))
+    rows += [(2, dt.date(2000, 1, 1), dt.date(2000, 2, 1))]
+    df = spark.createDataFrame(rows, "person_id long, active_from date, active_to date").repartition(7)
+    got = sorted((r.rw_seq, r.entry_dt, r.exit_dt) for r in merge_spells(df, WIDE).where("person_id = 1").collect())
+    expect = _brute_pairwise([(s, e) for p, s, e in rows if p == 1])
+    assert got == [(i + 1, s, e) for i, (s, e) in enumerate(expect)]
+    got_rm = sorted((r.entry_dt, r.exit_dt) for r in merge_spells(df, WIDE, rule="running_max").where("person_id = 1").collect())
+    assert got_rm == _brute_running_max([(s, e) for p, s, e in rows if p == 1])
