@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortwise.functions.dates import OPEN_END
 from cohortwise.functions.study import StudyWindow
+from cohortwise.plans.sizing import small_side
 
 
 _EPOCH = "1970-01-01"
@@ -27,6 +28,9 @@ def _unpack_end(v):
     return F.date_add(F.lit(_EPOCH).cast("date"), (v % _SPAN - _DAY0).cast("int"))
 
 
+HOT_SPELLS = 50_000  # spells of one person above which its islands are built per start day
+
+
 def merge_spells(
     rows: DataFrame,
     window: StudyWindow,
@@ -34,6 +38,7 @@ def merge_spells(
     person: str = "person_id",
     start: str = "active_from",
     end: str = "active_to",
+    hot_threshold: int | None = HOT_SPELLS,
 ) -> DataFrame:
     """Islands of spells per person -> (person_id, entry_dt, exit_dt, rw_seq).
 
@@ -46,7 +51,14 @@ def merge_spells(
     window end becomes the open-end sentinel, and islands are numbered by their
     unclamped dates. Spell ends must not be null (use the open-end sentinel).
 
-    Parallel shape: no window runs over all spells of a person. Copies of one
+    Hot groups are split: persons with more than ``hot_threshold`` spells are
+    listed first (a map-side combined count; at most rows / threshold persons,
+    broadcast after a size check). Their islands are built by the per-start-day
+    path below; everyone else takes the one-window path (one shuffle by
+    person, then ``lag`` and a running sum). ``hot_threshold=None`` sends every
+    person through the per-start-day path, ``0`` as well.
+
+    Per-start-day path: no window runs over all spells of a person. Copies of one
     (person, start, end) spell are counted first. Extra copies only matter for
     a malformed spell that ends two or more days before it starts: the second
     copy then closes the island of the first and opens its own, and a third
@@ -67,10 +79,54 @@ def merge_spells(
     """
     if rule not in ("pairwise", "running_max"):
         raise ValueError(f"unknown rule {rule!r}")
-    gap = window.gap_days
+    spells = rows.select(F.col(person).alias("person_id"), F.col(start).alias("s"), F.col(end).alias("e"))
+    if not hot_threshold:
+        islands = _islands_by_day(spells, window.gap_days, rule)
+    else:
+        counts = spells.groupBy("person_id").agg(F.count(F.lit(1)).alias("_n"))
+        hot = small_side(counts.where(F.col("_n") > hot_threshold).select("person_id"))
+        islands = _islands_by_person(spells.join(hot, "person_id", "left_anti"), window.gap_days, rule).unionByName(
+            _islands_by_day(spells.join(hot, "person_id", "left_semi"), window.gap_days, rule)
+        )
+    # Two islands can only coincide on malformed spells (end < start); keep one.
+    # Islands of well-formed spells have distinct start days, so this window is
+    # bounded by the calendar too.
+    islands = islands.distinct()
+    numbered = Window.partitionBy("person_id").orderBy("s", "e")
+    return islands.select(
+        "person_id",
+        F.when(F.col("s") < F.lit(window.start), F.lit(window.start)).otherwise(F.col("s")).alias("entry_dt"),
+        F.when(F.col("e") > F.lit(window.end), F.lit(OPEN_END)).otherwise(F.col("e")).alias("exit_dt"),
+        F.row_number().over(numbered).cast("int").alias("rw_seq"),
+    )
+
+
+def _island_end(rule: str):
+    if rule == "pairwise":
+        # End of the island's last spell in (start, end) order: the maximum of
+        # (start, end) packed into one long keeps this a hash aggregate.
+        return _unpack_end(F.max(_pack(F.col("s"), F.col("e"))))
+    return F.max("e")
+
+
+def _islands_by_person(spells: DataFrame, gap: int, rule: str) -> DataFrame:
+    """(person_id, s, e) islands with one ordered window per person."""
+    ordered = Window.partitionBy("person_id").orderBy("s", "e")
+    if rule == "pairwise":
+        prev_end = F.lag("e").over(ordered)
+    else:
+        prev_end = F.max("e").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(prev_end.isNull() | (F.date_diff(F.col("s"), prev_end) >= gap), 1).otherwise(0)
+    tagged = spells.withColumn("opens", opens).withColumn(
+        "island", F.sum("opens").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    )
+    return tagged.groupBy("person_id", "island").agg(F.min("s").alias("s"), _island_end(rule).alias("e")).drop("island")
+
+
+def _islands_by_day(spells: DataFrame, gap: int, rule: str) -> DataFrame:
+    """(person_id, s, e) islands chaining per-(person, start day) aggregates."""
     spells = (
-        rows.select(F.col(person).alias("person_id"), F.col(start).alias("s"), F.col(end).alias("e"))
-        .repartition("person_id", "s")
+        spells.repartition("person_id", "s")
         .groupBy("person_id", "s", "e")
         .agg(F.count(F.lit(1)).alias("copies"))
         .select("person_id", "s", "e", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(3)))).alias("copy"))
@@ -118,21 +174,4 @@ def merge_spells(
         "island",
         F.col("offset") + F.sum("opens").over(in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
     )
-    if rule == "pairwise":
-        # End of the island's last spell in (start, end) order: the maximum of
-        # (start, end) packed into one long keeps this a hash aggregate.
-        last_end = _unpack_end(F.max(_pack(F.col("s"), F.col("e"))))
-    else:
-        last_end = F.max("e")
-    islands = tagged.groupBy("person_id", "island").agg(F.min("s").alias("s"), last_end.alias("e"))
-    # Two islands can only coincide on malformed spells (end < start); keep one.
-    # Islands of well-formed spells have distinct start days, so this window is
-    # bounded by the calendar too.
-    islands = islands.select("person_id", "s", "e").distinct()
-    numbered = Window.partitionBy("person_id").orderBy("s", "e")
-    return islands.select(
-        "person_id",
-        F.when(F.col("s") < F.lit(window.start), F.lit(window.start)).otherwise(F.col("s")).alias("entry_dt"),
-        F.when(F.col("e") > F.lit(window.end), F.lit(OPEN_END)).otherwise(F.col("e")).alias("exit_dt"),
-        F.row_number().over(numbered).cast("int").alias("rw_seq"),
-    )
+    return tagged.groupBy("person_id", "island").agg(F.min("s").alias("s"), _island_end(rule).alias("e")).drop("island")
