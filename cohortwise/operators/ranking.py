@@ -1,4 +1,10 @@
-"""Ranking within groups that stays parallel when one group is huge."""
+"""Ranking within groups that stays parallel when one group is huge.
+
+Groups are split by size: a map-side combined count lists the groups with
+more rows than a threshold (at most rows / threshold of them, broadcast behind
+the size check). Those go through a two-level computation whose windows only
+see one row per distinct date; all other groups take a single window.
+"""
 
 from __future__ import annotations
 
@@ -7,18 +13,47 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortwise.plans.sizing import small_side
+
+HOT_ROWS = 50_000  # rows of one group above which it is ranked in two levels
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], threshold: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary groups, rows of groups with more than ``threshold`` rows)."""
+    if not threshold:
+        return df.limit(0), df
+    keys = list(keys)
+    hot = small_side(
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold).select(*keys)
+    )
+    return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
+
+
+def _order(cols):
+    return [F.col(c).asc_nulls_first() for c in cols]
+
 
-def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+def rank_within(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, hot_threshold: int | None = HOT_ROWS
+) -> DataFrame:
     """SQL ``RANK() OVER (PARTITION BY keys ORDER BY order)`` (ascending,
     nulls first): ties share a rank and gaps follow.
 
-    rank = 1 + number of rows of the group with a strictly smaller order
-    value. The rows are first counted per (keys, order value), combined
-    map-side, so the window only sorts distinct order values (for dates: at
-    most one row per day) instead of every row of a group, and the join back
-    is an equi join that AQE can split when one group is skewed.
+    Ordinary groups use the window directly. For hot groups, rank = 1 +
+    number of rows of the group with a strictly smaller order value: rows are
+    first counted per (keys, order value), combined map-side, so the window
+    only sorts distinct order values (for dates: at most one row per day)
+    instead of every row of the group, and the join back is an equi join that
+    AQE can split when skewed. ``hot_threshold=None`` uses the two-level form
+    for every group.
     """
     keys, order = list(keys), list(order)
+    normal, hot = split_hot(df, keys, hot_threshold)
+    plain = normal.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(*_order(order))).cast("int"))
+    return plain.unionByName(_rank_two_level(hot, keys, order, name))
+
+
+def _rank_two_level(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
     counts = df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(
         Window.unboundedPreceding, -1
@@ -33,19 +68,36 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
 
 
 def row_number_within(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, lead: int = 1
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str,
+    lead: int = 1,
+    hot_threshold: int | None = None,
 ) -> DataFrame:
     """SQL ``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)`` (ascending,
-    nulls first), computed in two levels.
-
-    The first ``lead`` order columns (dates) form a bucket. Rows are counted per
-    (keys, bucket); a window over these counts -- at most one row per distinct
-    bucket value, bounded by the calendar -- gives each bucket the number of
-    rows before it, and a row_number inside (keys, bucket) over the remaining
-    order columns completes the numbering. Rows that tie on every order column
-    are interchangeable, so the numbering equals the one-level window's.
+    nulls first).
+
+    Ordinary groups use the window directly. Hot groups are numbered in two
+    levels: the first ``lead`` order columns (dates) form a bucket; rows are
+    counted per (keys, bucket); a window over these counts -- at most one row
+    per distinct bucket value, bounded by the calendar -- gives each bucket
+    the number of rows before it, and a row_number inside (keys, bucket) over
+    the remaining order columns completes the numbering. Rows that tie on
+    every order column are interchangeable, so the numbering equals the
+    one-level window's.
+
+    By default every group is numbered in two levels: splitting off hot
+    groups needs an extra pass over ``df`` to count them, which only pays
+    when ``df`` is materialized; pass ``hot_threshold`` to split.
     """
     keys, order = list(keys), list(order)
+    normal, hot = split_hot(df, keys, hot_threshold)
+    plain = normal.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*_order(order))).cast("int"))
+    return plain.unionByName(_row_number_two_level(hot, keys, order, name, lead))
+
+
+def _row_number_two_level(df: DataFrame, keys: list[str], order: list[str], name: str, lead: int) -> DataFrame:
     lead_cols, rest = order[:lead], order[lead:]
     bucket = keys + lead_cols
     counts = df.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n"))

@@ -34,9 +34,10 @@ def test_rank_within_matches_window_rank(spark):
     rng = random.Random(3)
     rows = [(rng.randint(0, 3), rng.randint(0, 5), rng.choice([None, 1, 2, 3, 4])) for _ in range(300)]
     df = spark.createDataFrame(rows, "k1 int, k2 int, o int")
-    ours = rank_within(df, ["k1", "k2"], ["o"], "r")
     ref = df.withColumn("r", F.rank().over(Window.partitionBy("k1", "k2").orderBy(F.col("o").asc_nulls_first())))
-    assert Counter(map(tuple, ours.collect())) == Counter(map(tuple, ref.collect()))
+    for threshold in (None, 12, 10_000):  # all two-level, mixed, all one window
+        ours = rank_within(df, ["k1", "k2"], ["o"], "r", hot_threshold=threshold)
+        assert Counter(map(tuple, ours.collect())) == Counter(map(tuple, ref.collect()))
 
 
 def _index(spark, ages_sex):
@@ -90,10 +91,11 @@ def test_row_number_within_matches_window(spark):
             for i in range(200)]
     df = spark.createDataFrame(rows, "k int, day date, x int, uid int")
     order = ["day", "x", "uid"]
-    ours = row_number_within(df, ["k"], order, "rn")
     w = Window.partitionBy("k").orderBy(*[F.col(c).asc_nulls_first() for c in order])
     ref = df.withColumn("rn", F.row_number().over(w))
-    assert Counter(map(tuple, ours.collect())) == Counter(map(tuple, ref.collect()))
+    for threshold in (None, 66, 10_000):  # all two-level, mixed, all one window
+        ours = row_number_within(df, ["k"], order, "rn", hot_threshold=threshold)
+        assert Counter(map(tuple, ours.collect())) == Counter(map(tuple, ref.collect()))
 
 
 def test_event_on_shared_spell_boundary_gets_both_quintiles(spark):
