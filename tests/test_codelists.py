@@ -72,3 +72,26 @@ def test_icd10_lookup_branches(spark):
     )
     out = {r.code: (r.description, r.title3, r.code_length) for r in K.icd10_lookup(codes, dic).collect()}
     assert out == {"A01": ("title A01", "title A01", 3), "A011": ("title A01.1", "title A01", 4)}
+
+
+def test_read_code_list_keeps_codes_as_text(spark, tmp_path):
+    (tmp_path / "sensitive.csv").write_text("code,description\n5136.,x\n7E253 ,y\n0012.,z\n")
+    from cohortwise.sources.codelists import read_code_list
+
+    assert sorted(r.code for r in read_code_list(spark, str(tmp_path)).collect()) == ["0012.", "5136.", "7E253"]
+
+
+def test_versioned_store_and_latest_view(spark, tmp_path):
+    from cohortwise.sources.codelists import publish_versioned, register_latest_view
+
+    store = str(tmp_path / "lookups")
+    v1 = spark.createDataFrame([("A", "a"), ("B", "b")], "concept string, code string")
+    publish_versioned(v1, store, "2_2_9")
+    publish_versioned(spark.createDataFrame([("A", "a2")], "concept string, code string"), store, "2_2_10")
+    register_latest_view(spark, store, "lookup_latest")
+    rows = sorted((r.concept, r.code, r.version) for r in spark.table("lookup_latest").collect())
+    assert rows == [("A", "a2", "2_2_10"), ("B", "b", "2_2_9")]
+    # re-publishing a version replaces only that version
+    publish_versioned(spark.createDataFrame([("A", "a3")], "concept string, code string"), store, "2_2_10")
+    back = spark.read.parquet(store)
+    assert sorted((str(r.version), r.code) for r in back.collect()) == [("2_2_10", "a3"), ("2_2_9", "a"), ("2_2_9", "b")]
