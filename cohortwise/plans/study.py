@@ -299,7 +299,8 @@ class Study:
     # ---- outcomes -----------------------------------------------------------
     @cached_property
     def gp_matched(self) -> DataFrame:
-        return self._cut(O.match_primary_care(self.fx.gp_event, self.read_lookup), "gp_matched")
+        # as in the study, outcomes are matched on the cohort extract
+        return self._cut(O.match_primary_care(self.gp_extract, self.read_lookup), "gp_matched")
 
     @cached_property
     def gp_outcomes(self) -> DataFrame:
@@ -309,7 +310,7 @@ class Study:
     def hosp_matched(self) -> DataFrame:
         fx = self.fx
         return self._cut(
-            O.match_hospital(fx.hospital_diag, fx.hospital_episode, fx.hospital_spell, self.icd_lookup, fx.icd10_dict),
+            O.match_hospital(self.diag_extract, self.episode_extract, self.spell_extract, self.icd_lookup, fx.icd10_dict),
             "hosp_matched",
         )
 
