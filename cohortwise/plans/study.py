@@ -297,10 +297,29 @@ class Study:
         return K.codelist_diff(new, published)
 
     # ---- outcomes -----------------------------------------------------------
+    @cached_property
+    def cohort_persons(self) -> DataFrame:
+        return self.cohort.select("person_id").distinct()
+
+    def outcome_sources(self) -> dict[str, DataFrame]:
+        """The extracts that outcomes are matched on, restricted by cohort
+        membership only: joined with the cohort's distinct persons, so a
+        person with several cohort rows does not multiply rows that the
+        matching de-duplicates anyway (same distinct result as the extracts)."""
+        fx, w, persons = self.fx, self.w, self.cohort_persons
+        gp = E.extract_by_person(fx.gp_event, persons, [], "event_dt", w.events_from, w.end, where="practice_id IS NOT NULL")
+        spells = E.extract_by_person(fx.hospital_spell, persons, [], "admis_dt", w.events_from, w.end, closed=False)
+        return {
+            "gp": gp,
+            "spells": spells,
+            "episodes": E.extract_by_spell(fx.hospital_episode, spells, "epi_str_dt", w.events_from, w.end, attach=("person_id",)),
+            "diagnoses": E.extract_by_spell(fx.hospital_diag, spells, attach=("person_id",)),
+        }
+
     @cached_property
     def gp_matched(self) -> DataFrame:
         # as in the study, outcomes are matched on the cohort extract
-        return self._cut(O.match_primary_care(self.gp_extract, self.read_lookup), "gp_matched")
+        return self._cut(O.match_primary_care(self.outcome_sources()["gp"], self.read_lookup), "gp_matched")
 
     @cached_property
     def gp_outcomes(self) -> DataFrame:
@@ -308,9 +327,9 @@ class Study:
 
     @cached_property
     def hosp_matched(self) -> DataFrame:
-        fx = self.fx
+        fx, src = self.fx, self.outcome_sources()
         return self._cut(
-            O.match_hospital(self.diag_extract, self.episode_extract, self.spell_extract, self.icd_lookup, fx.icd10_dict),
+            O.match_hospital(src["diagnoses"], src["episodes"], src["spells"], self.icd_lookup, fx.icd10_dict),
             "hosp_matched",
         )
 
