@@ -305,16 +305,18 @@ class Study:
         """The extracts that outcomes are matched on, restricted by cohort
         membership only: joined with the cohort's distinct persons, so a
         person with several cohort rows does not multiply rows that the
-        matching de-duplicates anyway (same distinct result as the extracts)."""
+        matching de-duplicates anyway (same distinct result as the extracts).
+
+        Diagnoses and episodes are not pre-joined with the extracted spells:
+        the matching joins them with those spells in any case, so the small
+        lookups can filter the diagnoses before any large join."""
         fx, w, persons = self.fx, self.w, self.cohort_persons
         gp = E.extract_by_person(fx.gp_event, persons, [], "event_dt", w.events_from, w.end, where="practice_id IS NOT NULL")
         spells = E.extract_by_person(fx.hospital_spell, persons, [], "admis_dt", w.events_from, w.end, closed=False)
-        return {
-            "gp": gp,
-            "spells": spells,
-            "episodes": E.extract_by_spell(fx.hospital_episode, spells, "epi_str_dt", w.events_from, w.end, attach=("person_id",)),
-            "diagnoses": E.extract_by_spell(fx.hospital_diag, spells, attach=("person_id",)),
-        }
+        episodes = fx.hospital_episode.where(
+            (F.col("epi_str_dt") >= F.lit(w.events_from)) & (F.col("epi_str_dt") < F.lit(w.end))
+        )
+        return {"gp": gp, "spells": spells, "episodes": episodes, "diagnoses": fx.hospital_diag}
 
     @cached_property
     def gp_matched(self) -> DataFrame:
