@@ -95,3 +95,13 @@ def test_versioned_store_and_latest_view(spark, tmp_path):
     publish_versioned(spark.createDataFrame([("A", "a3")], "concept string, code string"), store, "2_2_10")
     back = spark.read.parquet(store)
     assert sorted((str(r.version), r.code) for r in back.collect()) == [("2_2_10", "a3"), ("2_2_9", "a"), ("2_2_9", "b")]
+
+
+def test_icd10_layout_reads_five_columns(spark, tmp_path):
+    from cohortwise.sources.codelists import ICD10_HEADER
+
+    header = ",".join(ICD10_HEADER)
+    (tmp_path / "TIA.csv").write_text(header + "\nG45,t,TIA,T,condition\nG459,u,TIA,U,condition\n")
+    df = read_codelists(spark, str(tmp_path), "icd10", "2_2_3")
+    assert sorted((r.concept, r.code, r.concept_type) for r in df.collect()) == [
+        ("TIA", "G45", "condition"), ("TIA", "G459", "condition")]
