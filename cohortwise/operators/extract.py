@@ -79,12 +79,13 @@ def extract_via_parent(
 
 
 def extract_checks(extracts: Mapping[str, DataFrame]) -> DataFrame:
-    """Distinct persons per extract -> (extract, n)."""
-    out = None
+    """Distinct persons per extract -> (extract, n), as one aggregation over
+    the tagged person ids of all extracts."""
+    tagged = None
     for name, df in extracts.items():
-        part = df.agg(F.count_distinct("person_id").alias("n")).select(F.lit(name).alias("extract"), "n")
-        out = part if out is None else out.unionByName(part)
-    return out
+        part = df.select(F.lit(name).alias("extract"), "person_id")
+        tagged = part if tagged is None else tagged.unionByName(part)
+    return tagged.groupBy("extract").agg(F.count_distinct("person_id").alias("n"))
 
 
 def write_extract(
