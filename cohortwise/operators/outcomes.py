@@ -72,7 +72,7 @@ def match_hospital(
         F.col("description").alias("diag_cd_1234_desc"),
     )
     titles4 = icd_dict.select(F.col("alt_code").alias("diag_cd_1234"), F.col("description").alias("diag_cd_1234_desc"))
-    m3 = diag.join(small_side(by3), "diag_cd_123").join(titles4, "diag_cd_1234", "left")
+    m3 = diag.join(small_side(by3), "diag_cd_123").join(small_side(titles4), "diag_cd_1234", "left")
     m4 = diag.join(small_side(by4), "diag_cd_1234")
     dcols = ["provider_cd", "spell_id", "epi_num", "diag_num", "diag_cd", "diag_cd_123", "diag_cd_1234",
              "concept", "diag_cd_123_desc", "diag_cd_1234_desc"]
