@@ -63,6 +63,7 @@ class Study:
         window: StudyWindow = DEFAULT_WINDOW,
         checkpoint: bool = True,
         materialize: str = "checkpoint",
+        island_rule: str = "pairwise",
     ):
         self.spark = spark
         self.sf_dir = sf_dir
@@ -70,6 +71,7 @@ class Study:
         self.fx = Fixtures(ParquetTables(spark, sf_dir))
         self._checkpoint = checkpoint
         self._materialize = materialize
+        self.island_rule = island_rule
         self._root = None
         if checkpoint:
             try:
@@ -127,7 +129,7 @@ class Study:
 
     @cached_property
     def islands(self) -> DataFrame:
-        return self._cut(merge_spells(self.flagged, self.w), "islands")
+        return self._cut(merge_spells(self.flagged, self.w, rule=self.island_rule), "islands")
 
     @cached_property
     def breaks(self) -> DataFrame:
