@@ -183,7 +183,8 @@ def _search(chunk: W.Chunk, h: np.ndarray, index: Index, settings: Settings) ->
             for grams, n in ((index.question[j], index.gram[j][0]), (index.answer[j], index.gram[j][1])):
                 there, _ = W.windows(words, np.array([0, len(words)]), n)
                 found.append(float(np.isin(grams, there).mean()) if len(grams) else 1.0)
-            yield i, j, start - int(chunk.first[i]), float(scores[j]), found[0], found[1]
+            if found[0] >= settings.question and found[1] >= settings.answer:
+                yield i, j, start - int(chunk.first[i]), float(scores[j]), found[0], found[1]
 
 
 def _hits_of(batches, index: Index, settings: Settings):
@@ -199,6 +200,21 @@ def _hits_of(batches, index: Index, settings: Settings):
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=list(names))
 
 
+PAIRS = "doc_id long, item_id long, passage_word long, score double, question_overlap double, answer_overlap double"
+
+
+def _shards(docs: DataFrame, items: DataFrame, settings: Settings) -> Iterator:
+    """Broadcast indexes that together hold all items, each of bounded size."""
+    tests = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
+    size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = int(-(-size // settings.shard_bytes)) or 1
+    for shard in range(shards):
+        own = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard).distinct()
+        index = build_index(sorted((r.item_id, r.text) for r in own.collect()), settings)
+        if index is not None:
+            yield docs.sparkSession.sparkContext.broadcast(index)
+
+
 def contaminated(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Pairs of documents and test items that they hold.
 
@@ -213,44 +229,36 @@ def contaminated(docs: DataFrame, items: DataFrame, settings: Settings = Setting
 
     An index holds at most ``shard_bytes`` of item text. Larger benchmarks are
     cut into shards by a hash of the item, each with its own pass over the
-    documents, so no task or driver holds more than one shard; which items are
-    found does not change, as scores are relative to the shard's statistics
-    only through BM25's idf.
+    documents, so no task or driver holds more than one shard; a shard's
+    scores use the idf of its own items.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    tests = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
-    size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = int(-(-size // settings.shard_bytes)) or 1
-    found = None
-    for shard in range(shards):
-        own = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard).distinct()
-        index = build_index(sorted((r.item_id, r.text) for r in own.collect()), settings)
-        if index is None:
-            continue
-        sent = spark.sparkContext.broadcast(index)
-        hits = map_arrow(
-            texts,
-            lambda batches, sent=sent: _hits_of(batches, sent.value, settings),
-            "doc_id long, item_id long, passage_word long, score double, question_overlap double, answer_overlap double",
-        )
-        found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        empty = "doc_id long, item_id long, passage_word long, score double, question_overlap double, answer_overlap double"
-        return spark.createDataFrame([], empty)
-    found = found.where((F.col("question_overlap") >= settings.question) & (F.col("answer_overlap") >= settings.answer))
-    rank = F.struct(-F.col("score"), F.col("passage_word"), F.col("question_overlap"), F.col("answer_overlap"))
+    found = docs.sparkSession.createDataFrame([], PAIRS)
+    for sent in _shards(docs, items, settings):
+        found = found.unionByName(map_arrow(texts, lambda batches, sent=sent: _hits_of(batches, sent.value, settings), PAIRS))
+    rank = F.struct((-F.col("score")).alias("minus"), "passage_word", "question_overlap", "answer_overlap")
     best = found.groupBy("doc_id", "item_id").agg(F.min(rank).alias("b"))
     return best.select(
-        "doc_id",
-        "item_id",
-        F.col("b.passage_word").alias("passage_word"),
-        (-F.col("b.col1")).alias("score"),
-        F.col("b.question_overlap").alias("question_overlap"),
-        F.col("b.answer_overlap").alias("answer_overlap"),
+        "doc_id", "item_id", "b.passage_word", (-F.col("b.minus")).alias("score"), "b.question_overlap", "b.answer_overlap"
     )
 
 
+def _clean_of(batches, index: Index, settings: Settings):
+    for batch in batches:
+        keep = np.ones(len(batch), bool)
+        for chunk in W.chunks(batch.column("text")):
+            for i, *_ in _search(chunk, trimmed(chunk), index, settings):
+                keep[chunk.row + i] = False
+        yield batch.filter(pa.array(keep))
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no test item."""
+    for sent in _shards(docs, items, settings):
+        docs = map_arrow(docs, lambda batches, sent=sent: _clean_of(batches, sent.value, settings), docs.schema)
+    return docs
+
+
 def op10_bm25_decontaminate(spark, sf_dir: str) -> DataFrame:
     """Test items found in the whole ``documents`` table."""
     return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

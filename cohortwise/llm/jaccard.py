@@ -288,6 +288,20 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     return with_words.unionByName(without).withColumnRenamed("id", "doc_id")
 
 
+def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of one document a group.
+
+    The smallest ``doc_id`` of each component stays; repeated rows of one id
+    and text count as one document. Rows without words, or without an id, are
+    in no group and stay.
+    """
+    kept = near_duplicates(docs, size, percent).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    known = docs.where("doc_id is not null")
+    rows = known.join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi").withColumn("_print", F.xxhash64("text"))
+    rows = rows.dropDuplicates(["doc_id", "_print"]).drop("_print")
+    return rows.unionByName(docs.where("doc_id is null"))
+
+
 def op3_jaccard_components(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate components of the whole ``documents`` table."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

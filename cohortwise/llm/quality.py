@@ -187,6 +187,20 @@ def fit(training: DataFrame, settings: Settings = Settings()) -> Model:
     return model
 
 
+def _held_out():
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def _learned(docs: DataFrame, labels: DataFrame, settings: Settings) -> tuple[DataFrame, Model]:
+    """Statistics of all documents, and the model of those with a label."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    stats = map_arrow(texts, _statistics_of, "doc_id long, x array<double>").withColumn("held_out", _held_out())
+    stats = stage(stats, "quality-stats")
+    marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y")).where("y is not null")
+    training = stage(stats.where(~F.col("held_out")).join(marks, "doc_id").select("x", "y"), "quality-training")
+    return stats, fit(training, settings)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Score every whole text of ``docs(doc_id, text)``; learn from ``labels``.
 
@@ -198,17 +212,29 @@ def quality_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Sett
     rows; other columns are ignored, whatever their names. A null ``doc_id``
     gets its score and is not held out. Without labels every score is 0.5.
     """
-    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    stats = map_arrow(texts, _statistics_of, "doc_id long, x array<double>").withColumn("held_out", held)
-    stats = stage(stats, "quality-stats")
-    marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y")).where("y is not null")
-    training = stage(stats.where(~F.col("held_out")).join(marks, "doc_id").select("x", "y"), "quality-training")
-    model = fit(training, settings)
+    stats, model = _learned(docs, labels, settings)
     scored = map_arrow(stats, lambda b: _scores_of(b, model), "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= settings.cut).cast("int"))
 
 
+def _good_of(batches, model: Model, cut: float):
+    for batch in batches:
+        keep = [model.score(statistics(chunk)) >= cut for chunk in W.chunks(batch.column("text"))]
+        yield batch.filter(pa.array(np.concatenate(keep))) if keep else batch
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score at least ``cut``.
+
+    The model is that of ``quality_scores``; without any label there is
+    nothing to judge by, and all rows stay.
+    """
+    _, model = _learned(docs, labels, settings)
+    if len(model.knots) == 1 and not model.weights.any():
+        return docs
+    return map_arrow(docs, lambda b: _good_of(b, model, settings.cut), docs.schema)
+
+
 def op7_quality_classifier(spark, sf_dir: str) -> DataFrame:
     """Quality of every document, learned from ``labels``."""
     return quality_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))

@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -61,7 +62,7 @@ def ship(spark: SparkSession) -> None:
     context._cohortwise_shipped = True
 
 
-def map_arrow(df: DataFrame, task, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, task, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow`` with this package at hand in the tasks."""
     ship(df.sparkSession)
     return df.mapInArrow(task, schema)

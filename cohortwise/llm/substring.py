@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohortwise.llm import words as W
 from cohortwise.llm.store import map_arrow, stage
@@ -207,6 +208,7 @@ def _kept_of(batches, window: int, with_text: bool) -> Iterator[pa.RecordBatch]:
             if with_text:
                 known = batch.column("text").slice(chunk.row, chunk.n).is_valid()
                 out["kept_text"] = pa.array([t.decode() if k else None for t, k in zip(texts, known.to_pylist(), strict=True)], pa.string())
+                out["rest"] = batch.column("rest").slice(chunk.row, chunk.n)
             yield pa.RecordBatch.from_pydict(out)
 
 
@@ -281,31 +283,53 @@ def repeated_paths(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     return places.select("at.*", "length", *(F.col(f"src.{a}").alias(f"src_{b}") for a, b in (("doc_id", "doc"), ("part", "part"), ("pos", "pos"))))
 
 
-def drop_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, with_text: bool = True) -> DataFrame:
-    """Remove every word covered by a window that an earlier document has.
+def _spans(texts: DataFrame, window: int, anchor: int) -> DataFrame:
+    """By row of ``texts``, the spans that an earlier document has."""
+    spans = repeated_paths(texts, window, anchor).where("src_doc < doc_id")
+    return stage(
+        spans.groupBy("doc_id", "part").agg(F.collect_set(F.struct("pos", "length")).alias("spans")), "substring-spans"
+    )
+
+
+_DIGEST = "doc_id long, part int, n_words long, n_removed long, kept_sha256 string"
+
+
+def repeat_digests(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+    """What is left of each text without the words that earlier documents have.
 
     ``docs`` needs ``doc_id`` (long) and ``text``; other columns are ignored.
-    Returns one row per input row: ``doc_id``, ``n_words``, ``n_removed``,
-    ``kept_sha256`` (of the kept words joined by one space), ``part`` and, on
-    request, ``kept_text`` (the text without the removed words and the white
-    space that follows them; null stays null). A null or empty text has no
-    words. Documents compare by ``doc_id``, so repeated rows of one id keep
-    all their words, and a null id neither loses words nor is a source.
+    Every word covered by a window that also starts in a document with a
+    smaller id goes. Returns one row per input row: ``doc_id``, ``part`` (a
+    hash of the text), ``n_words``, ``n_removed`` and ``kept_sha256`` (of the
+    kept words joined by one space). A null or empty text has no words.
+    Documents compare by ``doc_id``, so repeated rows of one id keep all their
+    words, and a null id neither loses words nor is a source.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("part"), "text")
-    spans = repeated_paths(texts, window, anchor).where("src_doc < doc_id")
-    spans = stage(
-        spans.groupBy("doc_id", "part").agg(F.collect_set(F.struct("pos", "length")).alias("spans")), "substring-spans"
-    )
-    schema = "doc_id long, part int, n_words long, n_removed long, kept_sha256 string"
-    return map_arrow(
-        texts.join(spans, ["doc_id", "part"], "left"),
-        lambda batches: _kept_of(batches, window, with_text),
-        schema + (", kept_text string" if with_text else ""),
+    spans = _spans(texts, window, anchor)
+    return map_arrow(texts.join(spans, ["doc_id", "part"], "left"), lambda b: _kept_of(b, window, False), _DIGEST)
+
+
+def drop_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+    """``docs``, with all its columns, but ``text`` without the repeated words.
+
+    The words that ``repeat_digests`` removes go, with the white space after
+    each; the rest of a text stays as it is, and a null text stays null.
+    """
+    names = docs.columns
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.hash("text").alias("part"),
+        "text",
+        F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names) if c != "text"], F.lit(0).alias("none")).alias("rest"),
     )
+    spans = _spans(texts.drop("rest"), window, anchor)
+    schema = StructType.fromDDL(_DIGEST + ", kept_text string").add("rest", texts.schema["rest"].dataType)
+    kept = map_arrow(texts.join(spans, ["doc_id", "part"], "left"), lambda b: _kept_of(b, window, True), schema)
+    return kept.select(*[(F.col("kept_text") if c == "text" else F.col(f"rest.c{i}")).alias(c) for i, c in enumerate(names)])
 
 
 def op9_debruijn_dedup(spark, sf_dir: str) -> DataFrame:
     """Substring deduplication of the whole ``documents`` table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return drop_repeats(docs, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return repeat_digests(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
