@@ -1,8 +1,8 @@
 """Substring deduplication on a compacted de Bruijn graph of word windows.
 
-An edge of the graph is a window of ``WINDOW`` words that starts in at least
-two documents; its source is its first place (smallest document, then
-position). Two edges that follow each other belong to one path when neither
+An edge of the graph is a window of ``WINDOW`` words, by its 64-bit hash, that
+starts in at least two documents; its source is its first place (smallest
+document, then position). Two edges that follow each other belong to one path when neither
 branches: every occurrence of the first is followed by the second, and every
 occurrence of the second preceded by the first. All edges of a path then have
 the same occurrences, one word apart, so a path is stored once, by its first
@@ -49,7 +49,7 @@ def _window_anchors(hashes: np.ndarray, first: np.ndarray, window: int, anchor:
 
 
 def _grouped(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-    """One row per anchor: smallest id, largest id, and the others if any."""
+    """One row per anchor: the smallest id, and the others if any."""
     order = np.lexsort((ids, keys))
     keys, ids = keys[order], ids[order]
     new = np.ones(len(keys), bool)
@@ -62,7 +62,7 @@ def _grouped(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
     rest = pa.ListArray.from_arrays(
         pa.array(np.concatenate([[0], np.cumsum(last - at)]).astype(np.int32)), pa.array(ids[~head]), mask=pa.array(last == at)
     )
-    return pa.RecordBatch.from_pydict({"anchor": keys[at].view(np.int64), "lo": ids[at], "hi": ids[last], "rest": rest})
+    return pa.RecordBatch.from_pydict({"anchor": keys[at].view(np.int64), "lo": ids[at], "rest": rest})
 
 
 def _anchors_of(batches, window: int, anchor: int) -> Iterator[pa.RecordBatch]:
@@ -86,46 +86,49 @@ def _anchors_of(batches, window: int, anchor: int) -> Iterator[pa.RecordBatch]:
         yield _grouped(np.concatenate(keys), np.concatenate(ids))
 
 
-_MEMBER = pa.struct([("doc_id", pa.int64()), ("part", pa.int32()), ("pos", pa.int32())])
+_PLACE = pa.struct([("doc_id", pa.int64()), ("part", pa.int32()), ("pos", pa.int32())])
 
 
-def _edge_rows(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    """One row per window: its first place, and the others if any."""
-    edge, check, doc, part, pos, nxt, has_nxt, prv, has_prv = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.lexsort((pos, part, doc, check, edge))
-    edge, check, doc, part, pos = edge[order], check[order], doc[order], part[order], pos[order]
-    head = np.ones(len(edge), bool)
-    head[1:] = (edge[1:] != edge[:-1]) | (check[1:] != check[:-1])
-    at = np.flatnonzero(head)
-    last = np.append(at[1:], len(edge)) - 1
-
-    def one(values: np.ndarray, has: np.ndarray) -> pa.Array:
-        """The neighbouring word if all occurrences have the same, else null."""
-        values, has = values[order], has[order]
-        same = np.minimum.reduceat(values, at) == np.maximum.reduceat(values, at)
-        return pa.array(values[at], mask=~(same & np.logical_and.reduceat(has, at)))
+def _run_rows(runs: dict[bytes, list[tuple[int, int, int]]]) -> pa.RecordBatch:
+    """One row per run of edges with one anchor: its first place, and the others if any.
 
-    members = pa.StructArray.from_arrays([pa.array(x[~head]) for x in (doc, part, pos)], fields=list(_MEMBER))
-    rest = pa.ListArray.from_arrays(
-        pa.array(np.concatenate([[0], np.cumsum(last - at)]).astype(np.int32)), members, mask=pa.array(last == at)
+    A run's key holds the anchor, the edge before it and the one after it (0
+    if there is none) and its own edges.
+    """
+    heads = np.array([np.frombuffer(key, np.int64, 3) for key in runs]).reshape(-1, 3)
+    edges = [np.frombuffer(key, np.int64)[3:] for key in runs]
+    places = [sorted(p) for p in runs.values()]
+    first = np.array([p[0] for p in places], np.int64).reshape(-1, 3)
+    others = [tuple(zip(*p[1:], strict=True)) or ((), (), ()) for p in places]
+    flat = [np.array([v for o in others for v in o[c]], np.int64) for c in range(3)]
+    members = pa.StructArray.from_arrays(
+        [pa.array(flat[0]), pa.array(flat[1].astype(np.int32)), pa.array(flat[2].astype(np.int32))], fields=list(_PLACE)
     )
+    more = np.array([len(p) - 1 for p in places])
+    rest = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(more)]).astype(np.int32)), members, mask=pa.array(more == 0))
     return pa.RecordBatch.from_pydict(
         {
-            "edge": edge[at].view(np.int64),
-            "chk": check[at],
-            "doc_id": doc[at],
-            "part": part[at],
-            "pos": pos[at],
-            "hi": doc[last],
-            "nxt": one(nxt, has_nxt),
-            "prv": one(prv, has_prv),
+            "anchor": heads[:, 0],
+            "doc_id": first[:, 0],
+            "part": first[:, 1].astype(np.int32),
+            "pos": first[:, 2].astype(np.int32),
+            "before": pa.array(heads[:, 1], mask=heads[:, 1] == 0),
+            "after": pa.array(heads[:, 2], mask=heads[:, 2] == 0),
+            "edges": pa.array(edges, pa.list_(pa.int64())),
             "rest": rest,
         }
     )
 
 
-def _edges_of(batches, window: int, anchor: int) -> Iterator[pa.RecordBatch]:
-    found, held = [], 0
+_RUN = (
+    "anchor long, doc_id long, part int, pos int, before long, after long, edges array<long>,"
+    " rest array<struct<doc_id: long, part: int, pos: int>>"
+)
+
+
+def _runs_of(batches, window: int, anchor: int) -> Iterator[pa.RecordBatch]:
+    runs: dict[bytes, list[tuple[int, int, int]]] = {}
+    held = 0
     for batch in batches:
         docs = batch.column("doc_id").to_numpy()
         parts = batch.column("part").to_numpy()
@@ -144,32 +147,28 @@ def _edges_of(batches, window: int, anchor: int) -> Iterator[pa.RecordBatch]:
                     able[a:b] = np.isin(least[a:b], values[bounds[chunk.row + i] : bounds[chunk.row + i + 1]])
             if not able.any():
                 continue
-            row = np.repeat(np.arange(chunk.n), np.diff(offsets))[able]
-            edges, _ = W.windows(hashes, chunk.first, window)
-            checks, _ = W.windows(W.mix(hashes ^ U(0x5555555555555555)), chunk.first, window)
-            pos = np.flatnonzero(able) - offsets[row]
-            at = chunk.first[row] + pos  # the window's first word in the chunk
-            word = (hashes >> U(33)).astype(np.int32)
-            before, after = pos > 0, at + window < chunk.first[row + 1]
-            found.append(
-                (
-                    edges[able],
-                    (checks[able] >> U(32)).astype(np.uint32).view(np.int32),
-                    docs[chunk.row + row],
-                    parts[chunk.row + row],
-                    pos.astype(np.int32),
-                    word[np.minimum(at + window, len(word) - 1)],
-                    after,
-                    word[np.maximum(at - 1, 0)],
-                    before,
-                )
-            )
-            held += len(row)
-            if held >= BUFFER:
-                yield _edge_rows(found)
-                found, held = [], 0
-    if found:
-        yield _edge_rows(found)
+            edges = W.windows(hashes, chunk.first, window)[0].view(np.int64)
+            near = np.zeros(len(edges) + 2, np.int64)  # the edge at each place, 0 where none can repeat
+            near[1:-1] = np.where(able, edges, 0)
+            row = np.repeat(np.arange(chunk.n), np.diff(offsets))
+            new = np.ones(len(able), bool)
+            new[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
+            begin = np.flatnonzero(new & able)
+            ends = np.append(np.flatnonzero(new), len(able))
+            end = ends[np.searchsorted(ends, begin, "right")]
+            of = row[begin]
+            before = np.where(begin > offsets[of], near[begin], 0)
+            after = np.where(end < offsets[of + 1], near[end + 1], 0)
+            heads = np.column_stack([least[begin].view(np.int64), before, after])
+            doc, part, pos = docs[chunk.row + of].tolist(), parts[chunk.row + of].tolist(), (begin - offsets[of]).tolist()
+            for j, (a, b) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
+                runs.setdefault(heads[j].tobytes() + edges[a:b].tobytes(), []).append((doc[j], part[j], pos[j]))
+            held += len(begin)
+            if held >= BUFFER >> 2:
+                yield _run_rows(runs)
+                runs, held = {}, 0
+    if runs:
+        yield _run_rows(runs)
 
 
 def _kept_of(batches, window: int, with_text: bool) -> Iterator[pa.RecordBatch]:
@@ -236,51 +235,73 @@ def repeated_paths(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     """
     texts = texts.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     anchors = map_arrow(
-        texts.select("doc_id", "text"),
-        lambda batches: _anchors_of(batches, window, anchor),
-        "anchor long, lo long, hi long, rest array<long>",
+        texts.select("doc_id", "text"), lambda batches: _anchors_of(batches, window, anchor), "anchor long, lo long, rest array<long>"
     )
     of = Window.partitionBy("anchor")
-    shared = anchors.withColumns({"least": F.min("lo").over(of), "most": F.max("hi").over(of)}).where("least <> most")
-    shared = shared.select("anchor", F.explode(F.concat(F.array("lo"), F.coalesce("rest", F.array().cast("array<long>")))).alias("doc_id"))
+    most = F.coalesce(F.element_at("rest", -1), "lo")
+    shared = anchors.withColumns({"least": F.min("lo").over(of), "most": F.max(most).over(of)}).where("least <> most")
+    none = F.array().cast("array<long>")
+    shared = shared.select("anchor", F.explode(F.concat(F.array("lo"), F.coalesce("rest", none))).alias("doc_id"))
     lists = shared.groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
+    runs = map_arrow(texts.join(lists, "doc_id"), lambda batches: _runs_of(batches, window, anchor), _RUN)
 
-    edges = map_arrow(
-        texts.join(lists, "doc_id"),
-        lambda batches: _edges_of(batches, window, anchor),
-        "edge long, chk int, doc_id long, part int, pos int, hi long, nxt int, prv int,"
-        " rest array<struct<doc_id: long, part: int, pos: int>>",
-    )
-    of = Window.partitionBy("edge", "chk")
+    # Equal windows have equal anchors, so one shuffle brings all occurrences
+    # of every edge together.
+    runs = runs.repartition("anchor")
+    edges = runs.select("*", F.posexplode("edges").alias("j", "edge"))
+    edges = edges.withColumns(
+        {
+            "prv": F.when(F.col("j") > 0, F.get("edges", F.col("j") - 1)).otherwise(F.col("before")),
+            "nxt": F.when(F.col("j") < F.size("edges") - 1, F.get("edges", F.col("j") + 1)).otherwise(F.col("after")),
+            "most": F.coalesce(F.element_at("rest", -1)["doc_id"], "doc_id"),
+        }
+    ).drop("edges", "before", "after")
+    of = Window.partitionBy("anchor", "edge")
     n = F.count("*").over(of)
     edges = edges.withColumns(
         {
-            "src": F.min(F.struct("doc_id", "part", "pos")).over(of),
-            "most": F.max("hi").over(of),
+            "src": F.min(F.struct("doc_id", "part", (F.col("pos") + F.col("j")).alias("pos"))).over(of),
+            "last": F.max("most").over(of),
             "fwd": (F.count("nxt").over(of) == n) & (F.min("nxt").over(of) == F.max("nxt").over(of)),
             "back": (F.count("prv").over(of) == n) & (F.min("prv").over(of) == F.max("prv").over(of)),
         }
-    ).where("src.doc_id <> most")
-
-    # Compaction: walk the edges of a source document in order of their place
-    # there; a path ends where the place jumps or an edge branches.
-    here = F.struct("doc_id", "part", "pos")
-    owned = edges.where(F.col("src") == here).select("edge", "chk", "doc_id", "part", "pos", "fwd", "back")
-    along = Window.partitionBy("doc_id", "part").orderBy("pos")
-    follows = (F.lag("pos").over(along) == F.col("pos") - 1) & F.lag("fwd").over(along) & F.col("back")
-    owned = owned.withColumn("head", ~F.coalesce(follows, F.lit(False)))
+    ).where("src.doc_id <> last")
+    # Compaction inside a run: edges that follow each other without a branch.
+    along = Window.partitionBy("anchor", "doc_id", "part", "pos").orderBy("j")
+    follows = (F.lag("j").over(along) == F.col("j") - 1) & F.lag("fwd").over(along) & F.col("back")
+    edges = edges.withColumn("head", ~F.coalesce(follows, F.lit(False)))
+    edges = edges.withColumn("seg", F.sum(F.col("head").cast("int")).over(along))
+    segments = edges.groupBy("anchor", "doc_id", "part", "pos", "seg").agg(
+        F.min(F.struct("j", "src", "back")).alias("a"), F.max(F.struct("j", "fwd")).alias("b"), F.first("rest").alias("rest")
+    )
+    segments = segments.select(
+        "doc_id", "part", "pos", "rest", F.col("a.j").alias("j"), (F.col("b.j") - F.col("a.j") + 1).alias("length"), "a.src", "a.back", "b.fwd"
+    )
+    segments = stage(segments, "substring-segments")
+
+    # Compaction of whole paths: each segment joins the one that follows it in
+    # its source, if neither branches there.
+    owned = segments.where("src.doc_id = doc_id and src.part = part and src.pos = pos + j").select("src", "length", "back", "fwd")
+    ends = owned.where("fwd").select(F.struct("src.doc_id", "src.part", (F.col("src.pos") + F.col("length")).alias("pos")).alias("src"), F.lit(True).alias("led"))
+    owned = owned.join(ends, "src", "left").withColumn("head", ~(F.coalesce("led", F.lit(False)) & F.col("back")))
+    along = Window.partitionBy("src.doc_id", "src.part").orderBy("src.pos")
     owned = owned.withColumn("path", F.sum(F.col("head").cast("int")).over(along))
-    owned = owned.withColumn("length", F.count("*").over(Window.partitionBy("doc_id", "part", "path")).cast("int"))
-    heads = owned.where("head").select("edge", "chk", "length")
-
-    # A path's places are those of its first edge.
-    places = edges.join(heads, ["edge", "chk"])
-    places = places.select(
-        F.explode(F.concat(F.array(here), F.coalesce("rest", F.array().cast("array<struct<doc_id: long, part: int, pos: int>>")))).alias("at"),
-        "length",
-        "src",
+    paths = owned.groupBy("src.doc_id", "src.part", "path").agg(F.min("src").alias("src"), F.sum("length").cast("int").alias("whole"))
+
+    # A path's places are those of its first segment.
+    places = segments.join(paths.select("src", "whole"), "src")
+    none = F.array().cast("array<struct<doc_id: long, part: int, pos: int>>")
+    at = F.explode(F.concat(F.array(F.struct("doc_id", "part", "pos")), F.coalesce("rest", none)))
+    places = places.select(at.alias("at"), "j", "whole", "src")
+    return places.select(
+        "at.doc_id",
+        "at.part",
+        (F.col("at.pos") + F.col("j")).alias("pos"),
+        F.col("whole").alias("length"),
+        F.col("src.doc_id").alias("src_doc"),
+        F.col("src.part").alias("src_part"),
+        F.col("src.pos").alias("src_pos"),
     )
-    return places.select("at.*", "length", *(F.col(f"src.{a}").alias(f"src_{b}") for a, b in (("doc_id", "doc"), ("part", "part"), ("pos", "pos"))))
 
 
 def _spans(texts: DataFrame, window: int, anchor: int) -> DataFrame:
