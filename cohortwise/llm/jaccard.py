@@ -194,9 +194,9 @@ def jaccard_links(texts: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     Returns ``members(id, n_shingles, print, rep)``: each row's class (``rep``
     is the smallest id with an equal set), and ``links(a, b)``: pairs of class
     fingerprints that link. The links hold a pair for each class that links to
-    its buckets' centres, and all further links between classes that these do
-    not connect already, so their components are those of all links. Copies
-    and members of one component are not expanded into pairs.
+    a centre of its buckets, and all further links between classes that these
+    do not connect already, so their components are those of all links.
+    Copies and members of one component are not expanded into pairs.
     """
     members = map_arrow(texts, lambda batches: _prints_of(batches, size), "id long, n_shingles long, print long")
     members = stage(members, "jaccard-members")
@@ -234,26 +234,77 @@ def jaccard_links(texts: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     live = shared.select("signature", "print").distinct().join(info, "print")
     rank = F.struct((F.col("s") / F.col("m")).alias("share"), (-F.col("print")).alias("p"))
     best = Window.partitionBy("signature")
-    live = stage(live.withColumn("top", F.max(rank).over(best)).withColumn("center", -F.col("top.p")).drop("top"), "jaccard-live")
-    star = live.where("center <> print").select(F.col("center").alias("a"), F.col("print").alias("b")).distinct()
-    linked = stage(_verified(star, sets, percent), "jaccard-star")
-
-    # Then the pairs of a bucket that lie in different components, if their
-    # sizes and shared elements allow a link at all.
-    labels = components(linked).withColumnRenamed("node", "print")
-    apart = live.join(labels, "print", "left").withColumn("label", F.coalesce("label", "print")).drop("center")
-    apart = apart.withColumns({"lo": F.min("label").over(bucket), "hi": F.max("label").over(bucket)}).where("lo <> hi")
-    apart = stage(apart.select("signature", "print", "m", "s", "label"), "jaccard-apart")
-    x, y = apart.alias("x"), apart.alias("y")
-    fits = F.expr(
-        f"x.signature = y.signature and x.label < y.label and 100 * least(x.m, y.m) >= {percent} * greatest(x.m, y.m)"
-        f" and {100 + percent} * least(x.s, y.s) >= {percent} * (x.m + y.m)"
-    )
-    rest = x.join(y, fits).select(F.col("x.print").alias("a"), F.col("y.print").alias("b")).distinct()
+    live = live.withColumn("top", F.max(rank).over(best)).withColumn("center", -F.col("top.p"))
+    star = live.where("center <> print").select(F.col("center").alias("c"), "print").distinct()
+    arms = stage(_arms(star, sets, percent), "jaccard-arms")
+    linked = arms.where("linked").select(F.col("c").alias("a"), F.col("print").alias("b"))
+
+    # Then what these links leave apart.
+    labels = stage(components(linked), "jaccard-labels")
+    rest = _remaining(arms, labels, percent)
     rest = stage(_verified(rest, sets, percent), "jaccard-rest")
     return members.join(reps.select("print", "rep"), "print"), linked.unionByName(rest)
 
 
+def _arms(star: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Each class against its centre: sizes, the elements only one has, and if they link."""
+    own = sets.select("print", F.col("elements").alias("e"))
+    center = sets.select(F.col("print").alias("c"), F.col("elements").alias("ec"))
+    differ = F.concat(F.array_except("e", "ec"), F.array_except("ec", "e"))
+    arms = star.join(own, "print").join(center, "c")
+    arms = arms.select("c", "print", F.size("e").alias("m"), F.size("ec").alias("mc"), differ.alias("differ"))
+    arms = arms.withColumn("d", F.size("differ"))
+    return arms.withColumn("linked", F.expr(f"{100 + percent} * d <= {100 - percent} * (m + mc)"))
+
+
+def _remaining(arms: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Candidate links ``(a, b)`` between classes that the first links leave apart.
+
+    Every candidate pair of a bucket has the bucket's centre c in common. With
+    D(x) the elements that only one of x and c has, x and y differ in
+    ``|D(x)| + |D(y)| - 2 |D(x) and D(y)|`` elements, so a link needs
+    ``overlap >= (|D(x)| + |D(y)| - k) / 2`` with ``k = (100 - p)(m(x) + m(y)) /
+    (100 + p)``. That is at least 1 unless both link to c. It is an overlap
+    join of the D sets, which prefix filtering solves: in order of frequency,
+    rarest first, the first ``|D| - overlap + 1`` elements of both must meet.
+    The rows that are joined take the least overlap with any partner, and the
+    join holds the places of the common element against that of the pair.
+    """
+    share = F.lit((100 - percent) / (100 + percent))
+    of = labels.select(F.col("node").alias("print"), "label")
+    rows = arms.join(of, "print", "left").withColumn("label", F.coalesce("label", "print"))
+    centers = labels.select(F.col("node").alias("c"), F.col("label").alias("lc"))
+    rows = rows.join(centers, "c", "left").withColumn("lc", F.coalesce("lc", "c"))
+    mixed = rows.groupBy("c").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.first("lc").alias("lc"))
+    mixed = mixed.where("lo <> hi").select("c")
+    # The least overlap with any partner: one that links to c can only lack a
+    # link to a class that does not; otherwise |D(y)| >= |D(x)| - k, and y has
+    # at most m(x) * 100 / p elements.
+    most = F.floor(share * F.col("m") * (1 + 100 / percent) + 1e-9)
+    near = F.floor((F.col("d") - share * (F.col("m") - F.col("mc"))) / 2)
+    need = F.greatest(F.lit(1), F.when(F.col("linked"), near).otherwise(F.col("d") - most))
+    rows = rows.join(mixed, "c", "left_semi").withColumn("take", (F.col("d") - need + 1).cast("int")).where("take > 0")
+    rows = stage(rows.select("c", "print", "label", "m", "d", "take", "differ"), "jaccard-apart")
+
+    held = rows.select("c", "print", F.explode("differ").alias("e"))
+    often = held.groupBy("c", "e").agg(F.count("*").alias("n")).where("n > 1")
+    sorted_ = held.join(often, ["c", "e"]).groupBy("c", "print").agg(F.sort_array(F.collect_list(F.struct("n", "e"))).alias("es"))
+    # Elements that one class alone has come first in the order and meet nothing.
+    left = F.col("take") - (F.col("d") - F.size("es"))
+    prefix = rows.drop("differ").join(sorted_, ["c", "print"])
+    prefix = prefix.withColumns({"single": F.col("d") - F.size("es"), "es": F.slice("es", 1, F.greatest(left, F.lit(0)))})
+    prefix = prefix.select("c", "print", "label", "m", "d", "single", F.posexplode("es.e").alias("i", "e"))
+    prefix = prefix.withColumn("left", F.expr("d - single - i")).drop("single", "i")  # elements from this one on
+    prefix = stage(prefix, "jaccard-prefix")
+    x, y = prefix.alias("x"), prefix.alias("y")
+    fits = F.expr(
+        "x.c = y.c and x.e = y.e and x.label < y.label"
+        f" and 100 * least(x.m, y.m) >= {percent} * greatest(x.m, y.m)"
+        f" and {100 + percent} * (x.d + y.d) - {100 - percent} * (x.m + y.m) <= {2 * (100 + percent)} * least(x.left, y.left)"
+    )
+    return x.join(y, fits).select(F.col("x.print").alias("a"), F.col("y.print").alias("b")).distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets really are similar, by exact intersection."""
     left = sets.select(F.col("print").alias("a"), F.col("elements").alias("ea"))
