@@ -247,7 +247,7 @@ def repeated_paths(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
 
     # Equal windows have equal anchors, so one shuffle brings all occurrences
     # of every edge together.
-    runs = runs.repartition("anchor")
+    runs = runs.repartition("anchor").withColumn("run", F.monotonically_increasing_id())
     edges = runs.select("*", F.posexplode("edges").alias("j", "edge"))
     edges = edges.withColumns(
         {
@@ -267,12 +267,14 @@ def repeated_paths(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         }
     ).where("src.doc_id <> last")
     # Compaction inside a run: edges that follow each other without a branch.
-    along = Window.partitionBy("anchor", "doc_id", "part", "pos").orderBy("j")
+    along = Window.partitionBy("anchor", "run").orderBy("j")
     follows = (F.lag("j").over(along) == F.col("j") - 1) & F.lag("fwd").over(along) & F.col("back")
     edges = edges.withColumn("head", ~F.coalesce(follows, F.lit(False)))
     edges = edges.withColumn("seg", F.sum(F.col("head").cast("int")).over(along))
-    segments = edges.groupBy("anchor", "doc_id", "part", "pos", "seg").agg(
-        F.min(F.struct("j", "src", "back")).alias("a"), F.max(F.struct("j", "fwd")).alias("b"), F.first("rest").alias("rest")
+    segments = edges.groupBy("anchor", "run", "seg").agg(
+        *[F.first(c).alias(c) for c in ("doc_id", "part", "pos", "rest")],
+        F.min(F.struct("j", "src", "back")).alias("a"),
+        F.max(F.struct("j", "fwd")).alias("b"),
     )
     segments = segments.select(
         "doc_id", "part", "pos", "rest", F.col("a.j").alias("j"), (F.col("b.j") - F.col("a.j") + 1).alias("length"), "a.src", "a.back", "b.fwd"
@@ -281,7 +283,8 @@ def repeated_paths(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
 
     # Compaction of whole paths: each segment joins the one that follows it in
     # its source, if neither branches there.
-    owned = segments.where("src.doc_id = doc_id and src.part = part and src.pos = pos + j").select("src", "length", "back", "fwd")
+    owned = segments.where("src.doc_id = doc_id and src.part = part and src.pos = pos + j")
+    owned = owned.select("src", "length", "back", "fwd").distinct()  # a repeated row has the same ones
     ends = owned.where("fwd").select(F.struct("src.doc_id", "src.part", (F.col("src.pos") + F.col("length")).alias("pos")).alias("src"), F.lit(True).alias("led"))
     owned = owned.join(ends, "src", "left").withColumn("head", ~(F.coalesce("led", F.lit(False)) & F.col("back")))
     along = Window.partitionBy("src.doc_id", "src.part").orderBy("src.pos")
