@@ -122,7 +122,7 @@ def icd10_lookup(codes: DataFrame, icd_dict: DataFrame) -> DataFrame:
         .join(titles, "code3", "left")
     )
     short_codes = (
-        c.where(F.length("code") == 3)
+        c.where(F.col("code_length") == 3)
         .join(cur.select("code", "description"), "code")
         .withColumn("title3", F.col("description"))
     )

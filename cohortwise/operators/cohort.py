@@ -30,6 +30,12 @@ from cohortwise.plans.sizing import small_side
 # Deprivation quintile labels and cohort text labels.
 QUINTILE_LABELS = {1: "1. Most Deprived", 2: "2.", 3: "3.", 4: "4.", 5: "5. Least Deprived"}
 SEX_LABELS = {1: "Male", 2: "Female"}
+# Columns of the spell rows that the cohort steps name themselves; any other
+# column is a person attribute and is carried along.
+_SPELL_COLUMNS = frozenset(
+    ["person_id", "birth_dt", "death_dt", "sex_cd", "age_at_start", "flag_dead", "active_from", "active_to", "area_cd"]
+    + ["dep1_quintile", "dep1_desc", "dep2_quintile", "dep2_desc", "practice_id", "flag_start", "later_dt", "covers_start"]
+)
 START_LABELS = {1: "Joined the cohort on COHORT_ST_DT", 0: "Joined the cohort after COHORT_ST_DT"}
 EXIT_DEATH = "DEATH"
 EXIT_LOST = "LOST TO FOLLOW UP"
@@ -123,14 +129,14 @@ def study_window_filter(rows: DataFrame, ethnicity: DataFrame, window: StudyWind
         & (F.col("active_from") <= F.lit(window.end))
         & ((F.col("death_dt") > F.col("active_from")) | F.col("death_dt").isNull())
     )
-    eth_cols = [c for c in ethnicity.columns if c != "person_id"]
+    attributes = [c for c in ethnicity.columns if c != "person_id"]
     return kept.join(ethnicity, "person_id", "left").select(
         "person_id",
         "birth_dt",
         "death_dt",
         "sex_cd",
         F.when(age >= 0, age).cast("int").alias("age_at_start"),
-        *eth_cols,
+        *attributes,
         "area_cd",
         "practice_id",
         "active_from",
@@ -166,14 +172,14 @@ def deprivation_lookup(areas: DataFrame) -> DataFrame:
 def deprivation_map(rows: DataFrame, areas: DataFrame, window: StudyWindow) -> DataFrame:
     """Attach deprivation quintiles by area and a died-by-window-end flag."""
     lookup = small_side(deprivation_lookup(areas))
-    eth_cols = [c for c in rows.columns if c.startswith("ethn_")]
+    attributes = [c for c in rows.columns if c not in _SPELL_COLUMNS]
     return rows.join(lookup, "area_cd", "left").select(
         "person_id",
         "birth_dt",
         "death_dt",
         F.col("sex_cd").cast("int").alias("sex_cd"),
         "age_at_start",
-        *eth_cols,
+        *attributes,
         F.when(F.col("death_dt") <= F.lit(window.end), 1).otherwise(0).alias("flag_dead"),
         "active_from",
         "active_to",
@@ -252,7 +258,7 @@ def cohort_table(
     length in days (an open end counts to the window end), exit reason and
     baseline residence. Conflicting demographics give several rows."""
     first = islands.where(F.col("rw_seq") == 1).select("person_id", "entry_dt", "exit_dt")
-    eth_cols = [c for c in flagged.columns if c.startswith("ethn_")]
+    attributes = [c for c in flagged.columns if c not in _SPELL_COLUMNS]
     length = F.when(
         F.col("exit_dt") == F.lit(OPEN_END), days_between(F.lit(window.end), F.col("entry_dt"))
     ).otherwise(days_between(F.col("exit_dt"), F.col("entry_dt")))
@@ -264,7 +270,7 @@ def cohort_table(
         "sex_cd",
         _label(F.col("sex_cd"), SEX_LABELS).alias("sex_desc"),
         "age_at_start",
-        *eth_cols,
+        *attributes,
         "flag_start",
         _label(F.col("flag_start"), START_LABELS).alias("flag_start_desc"),
         "later_dt",

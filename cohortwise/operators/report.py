@@ -270,7 +270,9 @@ def records_per_person(outcomes: DataFrame, source: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k")).alias("ss")
     )
     n, s, ss = F.col("n"), F.col("s"), F.col("ss")
-    var = (n * ss - s * s) / (n * (n - 1))
+    wide = [c.cast("decimal(38,0)") for c in (n, s, ss)]  # products of counts pass 64 bits
+    spread = (wide[0] * wide[2] - wide[1] * wide[1]).cast("double")
+    var = spread / (wide[0] * (wide[0] - 1)).cast("double")
     return agg.select(
         "concept",
         F.lit(source).alias("source"),

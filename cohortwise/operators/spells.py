@@ -85,8 +85,10 @@ def merge_spells(
     else:
         counts = spells.groupBy("person_id").agg(F.count(F.lit(1)).alias("_n"))
         hot = small_side(counts.where(F.col("_n") > hot_threshold).select("person_id"))
-        islands = _islands_by_person(spells.join(hot, "person_id", "left_anti"), window.gap_days, rule).unionByName(
-            _islands_by_day(spells.join(hot, "person_id", "left_semi"), window.gap_days, rule)
+        # A null person is a group like any other, on either path.
+        listed = spells["person_id"].eqNullSafe(hot["person_id"])
+        islands = _islands_by_person(spells.join(hot, listed, "left_anti"), window.gap_days, rule).unionByName(
+            _islands_by_day(spells.join(hot, listed, "left_semi"), window.gap_days, rule)
         )
     # Two islands can only coincide on malformed spells (end < start); keep one.
     # Islands of well-formed spells have distinct start days, so this window is
@@ -169,7 +171,9 @@ def _islands_by_day(spells: DataFrame, gap: int, rule: str) -> DataFrame:
     else:
         prev_end = F.greatest(prev_in_day, F.col("prev_day_e"))
     opens = F.when(prev_end.isNull() | (F.date_diff(F.col("s"), prev_end) >= gap), 1).otherwise(0)
-    tagged = spells.join(per_day, ["person_id", "s"]).withColumn("opens", opens)
+    per_day = per_day.withColumnsRenamed({"person_id": "_person", "s": "_day"})
+    same = F.col("person_id").eqNullSafe(F.col("_person")) & (F.col("s") == F.col("_day"))
+    tagged = spells.join(per_day, same).withColumn("opens", opens)
     tagged = tagged.withColumn(
         "island",
         F.col("offset") + F.sum("opens").over(in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)),

@@ -31,16 +31,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` names a folder every executor can reach; it is
-    read from the session. Only when it is unset (local tests) a local
-    temporary folder is created and registered as the checkpoint folder.
+    read from the session. Where it is unset, a local session (tests) gets a
+    temporary one; on a cluster that is an error, as other machines could not
+    read a local folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        try:
-            base = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - e.g. remote sessions without a context
-            base = None
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="cohortwise-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base

@@ -47,11 +47,7 @@ class Study:
         by one query (cohort, outcomes, ...) are reused by the next one in the
         same application instead of being rebuilt.
         """
-        try:
-            app = spark.conf.get("spark.app.id")
-        except Exception:  # noqa: BLE001 - sessions without the setting
-            app = str(id(spark))
-        key = (app, sf_dir)
+        key = (spark.sparkContext.applicationId, sf_dir)
         if key not in _CATALOG:
             _CATALOG[key] = cls(spark, sf_dir)
         return _CATALOG[key]
@@ -74,10 +70,7 @@ class Study:
         self.island_rule = island_rule
         self._root = None
         if checkpoint:
-            try:
-                self._root = shared_dir(spark, "study")  # shared folder under spark.checkpoint.dir
-            except Exception:  # noqa: BLE001 - sessions that cannot name a folder: keep lineage
-                self._checkpoint = False
+            self._root = shared_dir(spark, "study")  # shared folder under spark.checkpoint.dir
 
     def _cut(self, df: DataFrame, name: str = "stage") -> DataFrame:
         """Materialize a stage that later steps reuse several times.

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Column order of the published codelist files.
-READ_V2_HEADER = ["code", "DESCRIPTION_EXTERNAL ", "MELDB_concept", "description", "DESCRIPTION", "CONCEPT TYPE"]
-ICD10_HEADER = ["code", "description", "MELDB_concept", "DESCRIPTION", "CONCEPT TYPE"]
+READ_V2_HEADER = ["code", "DESCRIPTION_EXTERNAL ", "concept", "description", "DESCRIPTION", "CONCEPT TYPE"]
+ICD10_HEADER = ["code", "description", "concept", "DESCRIPTION", "CONCEPT TYPE"]
 
 _POSITIONAL = {
     "readv2": ["code", "description_external", "concept_col", "description_a", "description_b", "concept_type"],
