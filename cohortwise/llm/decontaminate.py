@@ -26,6 +26,7 @@ from cohortwise.llm.store import map_arrow
 
 U = np.uint64
 K1, B = 1.2, 0.75
+CELLS = 1 << 20  # passages x blocks whose bounds a task holds at once
 #: Marks trimmed from both ends of a word before it is compared.
 TRIM = np.zeros(256, bool)
 TRIM[list(b".,;:!?\"'()[]{}|*#$%&<>-")] = True
@@ -159,32 +160,46 @@ def _search(chunk: W.Chunk, h: np.ndarray, index: Index, settings: Settings) ->
         pairs.append((pfirst[text[ok]] + p[ok]) * len(index.terms) + term[ok])
     pairs = np.unique(np.concatenate(pairs))
     passage, term = pairs // len(index.terms), pairs % len(index.terms)
+    # So many passages at a time that passages x blocks stays bounded.
+    blocks = len(index.rest)
+    step = max(1, CELLS // blocks)
+    for low in range(0, int(pfirst[-1]), step):
+        high = min(low + step, int(pfirst[-1]))
+        own = slice(*np.searchsorted(passage, [low, high]))
+        opened = _opened(passage[own] - low, term[own], high - low, index, settings.threshold)
+        for p in np.flatnonzero(opened.any(axis=1)):
+            yield from _scored(chunk, h, pfirst, low + p, opened[p], index, settings)
+
+
+def _opened(passage: np.ndarray, term: np.ndarray, passages: int, index: Index, threshold: float) -> np.ndarray:
+    """Which blocks (columns) the bounds of each passage's terms (rows) open."""
     blocks = len(index.rest)
     sizes = index.block_at[term + 1] - index.block_at[term]
     posting = W.ranges(index.block_at[term], sizes)
     key = np.repeat(passage, sizes) * blocks + index.block[posting]
-    bounds = np.zeros((int(pfirst[-1]), blocks))
-    if len(key):
-        bounds += np.bincount(key, weights=index.bound[posting], minlength=bounds.size).reshape(bounds.shape)
-    opened = bounds + index.rest >= settings.threshold - 1e-9
-    for p in np.flatnonzero(opened.any(axis=1)):
-        i = int(np.searchsorted(pfirst, p, "right")) - 1
-        start = int(chunk.first[i] + (p - pfirst[i]) * index.stride)
-        words = h[start : min(start + 2 * index.stride, int(chunk.first[i + 1]))]
-        own = np.unique(words)
-        t = np.searchsorted(index.terms, own)
-        t[t == len(index.terms)] = 0
-        t = t[index.terms[t] == own]
-        posting = W.ranges(index.at[t], index.at[t + 1] - index.at[t])
-        posting = posting[opened[p][index.item[posting] // settings.block]]
-        scores = np.bincount(index.item[posting], weights=index.impact[posting], minlength=len(index.items))
-        for j in np.flatnonzero(scores >= settings.threshold):
-            found = []
-            for grams, n in ((index.question[j], index.gram[j][0]), (index.answer[j], index.gram[j][1])):
-                there, _ = W.windows(words, np.array([0, len(words)]), n)
-                found.append(float(np.isin(grams, there).mean()) if len(grams) else 1.0)
-            if found[0] >= settings.question and found[1] >= settings.answer:
-                yield i, j, start - int(chunk.first[i]), float(scores[j]), found[0], found[1]
+    bounds = np.bincount(key, weights=index.bound[posting], minlength=passages * blocks).reshape(passages, blocks)
+    return bounds + index.rest >= threshold - 1e-9
+
+
+def _scored(chunk: W.Chunk, h: np.ndarray, pfirst: np.ndarray, p: int, opened: np.ndarray, index: Index, settings: Settings) -> Iterator[tuple]:
+    """The verified hits of passage ``p`` among the items of its opened blocks."""
+    i = int(np.searchsorted(pfirst, p, "right")) - 1
+    start = int(chunk.first[i] + (p - pfirst[i]) * index.stride)
+    words = h[start : min(start + 2 * index.stride, int(chunk.first[i + 1]))]
+    own = np.unique(words)
+    t = np.searchsorted(index.terms, own)
+    t[t == len(index.terms)] = 0
+    t = t[index.terms[t] == own]
+    posting = W.ranges(index.at[t], index.at[t + 1] - index.at[t])
+    posting = posting[opened[index.item[posting] // settings.block]]
+    scores = np.bincount(index.item[posting], weights=index.impact[posting], minlength=len(index.items))
+    for j in np.flatnonzero(scores >= settings.threshold):
+        found = []
+        for grams, n in ((index.question[j], index.gram[j][0]), (index.answer[j], index.gram[j][1])):
+            there, _ = W.windows(words, np.array([0, len(words)]), n)
+            found.append(float(np.isin(grams, there).mean()) if len(grams) else 1.0)
+        if found[0] >= settings.question and found[1] >= settings.answer:
+            yield i, j, start - int(chunk.first[i]), float(scores[j]), found[0], found[1]
 
 
 def _hits_of(batches, index: Index, settings: Settings):
