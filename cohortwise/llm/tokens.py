@@ -10,6 +10,7 @@ positions, which start again at every segment.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,6 +26,7 @@ from cohortwise.llm.store import map_arrow
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that this vocabulary splits texts by.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_CUT = re.compile(r"\S(?=[ \t-\r])")  # a word's end before plain white space
 
 
 @dataclass(frozen=True)
@@ -32,6 +34,7 @@ class Settings:
     row: int = 2048  # tokens
     end: int = 50256  # closes every document and pads rows
     slice_bytes: int = 8 << 20  # of text that is packed together
+    piece: int = 1 << 18  # characters that are encoded at once, about
 
 
 class RoomTree:
@@ -85,55 +88,38 @@ def best_fit_decreasing(lengths: np.ndarray, row: int) -> list[list[int]]:
 
 
 class Encoder:
-    """Token ids of many texts; each distinct word of a slice is encoded once.
+    """Token ids of whole texts, encoded in pieces of about ``piece`` characters.
 
     Tokens never span from a word into the white space after it, so a text's
-    ids are those of its words, each with the white space before it.
+    ids are those of pieces cut there; one without such a place is one piece.
     """
 
-    def __init__(self, ranks: bytes):
+    def __init__(self, ranks: bytes, piece: int = Settings.piece):
         import tiktoken
 
         pairs = (line.split() for line in ranks.splitlines() if line)
+        self.piece = piece
         self.bpe = tiktoken.Encoding(
             "public", pat_str=PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens={}
         )
 
+    def _pieces(self, text: str) -> Iterator[str]:
+        at = 0
+        while len(text) - at > self.piece and (found := _CUT.search(text, at + self.piece)):
+            yield text[at : found.end()]
+            at = found.end()
+        yield text[at:]
+
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets by text); ``end`` closes each text."""
-        units, flat = [], []
-        for chunk in W.chunks(texts):
-            # A unit runs from the end of the last word (or the text's start)
-            # to the end of this word; the rest of the text is a unit too.
-            last = chunk.first[1:] - 1
-            some = chunk.counts() > 0
-            tail = np.where(some, chunk.ends[np.maximum(last, 0)] if len(chunk.ends) else 0, chunk.offsets[:-1])
-            stops = np.concatenate([chunk.ends, chunk.offsets[1:]])
-            begins = np.concatenate([np.concatenate([[0], chunk.ends])[:-1], tail])
-            begins[chunk.first[:-1][some]] = chunk.offsets[:-1][some]
-            owner = np.concatenate([np.repeat(np.arange(chunk.n), chunk.counts()), np.arange(chunk.n)])
-            order = np.lexsort((np.arange(len(owner)), owner))  # a text's rest comes after its words
-            begins, stops, owner = begins[order], stops[order], owner[order]
-            whole = W.Chunk(chunk.row, chunk.data, chunk.offsets, begins, stops, chunk.first)
-            units.append((chunk, begins, stops, owner + chunk.row, whole.hashes(fold=False)))
-        hashes = np.concatenate([u[4] for u in units]) if units else np.zeros(0, np.uint64)
-        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        starts = np.concatenate([[0], np.cumsum([len(u[4]) for u in units])])
-        for at in first:
-            k = int(np.searchsorted(starts, at, "right")) - 1
-            chunk, begins, stops = units[k][:3]
-            i = at - starts[k]
-            text = chunk.data[begins[i] : stops[i]].tobytes().decode("utf-8", "replace")
-            flat.append(self.bpe.encode_ordinary(text))
-        own = np.array([len(x) for x in flat], np.int64)
-        pool = np.concatenate([np.array(x, np.int32) for x in flat if x] or [np.zeros(0, np.int32)])
-        place = np.cumsum(own) - own
-        owners = np.concatenate([u[3] for u in units]) if units else np.zeros(0, np.int64)
-        ids = pool[W.ranges(place[inverse], own[inverse])]
-        sizes = np.bincount(owners, weights=own[inverse], minlength=len(texts)).astype(np.int64)
-        offsets = np.concatenate([[0], np.cumsum(sizes)])
-        closed = np.insert(ids, offsets[1:], end)
-        return closed, offsets + np.arange(len(texts) + 1)
+        parts, sizes = [], np.zeros(len(texts) + 1, np.int64)
+        for i, text in enumerate(texts.to_pylist(), 1):
+            for piece in self._pieces(text or ""):
+                parts.append(np.array(self.bpe.encode_ordinary(piece), np.int32))
+                sizes[i] += len(parts[-1])
+            parts.append(np.array([end], np.int32))
+            sizes[i] += 1
+        return np.concatenate(parts or [np.zeros(0, np.int32)]), np.cumsum(sizes)
 
 
 def _slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
@@ -147,7 +133,7 @@ def _slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
 
 
 def _rows_of(batches, ranks: bytes, settings: Settings) -> Iterator[pa.RecordBatch]:
-    encoder, made = Encoder(ranks), 0
+    encoder, made = Encoder(ranks, settings.piece), 0
     task = TaskContext.get().partitionId()
     for batch in batches:
         texts, docs = batch.column("text"), batch.column("doc_id")

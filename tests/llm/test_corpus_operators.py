@@ -248,6 +248,23 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.contaminated(none, tests).count() == 0
 
 
+def test_passages_are_searched_in_groups(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    items = [(i, sentence(rng, 25) + f". Answer {sentence(rng, 12)}.") for i in range(40)]
+    texts = pa.array([sentence(rng, 90 * i) + " " + items[i][1] for i in range(12)] + [None, ""])
+    index = decontaminate.build_index(items, decontaminate.Settings())
+
+    def hits():
+        for chunk in decontaminate.W.chunks(texts):
+            yield from decontaminate._search(chunk, decontaminate.trimmed(chunk), index, decontaminate.Settings())
+
+    want = list(hits())
+    monkeypatch.setattr(decontaminate, "CELLS", 7)
+    assert list(hits()) == want and {(i, j) for i, j, *_ in want} >= {(i, i) for i in range(12)}
+
+
 def test_flexible_packing(docs, rows, none):
     got = packing.best_fit_bins(docs, capacities=(16, 64, 256), block=20).collect()
     fill, sizes = collections.Counter(), collections.Counter()
@@ -296,6 +313,17 @@ def test_token_rows_hold_every_token(docs, rows, none):
     assert tokens.packed_rows(none).count() == 0
 
 
+def test_texts_are_encoded_in_pieces(rows):
+    import pyarrow as pa
+
+    texts = [t for _, t, *_ in rows] + ["a\u00a0\n b \u2003 c\x85 \t d " * 50, "x" * 3000, " " * 3000, "\n a" * 700]
+    whole = tokens.Encoder(open(tokens.VOCABULARY, "rb").read())
+    parts = tokens.Encoder(open(tokens.VOCABULARY, "rb").read(), piece=100)
+    ids, offsets = parts.encode(pa.array(texts), 50256)
+    for t, a, b in zip(texts, offsets[:-1], offsets[1:], strict=True):
+        assert ids[a:b].tolist() == [*whole.bpe.encode_ordinary(t or ""), 50256]
+
+
 def test_lookup_table():
     names = tuple(f"s{i}" for i in range(7))
     table = sharding.lookup_table(names, 101)
