@@ -4,7 +4,8 @@
 the record type and on header columns are pushed into the reader: it parses a
 record's header, and skips the payload of a record that a filter rejects, or
 of every record with option ``payload=false``, without reading or decoding it.
-``df.write.format("warc")`` writes one record per row; a manifest, written on
+``df.write.format("warc")`` writes one record per row, each a gzip member that
+states its lengths, so that a skipped payload is not inflated; a manifest, written on
 commit, names the files of successful tasks, so lost or repeated tasks leave
 nothing that is read.
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import json
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -77,23 +79,33 @@ class PlainFile:
 
 
 class GzipFile:
-    """Bytes of an archive of gzip members; ``skip`` inflates a piece at a time."""
+    """Bytes of an archive of gzip members.
 
-    AHEAD = 1 << 16
+    ``skip`` jumps over the rest of a member that states its lengths (as
+    ``_member`` writes them), and inflates a piece of any other at a time.
+    """
+
+    AHEAD, FEED = 1 << 16, 1 << 14
 
     def __init__(self, file: pa.NativeFile):
-        self.file, self.inflate, self.raw, self.held = file, zlib.decompressobj(31), b"", b""
+        self.raw, self.held = PlainFile(file), b""
+        self.inflate = self.left = None  # left: bytes of the member that are not inflated yet, if known
+        self.end = 0
 
     def peek(self, n: int) -> bytes:
         parts, have = [self.held], len(self.held)
-        while have < n:
-            if self.inflate.eof:
-                self.raw, self.inflate = self.inflate.unused_data, zlib.decompressobj(31)
-            raw, self.raw = self.raw or self.file.read(self.AHEAD), b""
-            if not raw:
-                break
+        while have < n and (raw := self.raw.peek(self.FEED)):
+            if self.inflate is None:
+                self.inflate = zlib.decompressobj(31)
+                size, self.left = _member_lengths(raw)
+                self.end = self.raw.at + size
             parts.append(self.inflate.decompress(raw))
             have += len(parts[-1])
+            self.raw.skip(len(raw) - len(self.inflate.unused_data))
+            if self.left is not None:
+                self.left -= len(parts[-1])
+            if self.inflate.eof:
+                self.inflate = self.left = None
         self.held = b"".join(parts)
         return self.held[:n]
 
@@ -103,8 +115,35 @@ class GzipFile:
         return data
 
     def skip(self, n: int) -> None:
-        while n > 0 and (data := self.read(min(n, self.AHEAD))):
-            n -= len(data)
+        while n > 0:
+            if self.held or self.left is None or n < self.left:
+                data = self.read(min(n, len(self.held) or self.AHEAD))
+                if not data:
+                    return
+                n -= len(data)
+            else:
+                n -= self.left
+                self.raw.at = self.end
+                self.inflate = self.left = None
+
+
+_LENGTHS = b"SK"  # the extra field of a gzip header that holds a member's lengths
+
+
+def _member(data: bytes) -> bytes:
+    """``data`` as one gzip member whose header states its lengths, packed and not."""
+    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = packer.compress(data) + packer.flush()
+    field = _LENGTHS + struct.pack("<HQQ", 16, 12 + 20 + len(body) + 8, len(data))
+    head = b"\x1f\x8b\x08\x04" + bytes(4) + b"\x00\xff" + struct.pack("<H", len(field)) + field
+    return head + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+
+
+def _member_lengths(raw: bytes) -> tuple[int, int | None]:
+    """(bytes of the member, bytes it inflates to) as its header states; (0, None) if not."""
+    if len(raw) >= 32 and raw[3] & 4 and raw[10:16] == struct.pack("<H2sH", 20, _LENGTHS, 16):
+        return struct.unpack("<QQ", raw[16:32])
+    return 0, None
 
 
 def _head(file: PlainFile | GzipFile) -> dict[str, str] | None:
@@ -177,12 +216,12 @@ def records(file: PlainFile | GzipFile, tests: list, payload: bool) -> Iterator[
             if head.get("content-type", "").startswith("application/http"):
                 block = block.partition(b"\r\n\r\n")[2]
             row["payload"] = block
+            file.skip(4)
             yield row
         else:
-            file.skip(left)
+            file.skip(left + 4)
             if _matches(row, tests):
                 yield row
-        file.skip(4)
 
 
 def _record(row: dict) -> bytes:
@@ -273,9 +312,9 @@ class WarcWriter(DataSourceArrowWriter):
         for batch in iterator:
             for row in batch.to_pylist():
                 if out is None:
-                    files.append(f"{uuid.uuid4().hex}.warc")
-                    out, size = store.open_output_stream(f"{base}/{files[-1]}", buffer_size=1 << 18), 0
-                data = _record(row)
+                    files.append(f"{uuid.uuid4().hex}.warc.gz")
+                    out, size = store.open_output_stream(f"{base}/{files[-1]}", compression=None, buffer_size=1 << 18), 0
+                data = _member(_record(row))
                 out.write(data)
                 size += len(data)
                 if size >= self.file_bytes:

@@ -394,3 +394,12 @@ def test_warc_filters_skip_payloads(spark, tmp_path):
     file = Counting(big)
     assert len(list(warc.records(warc.PlainFile(file), [], False))) == 3 and file.bytes < 1_000_000
     assert pa.__version__
+
+    noise = np.random.default_rng(1)
+    parts = [r | {"payload": noise.bytes(3_000_000), "payload_bytes": 3_000_000} for r in rows]
+    packed = b"".join(warc._member(warc._record(r)) for r in parts)
+    file = Counting(packed)
+    assert [r["record_id"] for r in warc.records(warc.GzipFile(file), [], False)] == [r["record_id"] for r in rows]
+    assert file.bytes < 1_000_000
+    assert [r["payload"] for r in warc.records(warc.GzipFile(Counting(packed)), [], True)] == [r["payload"] for r in parts]
+    assert gzip.decompress(packed) == b"".join(warc._record(r) for r in parts)
