@@ -66,17 +66,12 @@ def valid_registry_people(spells: DataFrame, births: DataFrame, deaths: DataFram
     )
     b = births.select("person_id", F.col("birth_dt").alias("reg_b"))
     d = deaths.select("person_id", F.col("death_dt").alias("reg_d"))
-    birth_ok = (
-        s.join(b, "person_id", "left")
-        .where(_consistent(F.col("own_b"), F.col("reg_b"), allow_both_missing=False))
-        .select("person_id")
-    )
-    death_ok = (
-        s.join(d, "person_id", "left")
-        .where(_consistent(F.col("own_d"), F.col("reg_d"), allow_both_missing=True))
-        .select("person_id")
-    )
-    return birth_ok.distinct().join(death_ok.distinct(), "person_id", "left_semi")
+    birth_ok = _consistent(F.col("own_b"), F.col("reg_b"), allow_both_missing=False)
+    death_ok = _consistent(F.col("own_d"), F.col("reg_d"), allow_both_missing=True)
+    # One pass: the spells meet both registries by the same key, and each
+    # person's rows are combined map-side.
+    checks = s.join(b, "person_id", "left").join(d, "person_id", "left").groupBy("person_id")
+    return checks.agg(F.max(birth_ok).alias("birth_ok"), F.max(death_ok).alias("death_ok")).where("birth_ok AND death_ok").select("person_id")
 
 
 def reconcile_demographics(

@@ -60,23 +60,30 @@ def match_hospital(
     (4-character text from the dictionary) or on their 4-character code to
     4-character lookup codes, with episode and spell dates; distinct.
 
-    The small lookups filter the diagnoses first, so only matched diagnoses
-    reach the joins with episodes and spells.
+    The diagnoses are scanned once, each with its two keys, and the lookup
+    filters them first, so only matched diagnoses reach the joins with
+    episodes and spells.
     """
-    ok = icd_lookup.where(F.col("sensitive") == 0)
-    by3 = ok.where(F.col("code_length") == 3).select(
-        F.col("code").alias("diag_cd_123"), "concept", F.col("title3").alias("diag_cd_123_desc")
+    lookup = icd_lookup.where((F.col("sensitive") == 0) & F.col("code_length").isin(3, 4)).select(
+        F.col("code_length").alias("_length"), F.col("code").alias("_key"), "concept",
+        F.col("title3").alias("diag_cd_123_desc"), F.col("description").alias("_text"),
     )
-    by4 = ok.where(F.col("code_length") == 4).select(
-        F.col("code").alias("diag_cd_1234"), "concept", F.col("title3").alias("diag_cd_123_desc"),
-        F.col("description").alias("diag_cd_1234_desc"),
+    titles4 = icd_dict.select(F.col("alt_code").alias("_title_of"), F.col("description").alias("_title"))
+    keys = F.array(
+        F.struct(F.lit(3).alias("n"), F.col("diag_cd_123").alias("key")), F.struct(F.lit(4).alias("n"), F.col("diag_cd_1234").alias("key"))
+    )
+    short = F.col("_length") == 3
+    matched = (
+        diag.withColumn("_k", F.explode(keys))
+        .withColumns({"_length": F.col("_k.n"), "_key": F.col("_k.key")})
+        .join(small_side(lookup), ["_length", "_key"])
+        .withColumn("_title_of", F.when(short, F.col("diag_cd_1234")))
+        .join(small_side(titles4), "_title_of", "left")
+        .withColumn("diag_cd_1234_desc", F.when(short, F.col("_title")).otherwise(F.col("_text")))
     )
-    titles4 = icd_dict.select(F.col("alt_code").alias("diag_cd_1234"), F.col("description").alias("diag_cd_1234_desc"))
-    m3 = diag.join(small_side(by3), "diag_cd_123").join(small_side(titles4), "diag_cd_1234", "left")
-    m4 = diag.join(small_side(by4), "diag_cd_1234")
     dcols = ["provider_cd", "spell_id", "epi_num", "diag_num", "diag_cd", "diag_cd_123", "diag_cd_1234",
              "concept", "diag_cd_123_desc", "diag_cd_1234_desc"]
-    matched = m3.select(*dcols).unionByName(m4.select(*dcols))
+    matched = matched.select(*dcols)
     epi = episodes.select("provider_cd", "spell_id", "epi_num", "epi_str_dt", "epi_end_dt")
     spl = spells.select("provider_cd", "spell_id", "person_id", "admis_dt", "disch_dt")
     return (
@@ -87,15 +94,24 @@ def match_hospital(
     )
 
 
-def single_concept_outcomes(
-    outcomes: DataFrame, concept: str, cohort: DataFrame | None = None, order=("event_dt",)
+def single_concept_primary_care(
+    events: DataFrame, read_lookup: DataFrame, concept: str, cohort: DataFrame | None = None
 ) -> DataFrame:
-    """Outcomes of one concept, optionally restricted to cohort members, with
-    the rank recomputed inside the restricted set."""
-    rows = outcomes.where(F.col("concept") == concept).drop("event_seq")
+    """Primary care outcomes of one concept, optionally of cohort members only.
+
+    The lookup is cut to the concept before any event is matched, and ranks
+    count inside the restricted set."""
     if cohort is not None:
-        rows = rows.join(cohort.select("person_id"), "person_id", "left_semi")
-    return rank_within(rows, ["concept", "person_id"], list(order), "event_seq")
+        events = events.join(cohort.select("person_id"), "person_id", "left_semi")
+    return primary_care_outcomes(events, read_lookup.where(F.col("concept") == concept))
+
+
+def single_concept_hospital(
+    diag: DataFrame, episodes: DataFrame, spells: DataFrame, icd_lookup: DataFrame, icd_dict: DataFrame, concept: str
+) -> DataFrame:
+    """Hospital outcomes of one concept over all given spells; the cohort is
+    not asked, as in the study."""
+    return hospital_outcomes(diag, episodes, spells, icd_lookup.where(F.col("concept") == concept), icd_dict)
 
 
 def outcome_coverage(lookups: dict[str, DataFrame], outcomes: dict[str, DataFrame]) -> DataFrame:

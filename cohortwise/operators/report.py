@@ -62,29 +62,32 @@ def enrich_events(
 
     The interval match runs on distinct (concept, person, date, code) keys.
     It is an equi join on (person, year) followed by the exact range test:
-    each spell is listed once per calendar year it covers (years after the
-    current date fold into the current year), so an event only meets the
-    spells of its own year instead of every spell of the person. With
+    each spell is listed once per calendar year that it covers between the
+    person's first and last event, so an event only meets the spells of its
+    own year, and an open end costs no rows. With
     ``cohort`` the rows are restricted to (and repeated per row of) the
     cohort, as in a plain inner join. Events are numbered per (concept,
     person) by ``order`` with a two-level row number (see
     ``row_number_within``).
     """
     keys = ["concept", "person_id", date_col, code_col]
-    horizon = F.current_date()
-
-    def year_of(c):
-        return F.year(F.least(c, horizon))
-
-    spells = history.where(F.col("active_from") <= F.col("active_to")).select(
-        "person_id", F.col("active_from").alias("_from"), F.col("active_to").alias("_to"),
-        F.col("dep1_quintile").alias("area_quintile"),
-        F.explode(F.sequence(year_of(F.col("active_from")), year_of(F.col("active_to")))).alias("_year"),
+    day = F.col(date_col)
+    seen = outcomes.groupBy("person_id").agg(F.min(day).alias("_first"), F.max(day).alias("_last"))
+    spells = (
+        history.join(seen, "person_id")
+        .where("active_from <= active_to AND active_from <= _last AND active_to >= _first")
+        .select(
+            "person_id", F.col("active_from").alias("_from"), F.col("active_to").alias("_to"),
+            F.col("dep1_quintile").alias("area_quintile"),
+            F.explode(
+                F.sequence(F.year(F.greatest("active_from", "_first")), F.year(F.least("active_to", "_last")))
+            ).alias("_year"),
+        )
     )
-    ev = outcomes.select(*keys).distinct().withColumn("_year", year_of(F.col(date_col)))
+    ev = outcomes.select(*keys).distinct().withColumn("_year", F.year(day))
     quint = (
         ev.join(spells, ["person_id", "_year"])
-        .where(F.col(date_col).between(F.col("_from"), F.col("_to")))
+        .where(day.between(F.col("_from"), F.col("_to")))
         .select(*keys, "area_quintile")
         .distinct()
     )

@@ -119,6 +119,30 @@ def q_extract_via_parent(spark, sf_dir):
     return _study(spark, sf_dir).outpatient_diag_extract
 
 
+def q_extract_spells(spark, sf_dir):
+    return _study(spark, sf_dir).spell_extract
+
+
+def q_extract_admissions(spark, sf_dir):
+    return _study(spark, sf_dir).admissions_extract
+
+
+def q_extract_outpatients(spark, sf_dir):
+    return _study(spark, sf_dir).outpatient_extract
+
+
+def q_extract_diagnoses(spark, sf_dir):
+    return _study(spark, sf_dir).diag_extract
+
+
+def q_extract_operations(spark, sf_dir):
+    return _study(spark, sf_dir).oper_extract
+
+
+def q_extract_outpatient_operations(spark, sf_dir):
+    return _study(spark, sf_dir).outpatient_oper_extract
+
+
 def q_write_extract(spark, sf_dir):
     s = _study(spark, sf_dir)
     path = shared_dir(spark, "gp-extract")
@@ -145,6 +169,10 @@ def q_flag_sensitive(spark, sf_dir):
     return _study(spark, sf_dir).read_codes
 
 
+def q_flag_sensitive_icd10(spark, sf_dir):
+    return _study(spark, sf_dir).icd_codes
+
+
 def q_read_lookup(spark, sf_dir):
     return _study(spark, sf_dir).read_lookup
 
@@ -175,14 +203,25 @@ def q_outcome_coverage(spark, sf_dir):
 
 
 def q_single_concept_outcomes(spark, sf_dir):
-    s = _study(spark, sf_dir)
-    return O.single_concept_outcomes(s.gp_outcomes, SINGLE_CONCEPT, s.cohort)
+    return _study(spark, sf_dir).single_concept_gp(SINGLE_CONCEPT)
+
+
+def q_single_concept_hospital(spark, sf_dir):
+    return _study(spark, sf_dir).single_concept_hospital(SINGLE_CONCEPT)
 
 
 def q_age_at_event(spark, sf_dir):
     return _study(spark, sf_dir).gp_aged
 
 
+def q_age_at_admission(spark, sf_dir):
+    return _study(spark, sf_dir).hosp_aged
+
+
+def q_enrich_admissions(spark, sf_dir):
+    return _study(spark, sf_dir).hosp_enriched
+
+
 def q_enrich_events(spark, sf_dir):
     return _study(spark, sf_dir).gp_enriched
 

@@ -3,12 +3,14 @@ codelists -> outcomes -> report, over one directory of Parquet tables.
 
 Attributes are lazy DataFrames. Stages that later steps reuse several times
 (flagged spells, islands, cohort, residence history, matched outcomes and
-enriched events) are checkpointed once to the shared checkpoint folder, the
-way the study materializes tables between steps.
+enriched events) are written once to the shared checkpoint folder, the way
+the study materializes tables between steps.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,7 +60,7 @@ class Study:
         sf_dir: str,
         window: StudyWindow = DEFAULT_WINDOW,
         checkpoint: bool = True,
-        materialize: str = "checkpoint",
+        materialize: str = "parquet",
         island_rule: str = "pairwise",
     ):
         self.spark = spark
@@ -76,11 +78,10 @@ class Study:
         """Materialize a stage that later steps reuse several times.
 
         The rows are written once to the cluster's shared checkpoint folder,
-        by default as a reliable ``checkpoint()``, which keeps the stage's
-        partitioning (by person for the cohort stages) so later joins on the
-        person do not shuffle it again; ``materialize="parquet"`` writes a
-        Parquet table instead (columnar, column-pruned reads, real sizes for
-        the planner). Later plans start from the written rows instead of
+        by default as a Parquet table (columnar, column-pruned reads, real
+        sizes for the planner); ``materialize="checkpoint"`` takes a reliable
+        ``checkpoint()`` instead, which keeps the stage's partitioning but is
+        read whole. Later plans start from the written rows instead of
         re-planning and recomputing the chain, and a lost executor does not
         force a recomputation from the sources.
         """
@@ -88,9 +89,6 @@ class Study:
             return df
         if self._materialize == "checkpoint":
             return df.checkpoint(eager=True)
-        import os
-        import uuid
-
         path = os.path.join(self._root, f"{name}-{uuid.uuid4().hex[:8]}")
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
@@ -102,7 +100,8 @@ class Study:
 
     @cached_property
     def reconciled(self) -> DataFrame:
-        return C.reconcile_demographics(self.fx.residence, self.fx.births, self.fx.deaths, self.valid_people)
+        rows = C.reconcile_demographics(self.fx.residence, self.fx.births, self.fx.deaths, self.valid_people)
+        return self._cut(rows, "reconciled")  # each selection step and its count start here
 
     @cached_property
     def windowed(self) -> DataFrame:
@@ -114,7 +113,7 @@ class Study:
 
     @cached_property
     def deprived(self) -> DataFrame:
-        return C.deprivation_map(self.eligible, self.fx.areas, self.w)
+        return self._cut(C.deprivation_map(self.eligible, self.fx.areas, self.w), "deprived")
 
     @cached_property
     def flagged(self) -> DataFrame:
@@ -204,9 +203,10 @@ class Study:
 
     @cached_property
     def spell_extract(self) -> DataFrame:
-        return E.extract_by_person(
+        rows = E.extract_by_person(
             self.fx.hospital_spell, self.cohort, ["birth_dt"], "admis_dt", self.w.events_from, self.w.end, closed=False
         )
+        return self._cut(rows, "spell_extract")  # four extracts join it
 
     @cached_property
     def admissions_extract(self) -> DataFrame:
@@ -269,13 +269,23 @@ class Study:
         codes = self.fx.codelist_read.select("concept", "code", "concept_type")
         return K.flag_sensitive(codes, self.fx.sensitive_codes, SENSITIVE_CONCEPTS)
 
+    @cached_property
+    def icd_codes(self) -> DataFrame:
+        """ICD-10 codelist with sensitivity flags from its own sensitive-code list."""
+        codes = self.fx.codelist_icd10.select("concept", "code", "concept_type")
+        return K.flag_sensitive(codes, self.fx.sensitive_icd10, SENSITIVE_CONCEPTS)
+
+    @cached_property
+    def icd_dict(self) -> DataFrame:
+        return self._cut(self.fx.icd10_dict, "icd_dict")
+
     @cached_property
     def read_lookup(self) -> DataFrame:
-        return K.read_lookup(self.fx.codelist_read, self.fx.read_dict)
+        return self._cut(K.read_lookup(self.read_codes, self.fx.read_dict), "read_lookup")
 
     @cached_property
     def icd_lookup(self) -> DataFrame:
-        return K.icd10_lookup(self.fx.codelist_icd10, self.fx.icd10_dict)
+        return self._cut(K.icd10_lookup(self.icd_codes, self.icd_dict), "icd_lookup")
 
     @cached_property
     def medication_lookup(self) -> DataFrame:
@@ -324,9 +334,9 @@ class Study:
 
     @cached_property
     def hosp_matched(self) -> DataFrame:
-        fx, src = self.fx, self.outcome_sources()
+        src = self.outcome_sources()
         return self._cut(
-            O.match_hospital(src["diagnoses"], src["episodes"], src["spells"], self.icd_lookup, fx.icd10_dict),
+            O.match_hospital(src["diagnoses"], src["episodes"], src["spells"], self.icd_lookup, self.icd_dict),
             "hosp_matched",
         )
 
@@ -334,6 +344,17 @@ class Study:
     def hosp_outcomes(self) -> DataFrame:
         return self._cut(O.rank_events(self.hosp_matched, O.HOSP_RANK_ORDER), "hosp_outcomes")
 
+    def single_concept_gp(self, concept: str) -> DataFrame:
+        return O.single_concept_primary_care(self.outcome_sources()["gp"], self.read_lookup, concept, self.cohort)
+
+    def single_concept_hospital(self, concept: str) -> DataFrame:
+        """Over all spells with an admission in the window, of cohort members or not."""
+        fx, w = self.fx, self.w
+        spells = fx.hospital_spell.where((F.col("admis_dt") >= F.lit(w.events_from)) & (F.col("admis_dt") < F.lit(w.end)))
+        return O.single_concept_hospital(
+            fx.hospital_diag, self.outcome_sources()["episodes"], spells, self.icd_lookup, self.icd_dict, concept
+        )
+
     # ---- report -------------------------------------------------------------
     @cached_property
     def gp_aged(self) -> DataFrame:

@@ -290,6 +290,11 @@ FIXTURES: dict[str, FixtureDef] = {
         "part",
         lambda t: t["part"],
     ),
+    "sensitive_icd10": FixtureDef(
+        {"code": "concat(chr(CAST(65 + p_partkey % 6 AS INT)), lpad(CAST(p_partkey % 40 AS STRING), 2, '0'), CAST(p_size % 10 AS STRING))"},
+        "part WHERE p_partkey % 120 = 5",
+        lambda t: t["part"].where("p_partkey % 120 = 5"),
+    ),
     "icd10_dict": FixtureDef(
         {
             "code": "concat(chr(CAST(65 + a AS INT)), lpad(CAST(b AS STRING), 2, '0'), "
