@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cohortwise.llm import words as W
 from cohortwise.llm.components import components
-from cohortwise.llm.store import map_arrow, stage
+from cohortwise.llm.store import Scratch, map_arrow, stage
 
 U = np.uint64
 SHINGLE = 5
@@ -202,48 +202,49 @@ def jaccard_links(texts: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     members = stage(members, "jaccard-members")
     reps = members.groupBy("print").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("m"))
 
-    # Buckets: the signatures that two classes share.
-    rows = map_arrow(texts, lambda batches: _signatures_of(batches, size, percent), "signature long, print long, need int")
-    bucket = Window.partitionBy("signature")
-    shared = rows.withColumns({"lo": F.min("print").over(bucket), "hi": F.max("print").over(bucket)}).where("lo <> hi")
-    shared = stage(shared.select("signature", "print", "need"), "jaccard-buckets")
-    # A class that shares fewer signatures than any partner would is out.
-    able = (
-        shared.groupBy("print", "need")
-        .agg(F.count_distinct("signature").alias("n"))
-        .where("n >= need & 1048575")
-        .select("print")
-        .distinct()
-    )
-    able = stage(able, "jaccard-able")
-    ids = able.join(reps, "print").select(F.col("rep").alias("id"), F.lit(True).alias("take")).distinct()
-    sets = map_arrow(
-        texts.join(ids, "id").select("id", "text"), lambda batches: _sets_of(batches, size), "print long, elements array<long>"
-    )
-    # An id may stand on several texts, and a text on several rows.
-    sets = stage(sets.join(able, "print", "left_semi").dropDuplicates(["print"]), "jaccard-sets")
-
-    # Elements that no other candidate holds can be in no intersection.
-    held = sets.select("print", F.explode("elements").alias("element"))
-    common = held.groupBy("element").agg(F.count("*").alias("n")).where("n > 1").select("element")
-    part = held.join(common, "element").groupBy("print").agg(F.count("*").alias("s"))
-    info = sets.select("print", F.size("elements").alias("m")).join(part, "print").where(F.expr(f"100 * s >= {percent} * m"))
-    info = stage(info, "jaccard-info")
-
-    # First each class against the best connected one of each of its buckets.
-    live = shared.select("signature", "print").distinct().join(info, "print")
-    rank = F.struct((F.col("s") / F.col("m")).alias("share"), (-F.col("print")).alias("p"))
-    best = Window.partitionBy("signature")
-    live = live.withColumn("top", F.max(rank).over(best)).withColumn("center", -F.col("top.p"))
-    star = live.where("center <> print").select(F.col("center").alias("c"), "print").distinct()
-    arms = stage(_arms(star, sets, percent), "jaccard-arms")
-    linked = arms.where("linked").select(F.col("c").alias("a"), F.col("print").alias("b"))
-
-    # Then what these links leave apart.
-    labels = stage(components(linked), "jaccard-labels")
-    rest = _remaining(arms, labels, percent)
-    rest = stage(_verified(rest, sets, percent), "jaccard-rest")
-    return members.join(reps.select("print", "rep"), "print"), linked.unionByName(rest)
+    with Scratch(texts.sparkSession) as scratch:
+        # Buckets: the signatures that two classes share.
+        rows = map_arrow(texts, lambda batches: _signatures_of(batches, size, percent), "signature long, print long, need int")
+        bucket = Window.partitionBy("signature")
+        shared = rows.withColumns({"lo": F.min("print").over(bucket), "hi": F.max("print").over(bucket)}).where("lo <> hi")
+        shared = scratch.stage(shared.select("signature", "print", "need"), "jaccard-buckets")
+        # A class that shares fewer signatures than any partner would is out.
+        able = (
+            shared.groupBy("print", "need")
+            .agg(F.count_distinct("signature").alias("n"))
+            .where("n >= need & 1048575")
+            .select("print")
+            .distinct()
+        )
+        able = scratch.stage(able, "jaccard-able")
+        ids = able.join(reps, "print").select(F.col("rep").alias("id"), F.lit(True).alias("take")).distinct()
+        sets = map_arrow(
+            texts.join(ids, "id").select("id", "text"), lambda batches: _sets_of(batches, size), "print long, elements array<long>"
+        )
+        # An id may stand on several texts, and a text on several rows.
+        sets = scratch.stage(sets.join(able, "print", "left_semi").dropDuplicates(["print"]), "jaccard-sets")
+
+        # Elements that no other candidate holds can be in no intersection.
+        held = sets.select("print", F.explode("elements").alias("element"))
+        common = held.groupBy("element").agg(F.count("*").alias("n")).where("n > 1").select("element")
+        part = held.join(common, "element").groupBy("print").agg(F.count("*").alias("s"))
+        info = sets.select("print", F.size("elements").alias("m")).join(part, "print").where(F.expr(f"100 * s >= {percent} * m"))
+        info = scratch.stage(info, "jaccard-info")
+
+        # First each class against the best connected one of each of its buckets.
+        live = shared.select("signature", "print").distinct().join(info, "print")
+        rank = F.struct((F.col("s") / F.col("m")).alias("share"), (-F.col("print")).alias("p"))
+        best = Window.partitionBy("signature")
+        live = live.withColumn("top", F.max(rank).over(best)).withColumn("center", -F.col("top.p"))
+        star = live.where("center <> print").select(F.col("center").alias("c"), "print").distinct()
+        arms = scratch.stage(_arms(star, sets, percent), "jaccard-arms")
+        linked = arms.where("linked").select(F.col("c").alias("a"), F.col("print").alias("b"))
+
+        # Then what these links leave apart.
+        labels = scratch.stage(components(linked), "jaccard-labels")
+        rest = _verified(_remaining(arms, labels, percent, scratch), sets, percent)
+        links = stage(linked.unionByName(rest), "jaccard-links")
+    return members.join(reps.select("print", "rep"), "print"), links
 
 
 def _arms(star: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -257,7 +258,7 @@ def _arms(star: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return arms.withColumn("linked", F.expr(f"{100 + percent} * d <= {100 - percent} * (m + mc)"))
 
 
-def _remaining(arms: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _remaining(arms: DataFrame, labels: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Candidate links ``(a, b)`` between classes that the first links leave apart.
 
     Every candidate pair of a bucket has the bucket's centre c in common. With
@@ -284,7 +285,7 @@ def _remaining(arms: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     near = F.floor((F.col("d") - share * (F.col("m") - F.col("mc"))) / 2)
     need = F.greatest(F.lit(1), F.when(F.col("linked"), near).otherwise(F.col("d") - most))
     rows = rows.join(mixed, "c", "left_semi").withColumn("take", (F.col("d") - need + 1).cast("int")).where("take > 0")
-    rows = stage(rows.select("c", "print", "label", "m", "d", "take", "differ"), "jaccard-apart")
+    rows = scratch.stage(rows.select("c", "print", "label", "m", "d", "take", "differ"), "jaccard-apart")
 
     held = rows.select("c", "print", F.explode("differ").alias("e"))
     often = held.groupBy("c", "e").agg(F.count("*").alias("n")).where("n > 1")
@@ -295,7 +296,7 @@ def _remaining(arms: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     prefix = prefix.withColumns({"single": F.col("d") - F.size("es"), "es": F.slice("es", 1, F.greatest(left, F.lit(0)))})
     prefix = prefix.select("c", "print", "label", "m", "d", "single", F.posexplode("es.e").alias("i", "e"))
     prefix = prefix.withColumn("left", F.expr("d - single - i")).drop("single", "i")  # elements from this one on
-    prefix = stage(prefix, "jaccard-prefix")
+    prefix = scratch.stage(prefix, "jaccard-prefix")
     x, y = prefix.alias("x"), prefix.alias("y")
     fits = F.expr(
         "x.c = y.c and x.e = y.e and x.label < y.label"

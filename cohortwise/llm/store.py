@@ -31,6 +31,43 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """Stages that only the steps of a ``with`` block read; they go at its end.
+
+    What the block leaves behind must be written by then: nothing lazy may
+    still read a scratch stage. If the block fails, they go all the same.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self._paths:
+            remove(self._spark, path)
+        self._paths.clear()
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """``stage``, until the block ends."""
+        path = new_path(self._spark, name)
+        self._paths.append(path)
+        return _written(df, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a stage's folder from whatever store holds it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
@@ -38,10 +75,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     ran, not the whole lineage. The files stay until the folder's retention
     removes them, as checkpoints do.
     """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _written(df, new_path(df.sparkSession, name))
 
 
 def ship(spark: SparkSession) -> None:

@@ -16,7 +16,7 @@ anchors, so a window whose anchor lies in one document only is left out.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cohortwise.llm import words as W
-from cohortwise.llm.store import map_arrow, stage
+from cohortwise.llm.store import Scratch, map_arrow, stage
 
 U = np.uint64
 WINDOW = 13
@@ -224,7 +224,9 @@ def _without(chunk: W.Chunk, i: int, gone: np.ndarray) -> bytes:
     return b"".join([*pieces, text[at:]])
 
 
-def repeated_paths(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+def repeated_paths(
+    texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, write: Callable[[DataFrame, str], DataFrame] = stage
+) -> DataFrame:
     """Occurrences of repeated spans, one row per compacted path and place.
 
     ``texts(doc_id, part, text)``: ``part`` (int) tells rows of one document
@@ -232,6 +234,7 @@ def repeated_paths(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     the ``length`` windows of a document from word ``pos`` on are those of the
     path that starts in the source at ``src_pos``. Each window that starts in
     two or more documents lies in exactly one path of each of its places.
+    ``write`` keeps the segments that the result reads.
     """
     texts = texts.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     anchors = map_arrow(
@@ -279,7 +282,7 @@ def repeated_paths(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     segments = segments.select(
         "doc_id", "part", "pos", "rest", F.col("a.j").alias("j"), (F.col("b.j") - F.col("a.j") + 1).alias("length"), "a.src", "a.back", "b.fwd"
     )
-    segments = stage(segments, "substring-segments")
+    segments = write(segments, "substring-segments")
 
     # Compaction of whole paths: each segment joins the one that follows it in
     # its source, if neither branches there.
@@ -309,10 +312,11 @@ def repeated_paths(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
 
 def _spans(texts: DataFrame, window: int, anchor: int) -> DataFrame:
     """By row of ``texts``, the spans that an earlier document has."""
-    spans = repeated_paths(texts, window, anchor).where("src_doc < doc_id")
-    return stage(
-        spans.groupBy("doc_id", "part").agg(F.collect_set(F.struct("pos", "length")).alias("spans")), "substring-spans"
-    )
+    with Scratch(texts.sparkSession) as scratch:
+        spans = repeated_paths(texts, window, anchor, scratch.stage).where("src_doc < doc_id")
+        return stage(
+            spans.groupBy("doc_id", "part").agg(F.collect_set(F.struct("pos", "length")).alias("spans")), "substring-spans"
+        )
 
 
 _DIGEST = "doc_id long, part int, n_words long, n_removed long, kept_sha256 string"

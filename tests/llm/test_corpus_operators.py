@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from cohortwise.llm import decontaminate, hosts, jaccard, language, packing, quality, sharding, substring, tokens, warc
+from cohortwise.llm import decontaminate, hosts, jaccard, language, packing, quality, sharding, store, substring, tokens, warc
 from cohortwise.llm.components import components
 
 WORD = re.compile(r"[^ \t-\r]+")
@@ -403,3 +403,20 @@ def test_warc_filters_skip_payloads(spark, tmp_path):
     assert file.bytes < 1_000_000
     assert [r["payload"] for r in warc.records(warc.GzipFile(Counting(packed)), [], True)] == [r["payload"] for r in parts]
     assert gzip.decompress(packed) == b"".join(warc._record(r) for r in parts)
+
+
+def test_scratch_stages_go_and_results_stay(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "shared_base", lambda _: tmp_path.as_uri())
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text), (2, text + " end"), (3, "other words only")], "doc_id long, text string")
+    near = jaccard.near_duplicates(docs)
+    cut = substring.repeat_digests(docs)
+    left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
+    assert {"jaccard-links", "substring-spans"} <= left
+    assert not left & {"jaccard-buckets", "jaccard-sets", "jaccard-arms", "jaccard-prefix", "substring-segments"}
+    assert sorted((r.doc_id, r.component_id) for r in near.collect()) == [(1, 1), (2, 1), (3, 3)]
+    assert sorted((r.doc_id, r.n_removed) for r in cut.collect()) == [(1, 0), (2, 60), (3, 0)]
+    with pytest.raises(RuntimeError), store.Scratch(spark) as scratch:
+        scratch.stage(docs, "failed-block")
+        raise RuntimeError
+    assert not list(tmp_path.glob("failed-block*"))
