@@ -118,8 +118,9 @@ def signatures(sets: np.ndarray, first: np.ndarray, percent: int) -> Iterator[tu
     ``need`` is the least number of signatures that a set shares with any
     partner in this band group: n - k agreeing partitions, less those of its
     own that are empty and therefore not emitted. A set with so many empty
-    partitions that this bound would vanish emits the empty ones too (so does
-    its partner, whose agreeing partitions are empty as well).
+    partitions that this bound would vanish emits the empty ones too, and its
+    bound is 1: a partner that hides its empty partitions has fewer than n - k
+    of them, so one that agrees is not empty.
     """
     sizes = np.diff(first)
     band = np.searchsorted(band_tops(percent), sizes)
@@ -143,7 +144,7 @@ def signatures(sets: np.ndarray, first: np.ndarray, percent: int) -> Iterator[tu
                     empty = cells == 0
                     spare = scheme.parts - scheme.k - empty.sum(axis=1)
                     emit = ~empty | (spare < 1)[:, None]
-                    need = np.where(spare < 1, scheme.parts - scheme.k, spare)
+                    need = np.maximum(spare, 1)
                 else:
                     made = np.empty((len(rows), len(scheme.subsets)), U)
                     for j, subset in enumerate(scheme.subsets):

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortwise.llm import decontaminate, hosts, jaccard, language, packing, quality, sharding, store, substring, tokens, warc
@@ -114,6 +115,46 @@ def test_signatures_meet_for_every_similar_pair():
             assert seen[0] & seen[1], (len(a), len(b), both)
 
 
+def emitted(sets, first):
+    """By set and band group: what the set needs, and its signatures."""
+    out = collections.defaultdict(dict)
+    for signature, row, need in jaccard.signatures(sets, first, 80):
+        for s, r, least in zip(signature.tolist(), row.tolist(), need.tolist(), strict=True):
+            out[r].setdefault(least >> 20, (least & 1048575, set()))[1].add(s)
+    return out
+
+
+@pytest.mark.parametrize("size", [*range(12, 51, 3), 16, 17, 19, 20])
+def test_similar_sets_share_as_many_signatures_as_they_need(size):
+    """Both members, also where only one of them emits its empty partitions."""
+    rng = np.random.default_rng(size)
+    pairs, differ = 4000, size // 9
+    base = rng.integers(0, 1 << 62, (pairs, size + differ)).astype(np.uint64)
+    sets = np.concatenate([np.sort(base[:, :size], axis=1), np.sort(base[:, differ:], axis=1)], axis=1).ravel()
+    made = emitted(sets, np.arange(2 * pairs + 1) * size)
+    for i in range(pairs):
+        a, b = made[2 * i], made[2 * i + 1]
+        for me, other in ((a, b), (b, a)):
+            assert all(len(me[g][1] & other[g][1]) >= me[g][0] for g in me), (size, i)
+
+
+def test_a_short_pair_links_where_one_hides_its_empty_partitions(spark):
+    """No other candidates are there to fill up what the sparse set needs."""
+    pairs = []
+    for seed in range(4000):
+        w = [f"a{seed}x{i}" for i in range(22)]  # 18 shingles, 2 removed and 2 added: 7 partitions, 4 may differ
+        pairs.append((" ".join(w), " ".join([*w[2:], f"b{seed}", f"c{seed}"])))
+    hard = []
+    for pair in pairs:
+        made = emitted(*jaccard.shingle_sets(next(tokens.W.chunks(pa.array(pair)))))
+        (a,), (b,) = ([s for _, s in made[i].values()] for i in range(2))
+        if max(len(a), len(b)) == 7 and len(a & b) < 3:
+            hard.append(pair)
+    assert hard
+    got = jaccard.near_duplicates(spark.createDataFrame(list(enumerate(hard[0])), "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {0} and len(got) == 2
+
+
 def test_one_of_each(docs, rows):
     kept = jaccard.one_of_each(docs).collect()
     assert set(kept[0].asDict()) == {c.split()[0] for c in DOCS.split(", ")}
