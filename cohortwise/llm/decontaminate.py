@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortwise.llm import words as W
-from cohortwise.llm.store import map_arrow
+from cohortwise.llm.store import Scratch, map_arrow
 
 U = np.uint64
 K1, B = 1.2, 0.75
@@ -38,7 +38,7 @@ class Settings:
     question: float = 0.6  # share of the question's n-grams
     answer: float = 0.6
     gram: int = 4
-    least_stride: int = 64  # words; at least the longest item
+    least_stride: int = 64  # words; doubled until it holds the item
     block: int = 8  # items
     shared: float = 0.05  # terms in a larger share of the items count in full
     shard_bytes: int = 32 << 20  # of item text that one index holds
@@ -65,6 +65,24 @@ def split_item(text: str) -> int:
     return head if 0 < head < count else max(1, count * 2 // 3)
 
 
+def stride_of(size: int, settings: Settings) -> int:
+    """Stride of the passages that an item of ``size`` words is searched in."""
+    stride = settings.least_stride
+    while stride < size:
+        stride *= 2
+    return stride
+
+
+@dataclass(frozen=True)
+class Corpus:
+    """What BM25 takes from all items: their number, mean length and terms (sorted)."""
+
+    count: int
+    mean: float
+    terms: np.ndarray
+    df: np.ndarray
+
+
 @dataclass
 class Index:
     """Postings in compressed rows: term t has ``at[t] .. at[t + 1]``."""
@@ -86,15 +104,44 @@ class Index:
     stride: int
 
 
-def build_index(items: list[tuple[int, str]], settings: Settings) -> Index | None:
-    """The index of one shard of test items; None if no item has a word."""
-    items = [(i, t) for i, t in items if i is not None and t and t.split()]
+def item_words(text: str | None) -> np.ndarray | None:
+    """The hashes of an item's words; None if it has none."""
+    if not text or not text.split():
+        return None
+    return trimmed(next(W.chunks(pa.array([text]))))
+
+
+def build_indexes(items: list[tuple[int, str]], settings: Settings, corpus: Corpus | None = None) -> list[Index]:
+    """The indexes of test items, one for each stride, scored as in one index.
+
+    ``corpus`` describes the whole benchmark if ``items`` are only part of it.
+    """
+    classes: dict[int, list[tuple[int, str]]] = {}
+    hashes = []
+    for i, text in items:
+        h = item_words(text) if i is not None else None
+        if h is not None:
+            classes.setdefault(stride_of(len(h), settings), []).append((i, text))
+            hashes.append(h)
+    if corpus is None and hashes:
+        corpus = _corpus(hashes)
+    return [build_index(own, settings, corpus) for _, own in sorted(classes.items())]
+
+
+def _corpus(hashes: list[np.ndarray]) -> Corpus:
+    terms, df = np.unique(np.concatenate([np.unique(h) for h in hashes]), return_counts=True)
+    return Corpus(len(hashes), sum(len(h) for h in hashes) / len(hashes), terms, df)
+
+
+def build_index(items: list[tuple[int, str]], settings: Settings, corpus: Corpus | None = None) -> Index | None:
+    """One index of test items, its stride that of the longest; None if no item has a word."""
+    items = [(i, t, item_words(t)) for i, t in items if i is not None]
+    items = [(i, t, h) for i, t, h in items if h is not None]
     if not items:
         return None
+    corpus = corpus or _corpus([h for _, _, h in items])
     hashes, sizes, questions, answers, grams = [], [], [], [], []
-    for _, text in items:
-        chunk = next(W.chunks(pa.array([text])))
-        h = trimmed(chunk)
+    for _, text, h in items:
         head = split_item(text)
         hashes.append(h)
         sizes.append(len(h))
@@ -105,7 +152,7 @@ def build_index(items: list[tuple[int, str]], settings: Settings) -> Index | Non
         questions.append(parts[0][1])
         answers.append(parts[1][1])
         grams.append((parts[0][0], parts[1][0]))
-    count, mean = len(items), float(np.mean(sizes))
+    count = len(items)
     pairs = []
     for i, h in enumerate(hashes):
         terms, tf = np.unique(h, return_counts=True)
@@ -115,27 +162,28 @@ def build_index(items: list[tuple[int, str]], settings: Settings) -> Index | Non
     term, item, tf = term[order], item[order], tf[order]
     terms, at = np.unique(term, return_index=True)
     at = np.append(at, len(term))
-    df = np.diff(at)
-    idf = np.log1p((count - df + 0.5) / (df + 0.5))
-    norm = K1 * (1 - B + B * np.array(sizes)[item] / mean)
-    impact = np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm)
+    held = np.diff(at)  # items of this index that hold the term
+    df = corpus.df[np.searchsorted(corpus.terms, terms)]
+    idf = np.log1p((corpus.count - df + 0.5) / (df + 0.5))
+    norm = K1 * (1 - B + B * np.array(sizes)[item] / corpus.mean)
+    impact = np.repeat(idf, held) * tf * (K1 + 1) / (tf + norm)
     impact = impact / np.bincount(item, weights=impact, minlength=count)[item]
-    common = df > max(2, settings.shared * count)
-    posting_common = np.repeat(common, df)
+    common = held > max(2, settings.shared * count)
+    posting_common = np.repeat(common, held)
     by_item = np.bincount(item[posting_common], weights=impact[posting_common], minlength=count)
     blocks = -(-count // settings.block)
     rest = np.zeros(blocks)
     np.maximum.at(rest, np.arange(count) // settings.block, by_item)
     # Largest impact of each term in each of its blocks.
-    key = np.repeat(np.arange(len(terms)), df) * blocks + item // settings.block
+    key = np.repeat(np.arange(len(terms)), held) * blocks + item // settings.block
     some, first = np.unique(key, return_index=True)
     bound = np.maximum.reduceat(impact, first)
     block_at = np.searchsorted(some // blocks, np.arange(len(terms) + 1))
     seen = np.zeros(1 << 18, bool)
     seen[(terms[~common] & U((1 << 18) - 1)).astype(np.int64)] = True
     return Index(
-        np.array([i for i, _ in items], np.int64), terms, seen, at, item, impact, block_at, some % blocks, bound, rest,
-        common, questions, answers, grams, max(settings.least_stride, max(sizes)),
+        np.array([i for i, *_ in items], np.int64), terms, seen, at, item, impact, block_at, some % blocks, bound, rest,
+        common, questions, answers, grams, stride_of(max(sizes), settings),
     )
 
 
@@ -202,13 +250,15 @@ def _scored(chunk: W.Chunk, h: np.ndarray, pfirst: np.ndarray, p: int, opened: n
             yield i, j, start - int(chunk.first[i]), float(scores[j]), found[0], found[1]
 
 
-def _hits_of(batches, index: Index, settings: Settings):
+def _hits_of(batches, indexes: list[Index], settings: Settings):
     for batch in batches:
         docs = batch.column("doc_id").to_numpy(zero_copy_only=False)
         rows = []
         for chunk in W.chunks(batch.column("text")):
-            for i, j, start, score, question, answer in _search(chunk, trimmed(chunk), index, settings):
-                rows.append((int(docs[chunk.row + i]), int(index.items[j]), start, score, question, answer))
+            h = trimmed(chunk)
+            for index in indexes:
+                for i, j, start, score, question, answer in _search(chunk, h, index, settings):
+                    rows.append((int(docs[chunk.row + i]), int(index.items[j]), start, score, question, answer))
         names = ("doc_id", "item_id", "passage_word", "score", "question_overlap", "answer_overlap")
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
         columns = list(zip(*rows, strict=True)) or [[]] * 6
@@ -218,16 +268,42 @@ def _hits_of(batches, index: Index, settings: Settings):
 PAIRS = "doc_id long, item_id long, passage_word long, score double, question_overlap double, answer_overlap double"
 
 
+def _terms_of(batches):
+    for batch in batches:
+        found = [(shard, item_words(text)) for shard, text in zip(*(batch.column(c).to_pylist() for c in ("shard", "text")), strict=True)]
+        found = [(shard, h) for shard, h in found if h is not None]
+        terms = pa.array([np.unique(h).view(np.int64) for _, h in found], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_pydict(
+            {"shard": pa.array([k for k, _ in found], pa.int32()), "words": pa.array([len(h) for _, h in found], pa.int64()), "terms": terms}
+        )
+
+
 def _shards(docs: DataFrame, items: DataFrame, settings: Settings) -> Iterator:
-    """Broadcast indexes that together hold all items, each of bounded size."""
+    """Broadcast indexes that together hold all items, those sent at once of bounded size."""
+    spark = docs.sparkSession
     tests = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
     size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = int(-(-size // settings.shard_bytes)) or 1
-    for shard in range(shards):
-        own = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard).distinct()
-        index = build_index(sorted((r.item_id, r.text) for r in own.collect()), settings)
-        if index is not None:
-            yield docs.sparkSession.sparkContext.broadcast(index)
+    tests = tests.distinct().withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int"))
+    with Scratch(spark) as scratch:
+        if shards > 1:  # a single shard holds what its scores take from all items
+            known = map_arrow(tests.select("shard", "text"), _terms_of, "shard int, words long, terms array<long>")
+            known = scratch.stage(known, "benchmark-words")
+            count, words = known.agg(F.count("*"), F.sum("words")).first()
+            held = known.select("shard", F.explode("terms").alias("term")).groupBy("term", "shard").agg(F.count("*").alias("n"))
+            df = held.groupBy("term").agg(F.sum("n").alias("df"))
+            terms = scratch.stage(held.join(df, "term").select("shard", "term", "df"), "benchmark-terms")
+        for shard in range(shards):
+            corpus = None
+            if shards > 1:
+                own = terms.where(F.col("shard") == shard).select("term", "df").toArrow()
+                term, df = own.column("term").to_numpy().view(U), own.column("df").to_numpy()
+                order = np.argsort(term)
+                corpus = Corpus(count, words / max(1, count), term[order], df[order])
+            rows = tests.where(F.col("shard") == shard).collect()
+            indexes = build_indexes(sorted((r.item_id, r.text) for r in rows), settings, corpus)
+            if indexes:
+                yield spark.sparkContext.broadcast(indexes)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -242,10 +318,12 @@ def contaminated(docs: DataFrame, items: DataFrame, settings: Settings = Setting
     first passage. Null or empty texts and rows without an id match nothing;
     repeated rows count once; an empty table on either side gives no pairs.
 
-    An index holds at most ``shard_bytes`` of item text. Larger benchmarks are
-    cut into shards by a hash of the item, each with its own pass over the
-    documents, so no task or driver holds more than one shard; a shard's
-    scores use the idf of its own items.
+    At most ``shard_bytes`` of item text are indexed at once. Larger benchmarks
+    are cut into shards by a hash of the item, each with its own pass over the
+    documents, so no task or driver holds more than one shard. All shards score
+    with the document frequencies, number and mean length of all items, and
+    the width of an item's passages follows from its own length alone, so the
+    result does not depend on the shards.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
     found = docs.sparkSession.createDataFrame([], PAIRS)
@@ -258,12 +336,14 @@ def contaminated(docs: DataFrame, items: DataFrame, settings: Settings = Setting
     )
 
 
-def _clean_of(batches, index: Index, settings: Settings):
+def _clean_of(batches, indexes: list[Index], settings: Settings):
     for batch in batches:
         keep = np.ones(len(batch), bool)
         for chunk in W.chunks(batch.column("text")):
-            for i, *_ in _search(chunk, trimmed(chunk), index, settings):
-                keep[chunk.row + i] = False
+            h = trimmed(chunk)
+            for index in indexes:
+                for i, *_ in _search(chunk, h, index, settings):
+                    keep[chunk.row + i] = False
         yield batch.filter(pa.array(keep))
 
 

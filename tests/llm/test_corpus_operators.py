@@ -289,6 +289,40 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.contaminated(none, tests).count() == 0
 
 
+def test_shards_and_other_items_change_no_score(spark):
+    """Items whose score is near the threshold, in one index and in many."""
+    rng = random.Random(31)
+    items = [(i, sentence(rng, rng.randrange(12, 30), 150) + f". Answer {sentence(rng, 8, 150)}.") for i in range(60)]
+    texts = []
+    for i in range(60):  # a share of the item's words, in order
+        w = items[i][1].split()
+        texts.append((i, " ".join(x for j, x in enumerate(w) if j < len(w) * (0.2 + i % 10 * 0.05) or j > len(w) - 9)))
+    texts, tests = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    some = {"question": 0.1, "answer": 0.3}
+
+    def found(**more):
+        rows = decontaminate.contaminated(texts, tests, decontaminate.Settings(**some, **more)).collect()
+        return {(r.doc_id, r.item_id): tuple(r)[2:] for r in rows}
+
+    whole = found()
+    assert 10 < len(whole) < 60 and min(x[1] for x in whole.values()) < 0.7
+    assert found(shard_bytes=900) == whole
+
+
+def test_a_long_item_widens_no_other_items_passages(spark):
+    rng = random.Random(32)
+    question, far = sentence(rng, 20, 4000), sentence(rng, 600, 4000)
+    items = [(1, f"{question}. answerword"), (2, sentence(rng, 2000, 4000) + ". Answer long one.")]
+    table = [(1, f"{question} {far} answerword"), (2, f"{far} {question} answerword"), (3, f"{far} {items[1][1]} {far}")]
+    texts = spark.createDataFrame(table, "doc_id long, text string")
+    for few in (items[:1], items):
+        tests = spark.createDataFrame(few, "item_id long, text string")
+        got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(texts, tests).collect()}
+        assert got == {(2, 1), (3, 2)} & {(2, 1), *((3, i) for i, _ in few)}
+        clean = {r.doc_id for r in decontaminate.clean_documents(texts, tests).collect()}
+        assert clean == {1, 2, 3} - {d for d, _ in got}
+
+
 def test_passages_are_searched_in_groups(monkeypatch):
     import pyarrow as pa
 
