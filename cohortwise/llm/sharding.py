@@ -15,6 +15,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortwise.llm.store import new_path
+
 SLOTS = 65537
 MOST_SLOTS = 1 << 20  # bound of what is broadcast
 SHARDS = tuple(f"shard-{i:03d}" for i in range(64))
@@ -59,12 +61,19 @@ def placed(docs: DataFrame, key: str = "doc_id", shards: tuple[str, ...] = SHARD
     return keyed.join(F.broadcast(rows), "slot", "left").select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("slot", "shard")], "slot", "shard")
 
 
-def write_shards(docs: DataFrame, path: str, files: int = 4, **options) -> None:
-    """Write ``docs`` in one folder per shard, dealt to ``files`` tasks each."""
-    own = placed(docs, **options).withColumn("_file", F.pmod(F.xxhash64(*docs.columns), F.lit(files)))
-    own.repartition(F.col("shard"), F.col("_file")).drop("_file").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, files: int = 4, **options) -> DataFrame:
+    """Write ``docs`` in one folder per shard, dealt to ``files`` tasks each.
+
+    Returns the rows as they are read back from there, with ``slot`` and
+    ``shard``.
+    """
+    own = placed(docs, **options)
+    dealt = own.withColumn("_file", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in own.columns]), F.lit(files)))
+    dealt.repartition(F.col("shard"), F.col("_file")).drop("_file").write.partitionBy("shard").parquet(path)
+    return docs.sparkSession.read.schema(own.schema).parquet(path).select(*[F.col(f"`{c}`") for c in own.columns])
 
 
 def op4_maglev_sharding(spark, sf_dir: str) -> DataFrame:
-    """The shard of every row of ``documents``."""
-    return placed(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id"))
+    """The shard of every row of ``documents``, whose whole rows are written to the shards' folders."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return write_shards(docs, new_path(spark, "shards")).select("doc_id", "slot", "shard")

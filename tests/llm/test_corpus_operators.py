@@ -9,10 +9,12 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cohortwise.llm import decontaminate, hosts, jaccard, language, packing, quality, sharding, store, substring, tokens, warc
 from cohortwise.llm.components import components
 
+SMALL = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^ \t-\r]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, rep string, print int, spans string"
 
@@ -423,6 +425,33 @@ def test_sharding(docs, none):
     assert sharding.placed(none).count() == 0
 
 
+def test_whole_rows_reach_their_shards(spark, docs, none, tmp_path):
+    """Every column of every row, repeated and null ones too, is in the folder of its shard and no other."""
+    def found(df):
+        return collections.Counter(tuple(r) for r in df.select(*docs.columns).collect())
+
+    names = ("7", "08", "b c")  # numbers in folder names stay strings
+    path = str(tmp_path / "shards")
+    back = sharding.write_shards(docs, path, files=2, shards=names, slots=101)
+    assert back.columns == [*docs.columns, "slot", "shard"] and found(back) == found(docs)
+    want = collections.Counter(tuple(r) for r in sharding.placed(docs, shards=names, slots=101).collect())
+    assert collections.Counter(tuple(r) for r in back.collect()) == want
+    for name in names:
+        folder = sharding.placed(docs, shards=names, slots=101).where(F.col("shard") == name)
+        assert found(spark.read.parquet(f"{path}/shard={name}")) == found(folder)
+    assert sharding.write_shards(none, str(tmp_path / "none")).count() == 0
+
+
+def test_sharding_query_writes_the_documents(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(sharding, "new_path", lambda spark, name: written.append(store.new_path(spark, name)) or written[-1], raising=False)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = {tuple(r) for r in sharding.op4_maglev_sharding(spark, SMALL).collect()}
+    assert written and got == {tuple(r) for r in sharding.placed(docs.select("doc_id")).collect()}
+    back = spark.read.parquet(written[0]).select(*docs.columns)
+    assert back.exceptAll(docs).isEmpty() and docs.exceptAll(back).isEmpty()
+
+
 def test_warc_round_trip(spark):
     long = "<p>" + "é" * 700
     pages = [(i, f"http://x/{i}", long if i in (2, 5, 9) else f"<html>{i}" * (400 if i % 2 else 1)) for i in range(12)]
