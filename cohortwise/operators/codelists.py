@@ -60,6 +60,16 @@ def codelist_diff(new: DataFrame, published: DataFrame, keys: Sequence[str] = ("
     )
 
 
+def codelist_build(new: DataFrame, published: DataFrame, keys: Sequence[str] = ("concept", "code", "concept_type")) -> DataFrame:
+    """The code list to build from: concepts that ``codelist_diff`` calls new or
+    updated with their new rows, all others with their published ones."""
+    keys = list(keys)
+    changed = codelist_diff(new, published, keys).where("status IN ('new', 'updated')").select("concept")
+    return new.select(*keys).join(changed, "concept", "left_semi").unionByName(
+        published.select(*keys).join(changed, "concept", "left_anti")
+    )
+
+
 def flag_sensitive(codes: DataFrame, sensitive_codes: DataFrame, sensitive_concepts: Sequence[str]) -> DataFrame:
     """Add ``sensitive`` = 1 for every code of a sensitive concept, else 1 when
     the code is on the sensitive-code list, else 0."""

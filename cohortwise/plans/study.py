@@ -295,11 +295,19 @@ class Study:
         )
         return K.medication_lookup(codes, self.fx.read_dict)
 
-    def codelist_changes(self) -> DataFrame:
+    def _codelist_sides(self) -> tuple[DataFrame, DataFrame]:
         v = self.fx.codelist_versions
         new = v.where(F.col("version") == "2_2_10")
-        published = K.latest_version(v.where(F.col("version") != "2_2_10"))
-        return K.codelist_diff(new, published)
+        return new, K.latest_version(v.where(F.col("version") != "2_2_10"))
+
+    def codelist_changes(self) -> DataFrame:
+        return K.codelist_diff(*self._codelist_sides())
+
+    def updated_read_lookup(self) -> DataFrame:
+        """The read lookup with the concepts that the diff calls new or updated
+        built from the new version, all others from the published one."""
+        codes = K.flag_sensitive(K.codelist_build(*self._codelist_sides()), self.fx.sensitive_codes, SENSITIVE_CONCEPTS)
+        return K.read_lookup(codes, self.fx.read_dict)
 
     # ---- outcomes -----------------------------------------------------------
     @cached_property

@@ -5,6 +5,7 @@ import os
 from conftest import d
 
 from cohortwise.operators import codelists as K
+from cohortwise.plans.study import Study
 from cohortwise.sources.codelists import READ_V2_HEADER, read_codelists
 
 CODES = "concept string, code string, concept_type string"
@@ -43,6 +44,29 @@ def test_codelist_diff_statuses(spark):
     }
 
 
+def test_new_and_updated_concepts_are_built_from_the_new_version(spark):
+    old = [("KEPT", "a", "c"), ("SAME", "b", "c"), ("CHANGED", "d", "c"), ("CHANGED", "e", "c")]
+    new = [("SAME", "b", "c"), ("CHANGED", "d", "c"), ("CHANGED", "f", "c"), ("FRESH", "g", "c")]
+    got = K.codelist_build(spark.createDataFrame(new, CODES), spark.createDataFrame(old, CODES)).collect()
+    want = [("KEPT", "a"), ("SAME", "b"), ("CHANGED", "d"), ("CHANGED", "f"), ("FRESH", "g")]
+    assert sorted((r.concept, r.code) for r in got) == sorted(want)
+
+
+def test_the_study_builds_the_lookup_from_the_diff(spark):
+    """Every current code of the version that each concept is built from, by hand."""
+    study = Study(spark, "/root/testdata/sf0.001")
+    status = {r.concept: r.status for r in study.codelist_changes().collect()}
+    assert {"new", "updated", "not updated"} <= set(status.values())
+    current = {r.read_code for r in study.fx.read_dict.collect() if r.effective_to is None}
+    last = {"new": "2_2_10", "updated": "2_2_10"}  # the others: the last one published before
+    want = {
+        (r.concept, r.code)
+        for r in study.fx.codelist_versions.collect()
+        if r.version == last.get(status[r.concept], "2_2_9") and r.code in current
+    }
+    assert {(r.concept, r.code) for r in study.updated_read_lookup().collect()} == want
+
+
 def test_flag_sensitive(spark):
     codes = spark.createDataFrame([("HIV", "a", "c"), ("X", "b", "c"), ("X", "c", "c")], CODES)
     sens = spark.createDataFrame([("b",)], "code string")
