@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from cohortwise.llm import decontaminate, hosts, jaccard, language, packing, quality, sharding, substring, tokens, warc
+from cohortwise.llm import (
+    blocks,
+    decontaminate,
+    hosts,
+    jaccard,
+    language,
+    packing,
+    quality,
+    sharding,
+    substring,
+    tokens,
+    urls,
+    warc,
+)
 
 QUERIES = {
     "op1_host_rules": hosts.op1_host_rules,
@@ -15,6 +28,8 @@ QUERIES = {
     "op8_warc_round_trip": warc.op8_warc_round_trip,
     "op9_debruijn_dedup": substring.op9_debruijn_dedup,
     "op10_bm25_decontaminate": decontaminate.op10_bm25_decontaminate,
+    "op11_url_filters": urls.op11_url_filters,
+    "op12_vector_codes": blocks.op12_vector_codes,
 }
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -95,4 +110,6 @@ kept as (
 select d.doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
        sha256(coalesce(t, '')) as kept_sha256
 from d left join kept using (doc_id)""",
+    "op11_url_filters": urls.ORACLE_SQL,
+    "op12_vector_codes": blocks.ORACLE_SQL,
 }
