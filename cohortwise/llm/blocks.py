@@ -222,7 +222,8 @@ def integer_vectors(vectors: DataFrame, settings: Settings = Settings()) -> Data
     """
     x = F.transform("embedding", lambda v: v.cast("double"))
     known = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label"), x.alias("x")).where("size(x) > 0")
-    sound = F.forall("x", lambda v: v.isNotNull() & (F.abs(F.floor(v * settings.scale)) < LIMIT) & ~F.isnan(v) & (F.abs(v) != float("inf")))
+    top = LIMIT / settings.scale
+    sound = F.forall("x", lambda v: (v < top) & (v >= 1 / settings.scale - top))  # NaN is above every number, null is neither
     known = known.where(F.coalesce(sound, F.lit(False)))
     whole = F.transform("x", lambda v: F.floor(v * settings.scale).cast("int"))
     first = known.orderBy(F.col("vec_id").asc_nulls_last(), "x").select(F.size("x").alias("size")).first()
@@ -236,6 +237,8 @@ def integer_vectors(vectors: DataFrame, settings: Settings = Settings()) -> Data
 
 def _first_books(kept: DataFrame, settings: Settings) -> np.ndarray:
     least = kept.orderBy(F.col("vec_id").asc_nulls_last(), "vector").limit(settings.entries).select("vector").collect()
+    if not least:
+        return np.zeros((settings.parts, 0, 0), np.int64)
     return np.array([r.vector for r in least], np.int64).reshape(len(least), settings.parts, -1).transpose(1, 0, 2)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cohortwise.llm import (
+    alignment,
     blocks,
     decontaminate,
     hosts,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_bm25_decontaminate": decontaminate.op10_bm25_decontaminate,
     "op11_url_filters": urls.op11_url_filters,
     "op12_vector_codes": blocks.op12_vector_codes,
+    "op13_token_alignment": alignment.op13_token_alignment,
 }
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
