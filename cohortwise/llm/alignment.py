@@ -7,9 +7,9 @@ linked. How many documents link a pair of ids is summed over the corpus, and
 the measures of a text that follow from these counts are joined to the
 documents by the text's SHA-256.
 
-Both tokenizers start anew where a plain space follows a word, so a text's
-tokens are those of its chunks between such places. A task keeps what it
-found for the chunks it has seen, up to a bound.
+Both tokenizers start anew at a plain space that follows anything but white
+space, so a text's tokens are those of its chunks between such places. A task
+keeps what it found for the chunks it has seen, up to a bound.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ from cohortwise.llm.store import map_arrow, stage
 
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
-# A place where both tokenizers start anew: a space after a word, not at the end.
-_CUT = re.compile(r"(?<=\w) (?!\Z)")
+# A place where both tokenizers start anew: a space after no white space, not at the end.
+_CUT = re.compile(r"(?<=\S) (?!\Z)")
 SPACE = "▁"  # stands for a space in the pieces of vocabulary B
 
 
@@ -76,13 +76,17 @@ class Tokenizers:
         # Pieces that go on after a space would make texts inseparable there.
         self.separable = not any(SPACE in p.lstrip(SPACE) for p in pieces)
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        spaced = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [e.ids for e in spaced], self.b.encode(texts, num_threads=1)
 
+class _Spelling:
+    """The bytes of a vocabulary's tokens, to be put together for many at once."""
 
-def _offsets(lists: list) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)])
+    def __init__(self, tokens: list[bytes]):
+        self.size = np.array([len(t) for t in tokens], np.int64)
+        self.at = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def spells(self, ids: np.ndarray, text: bytes) -> bool:
+        return self.data[W.ranges(self.at[ids], self.size[ids])].tobytes() == text
 
 
 def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -105,26 +109,48 @@ class Aligned:
 class Aligner:
     def __init__(self, tokenizers: Tokenizers):
         self.tokenizers = tokenizers
-        self.a_size = np.array([len(b) for b in tokenizers.a_bytes], np.int64)
-        self.b_size = np.array([len(b) for b in tokenizers.b_bytes], np.int64)
-        self.a_names = [np.array([f"{i}{end}" for i in range(len(self.a_size))], object) for end in (",", "|")]
-        self.b_names = [np.array([f"{i}{end}" for i in range(len(self.b_size))], object) for end in (",", ";")]
+        self.a, self.b = _Spelling(tokenizers.a_bytes), _Spelling(tokenizers.b_bytes)
+        self.a_names = [np.array([f"{i}{end}" for i in range(len(self.a.size))], object) for end in (",", "|")]
+        self.b_names = [np.array([f"{i}{end}" for i in range(len(self.b.size))], object) for end in (",", ";")]
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of consecutive texts and how many each has, by A and by B; no ids where they do not spell the text."""
+        whole = " ".join(texts)
+        raw = f" {whole}".encode()
+        ends = np.cumsum([len(t.encode()) + 1 for t in texts])
+        spaced = self.tokenizers.a.encode(f" {whole}", add_special_tokens=False).ids
+        out, sound = [], True
+        for ids, by in ((spaced, self.a), (self.tokenizers.b.encode(whole), self.b)):
+            ids = np.array(ids, np.int64)
+            stops = np.cumsum(by.size[ids])
+            at = np.searchsorted(stops, ends)
+            sound = sound and by.spells(ids, raw) and bool((stops[at] == ends).all())
+            out.append((ids, np.diff(at + 1, prepend=0)))
+        if sound:
+            return out
+        if len(texts) == 1:
+            return [(np.zeros(0, np.int64), np.zeros(1, np.int64))] * 2
+        alone = [self.encode([t]) for t in texts]
+        return [tuple(np.concatenate([one[side][k] for one in alone]) for k in (0, 1)) for side in (0, 1)]
 
     def align(self, texts: list[str]) -> Aligned:
-        """Tokens, groups and links of non-empty texts; an unsound one has none."""
-        a_ids, b_ids = self.tokenizers.encode(texts)
-        a_bytes, b_bytes = self.tokenizers.a_bytes, self.tokenizers.b_bytes
-        sound = np.zeros(len(texts), bool)
-        for i, text in enumerate(texts):
-            whole = b" " + text.encode()
-            sound[i] = b"".join([a_bytes[t] for t in a_ids[i]]) == whole and b"".join([b_bytes[t] for t in b_ids[i]]) == whole
-            if not sound[i]:
-                a_ids[i], b_ids[i] = [], []
-        a_first, b_first = _offsets(a_ids), _offsets(b_ids)
-        a = np.concatenate([np.array(x, np.int64) for x in a_ids])
-        b = np.concatenate([np.array(x, np.int64) for x in b_ids])
+        """Tokens, groups and links of non-empty texts; an unsound one has none.
+
+        Texts that end in no white space are encoded in one go, joined by the
+        space at which both tokenizers start anew.
+        """
+        joined = [i for i, t in enumerate(texts) if SPACE not in t and not t[-1].isspace()] if self.tokenizers.separable else []
+        alone = set(range(len(texts))).difference(joined)
+        runs = ([joined] if joined else []) + [[i] for i in sorted(alone)]
+        found = [self.encode([texts[i] for i in run]) for run in runs]
+        order = np.argsort(np.concatenate([np.array(run, np.int64) for run in runs]))
+        (a, a_count), (b, b_count) = (tuple(np.concatenate([f[side][k] for f in found]) for k in (0, 1)) for side in (0, 1))
+        # Back into the order of the texts.
+        a, b = (x[W.ranges((np.cumsum(n) - n)[order], n[order])] for x, n in ((a, a_count), (b, b_count)))
+        a_first, b_first = (np.concatenate([[0], np.cumsum(n[order])]) for n in (a_count, b_count))
+        sound = a_count[order] > 0
         # All texts in one row: ends that both have, the last of each text included.
-        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        a_end, b_end = np.cumsum(self.a.size[a]), np.cumsum(self.b.size[b])
         common = np.intersect1d(a_end, b_end, assume_unique=True)
         last_a, last_b = np.searchsorted(a_end, common), np.searchsorted(b_end, common)
         # Between two neighbouring ends, of either, lies one token of each: a link.
@@ -161,7 +187,7 @@ class Aligner:
 
 
 class Chunks:
-    """What is known of the chunks seen, in growing arrays; emptied when full."""
+    """What is known of the chunks seen, in arrays that grow by doubling; emptied when full."""
 
     def __init__(self, aligner: Aligner, most: int, most_bytes: int):
         self.aligner, self.most, self.most_bytes = aligner, most, most_bytes
@@ -171,24 +197,35 @@ class Chunks:
         self.at: dict[str, int] = {}
         self.bytes = 0
         self.groups: list[str] = []
-        self.counts = np.zeros((4, 0), np.int64)  # sound, n_a, n_b, n_groups
-        self.first, self.links = np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.counts = np.zeros((1 << 10, 4), np.int64)  # sound, n_a, n_b, n_groups
+        self.first, self.links = np.zeros(1 << 10, np.int64), np.zeros(1 << 12, np.int64)
 
     def learn(self, texts: set[str]) -> None:
-        """Align the chunks not known yet."""
+        """Align the chunks not known yet; afterwards all of ``texts`` are known."""
         if len(self.at) + len(texts) > self.most or self.bytes > self.most_bytes:
             self._empty()
         new = [t for t in texts if t not in self.at]
         if not new:
             return
         found = self.aligner.align(new)
-        for t in new:
-            self.at[t] = len(self.at)
+        n = len(self.at)
+        size = self.first[n]
+        self.counts = _grown(self.counts, n + len(new))
+        self.first = _grown(self.first, n + len(new) + 1)
+        self.links = _grown(self.links, size + len(found.links))
+        self.counts[n : n + len(new)] = np.column_stack([found.sound, found.n_a, found.n_b, found.n_groups])
+        self.first[n + 1 : n + len(new) + 1] = size + found.first[1:]
+        self.links[size : size + len(found.links)] = found.links
         self.groups += found.groups
-        self.counts = np.concatenate([self.counts, np.stack([found.sound, found.n_a, found.n_b, found.n_groups])], axis=1)
-        self.first = np.concatenate([self.first, self.first[-1] + found.first[1:]])
-        self.links = np.concatenate([self.links, found.links])
-        self.bytes = self.links.nbytes + sum(map(len, self.groups)) + 2 * sum(map(len, self.at))
+        self.at.update(zip(new, range(n, n + len(new)), strict=True))
+        self.bytes += found.links.nbytes + sum(map(len, found.groups)) + 2 * sum(map(len, new))
+
+
+def _grown(values: np.ndarray, size: int) -> np.ndarray:
+    """``values`` with room for at least ``size`` rows."""
+    if size <= len(values):
+        return values
+    return np.concatenate([values, np.zeros((max(size, 2 * len(values)) - len(values), *values.shape[1:]), values.dtype)])
 
 
 @dataclass
@@ -205,12 +242,12 @@ class _Text:
         self.keys, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def add(self, chunks: Chunks, parts: list[str], with_groups: bool) -> None:
-        at = np.array([chunks.at[p] for p in parts])
-        sound, n_a, n_b, n_groups = chunks.counts[:, at].sum(axis=1).tolist()
+        at = np.array(list(map(chunks.at.__getitem__, parts)))
+        sound, n_a, n_b, n_groups = chunks.counts[at].sum(axis=0).tolist()
         self.sound &= sound == len(parts)
         if not self.sound:
-            return
-        groups = ";".join([chunks.groups[i] for i in at.tolist()])
+            return  # such a text has no tokens, whatever else it holds
+        groups = ";".join(map(chunks.groups.__getitem__, at.tolist()))
         self.sha.update(((";" if self.n_a else "") + groups).encode())
         if with_groups:
             self.line.append(groups)
@@ -246,9 +283,39 @@ _ALIGNED = [
     ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("pairs", pa.list_(pa.int64())), ("times", pa.list_(pa.int32())),
 ]
 _DDL = "key string, copies long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
+_LOT = 1 << 20  # characters whose chunks are learned together, about
 _FLUSH = 1 << 20  # pairs in an output batch, about
 
 
+def _pieces_of(batches, piece: int) -> Iterator[tuple[str, int, str, bool]]:
+    """(key, copies, piece, whether it is the text's last); bytes that are no text give one piece, U+2581."""
+    for batch in batches:
+        for i in range(len(batch)):
+            key, copies = batch.column("key")[i].as_py(), batch.column("copies")[i].as_py()
+            try:
+                text = batch.column("text")[i].as_buffer().to_pybytes().decode()
+            except UnicodeDecodeError:
+                text = SPACE  # like it, no tokens spell them
+            held = None
+            for part in _pieces(text, piece):
+                if held is not None:
+                    yield key, copies, held, False
+                held = part
+            yield key, copies, held, True
+
+
+def _lots(pieces, most: int) -> Iterator[list]:
+    lot, size = [], 0
+    for item in pieces:
+        lot.append(item)
+        size += len(item[2]) + 100
+        if size >= most:
+            yield lot
+            lot, size = [], 0
+    if lot:
+        yield lot
+
+
 def _aligned_of(batches, settings: Settings, with_groups: bool) -> Iterator[pa.RecordBatch]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
     names = [SparkFiles.get(path.rsplit("/", 1)[-1]) for path in (settings.byte_bpe, settings.piece_bpe)]
@@ -256,22 +323,16 @@ def _aligned_of(batches, settings: Settings, with_groups: bool) -> Iterator[pa.R
     chunks = Chunks(Aligner(tokenizers), settings.chunks, settings.kept_bytes)
     schema = pa.schema(_ALIGNED + ([("groups", pa.string())] if with_groups else []))
     out: list[dict] = []
-    held = 0
-    for batch in batches:
-        for i in range(len(batch)):
-            found = _Text()
-            try:
-                text = batch.column("text")[i].as_buffer().to_pybytes().decode()
-            except UnicodeDecodeError:  # no tokens spell these bytes
-                text, found.sound = "", False
-            for piece in _pieces(text, settings.piece) if text else ():
-                parts = _CUT.split(piece) if tokenizers.separable else [piece]
-                chunks.learn(set(parts))
-                found.add(chunks, parts, with_groups)
-                if not found.sound:
-                    break
-            out.append({"key": batch.column("key")[i].as_py(), "copies": batch.column("copies")[i].as_py()} | found.row(with_groups))
-            held += len(out[-1]["pairs"]) + 64
+    held, found = 0, _Text()
+    for lot in _lots(_pieces_of(batches, settings.piece), min(_LOT, settings.piece)):
+        parts = [_CUT.split(piece) if tokenizers.separable else [piece] for _, _, piece, _ in lot]
+        chunks.learn(set().union(*parts))
+        for (key, copies, _, last), of in zip(lot, parts, strict=True):
+            found.add(chunks, of, with_groups)
+            if last:
+                out.append({"key": key, "copies": copies} | found.row(with_groups))
+                held += len(out[-1]["pairs"]) + 64
+                found = _Text()
             if held >= _FLUSH:
                 yield pa.RecordBatch.from_pylist(out, schema)
                 out, held = [], 0
@@ -288,7 +349,7 @@ def aligned_texts(texts: DataFrame, settings: Settings = Settings(), with_groups
     for) and their SHA-256. A text that its tokens do not spell has none: zeros,
     no pairs and ''. Nulls and empty texts are left out. A text is taken a piece
     at a time, so one of any length needs memory for a piece and its distinct
-    pairs; a text without a space after a word is one piece.
+    pairs; a text without a space is one piece.
     """
     context = texts.sparkSession.sparkContext
     for path in (settings.byte_bpe, settings.piece_bpe):
