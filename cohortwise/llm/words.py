@@ -5,10 +5,11 @@ feed and carriage return (``[^\\x20\\x09-\\x0D]+``; in UTF-8 these are the same
 runs as of code points). Texts are taken in slices of about ``CHUNK`` bytes
 (one text at least), so memory follows the slice, not the batch.
 
-Words are known by a 64-bit hash: a polynomial over random byte values, read
-off a prefix sum, then mixed. Windows of words combine these. Equal windows
-have equal hashes; two given different windows agree with a chance of about
-2**-60.
+Words are known by a 64-bit hash: the sum of a pseudo-random value for each
+(byte, place in the word), mixed. It is computed for ``PIECE`` bytes at a time,
+so a text or word of any length costs no more memory than that. Windows of
+words combine these. Equal windows have equal hashes; two given different ones
+agree with a chance of about 2**-60.
 """
 
 from __future__ import annotations
@@ -21,11 +22,12 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 20
+PIECE = 1 << 16
 U = np.uint64
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[9, 10, 11, 12, 13, 32]] = False
-_STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+_STEP = 0x9E3779B97F4A7C15  # odd
 
 
 @functools.cache
@@ -37,19 +39,6 @@ def byte_values(fold: bool, seed: int) -> np.ndarray:
     return values
 
 
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``_STEP ** i`` and its inverse for i below ``n``, modulo 2**64."""
-    if len(_POWERS.get("up", ())) < n:
-        size = max(n, 2 * CHUNK)
-        for name, base in (("up", _STEP), ("down", pow(_STEP, -1, 1 << 64))):
-            with np.errstate(over="ignore"):
-                _POWERS[name] = np.cumprod(np.concatenate([np.ones(1, U), np.full(size - 1, base, U)]))
-    return _POWERS["up"], _POWERS["down"]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values (a bijection)."""
     x = x ^ (x >> U(30))
@@ -84,11 +73,21 @@ class Chunk:
 
     def hashes(self, fold: bool, seed: int = 1) -> np.ndarray:
         """A 64-bit hash of each word."""
-        up, down = _powers(len(self.data))
-        with np.errstate(over="ignore"):
-            sums = np.zeros(len(self.data) + 1, U)
-            np.cumsum(byte_values(fold, seed)[self.data] * up[: len(self.data)], out=sums[1:])
-            return mix((sums[self.ends] - sums[self.starts]) * down[self.starts])
+        out = np.zeros(len(self.starts), U)
+        values = byte_values(fold, seed)
+        for at in range(0, len(self.data), PIECE):
+            stop = min(at + PIECE, len(self.data))
+            of = slice(int(np.searchsorted(self.ends, at, "right")), int(np.searchsorted(self.starts, stop, "left")))
+            starts = self.starts[of]
+            begin = np.maximum(starts, at)
+            sizes = np.minimum(self.ends[of], stop) - begin
+            where = ranges(begin, sizes)
+            with np.errstate(over="ignore"):
+                place = (where - np.repeat(starts, sizes)).astype(U) * U(_STEP)
+                sums = np.concatenate([np.zeros(1, U), np.cumsum(mix(values[self.data[where]] + place))])
+                ends = np.cumsum(sizes)
+                out[of] += sums[ends] - sums[ends - sizes]
+        return mix(out)
 
     def text(self, i: int) -> bytes:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()

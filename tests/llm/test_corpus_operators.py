@@ -432,7 +432,7 @@ def test_whole_rows_reach_their_shards(spark, docs, none, tmp_path):
 
     names = ("7", "08", "b c")  # numbers in folder names stay strings
     path = str(tmp_path / "shards")
-    back = sharding.write_shards(docs, path, files=2, shards=names, slots=101)
+    back = sharding.write_shards(docs, path, shards=names, slots=101)
     assert back.columns == [*docs.columns, "slot", "shard"] and found(back) == found(docs)
     want = collections.Counter(tuple(r) for r in sharding.placed(docs, shards=names, slots=101).collect())
     assert collections.Counter(tuple(r) for r in back.collect()) == want
@@ -442,6 +442,79 @@ def test_whole_rows_reach_their_shards(spark, docs, none, tmp_path):
     assert sharding.write_shards(none, str(tmp_path / "none")).count() == 0
 
 
+def test_shard_files_follow_bytes_not_tasks(spark, tmp_path):
+    """Many input partitions leave one small file a shard; small files of a hot shard are cut."""
+    rows = spark.range(4000, numPartitions=40).selectExpr("id as doc_id", "concat_ws('', transform(sequence(1, 20), i -> sha2(string(id * 100 + i), 256))) as text")
+    few, many = str(tmp_path / "few"), str(tmp_path / "many")
+    assert sharding.write_shards(rows, few, shards=("a", "b"), slots=101).count() == 4000
+    assert sharding.write_shards(rows, many, file_bytes=64 << 10, shards=("a", "b"), slots=101).count() == 4000
+    files = {path: len(list((tmp_path / path).rglob("*.parquet"))) for path in ("few", "many")}
+    assert files["few"] <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions")) < files["many"]
+
+
+def test_clashing_names_stay(spark, tmp_path):
+    """Columns called like those that operators make, in any case, keep their values."""
+    names = ["doc_id", "text", "_file", "_print", "_kept", "id", "print", "row", "part", "rest", "block", "spans", "c0", "Words"]
+    same = "the same words stand here once more and they are more than thirteen of them"
+    data = [(i, t, *[f"{n}{i}" for n in names[2:]]) for i, t in enumerate([same, same, "other words", None, ""])]
+    docs = spark.createDataFrame(data, f"doc_id long, text string, {', '.join(f'`{n}` string' for n in names[2:])}")
+
+    def found(df):
+        assert df.columns[: len(names)] == names
+        return sorted([tuple(r)[: len(names)] for r in df.collect()])
+
+    assert found(sharding.write_shards(docs, str(tmp_path / "shards"))) == data
+    assert found(jaccard.one_of_each(docs)) == [data[0], *data[2:]]
+    kept = [(d[0], "" if d[0] == 1 else d[1], *d[2:]) for d in data]
+    assert found(substring.drop_repeats(docs)) == kept
+    upper = docs.withColumnsRenamed({"c0": "Slot", "rest": "SHARD"})
+    assert sharding.placed(upper).columns == [c for c in upper.columns if c not in ("Slot", "SHARD")] + ["slot", "shard"]
+
+
+def doubling(n, a, b):
+    """A word of ``2 ** n`` letters whose swap of letters has the same sums under many hashes."""
+    return "".join(b if i.bit_count() % 2 else a for i in range(1 << n))
+
+
+@pytest.fixture(scope="module")
+def lookalikes(spark):
+    pairs = [doubling(10, "a", "b"), doubling(10, "b", "a")]
+    ends = [" ".join(f"{x}{i}" for i in range(6)) for x in "pq"]
+    return spark.createDataFrame([(i, f"{ends[0]} {w} {ends[1]}") for i, w in enumerate(pairs)], "doc_id long, text string")
+
+
+def test_words_that_look_alike_stay_apart(spark, lookalikes):
+    """Long words that differ in many letters, and hash to one value under a polynomial modulo 2**64."""
+    assert [r.component_id for r in jaccard.near_duplicates(lookalikes).orderBy("doc_id").collect()] == [0, 1]
+    assert [r.n_removed for r in substring.repeat_digests(lookalikes).orderBy("doc_id").collect()] == [0, 0]
+    items = lookalikes.where("doc_id = 0").select(F.col("doc_id").alias("item_id"), "text")
+    assert decontaminate.contaminated(lookalikes, items).where("doc_id = 1").count() == 0
+
+
+def test_word_hashes_do_not_depend_on_the_slices(monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("ab \n") for _ in range(300)), "x" * 500, "", "ab"]
+    whole = [c.hashes(False) for c in tokens.W.chunks(pa.array(texts))]
+    monkeypatch.setattr(tokens.W, "PIECE", 7)
+    pieces = [c.hashes(False) for c in tokens.W.chunks(pa.array(texts))]
+    assert all((x == y).all() for x, y in zip(whole, pieces, strict=True))
+    found = collections.defaultdict(set)
+    for word, value in zip([w for t in texts for w in words(t)], np.concatenate(whole), strict=True):
+        found[word].add(int(value))
+    assert all(len(v) == 1 for v in found.values()) and len(set.union(*found.values())) == len(found)
+
+
+def test_spans_are_verified_by_their_words(spark):
+    """Places that hashes put on one path count only with documents that have the same words there."""
+    same = " ".join(f"w{i}" for i in range(20))
+    other = same.replace("w7", "v7")
+    texts = spark.createDataFrame([(1, 0, "x " + same), (2, 0, other.replace(" ", "\n")), (3, 0, other + " y"), (4, 0, same)], "doc_id long, part int, text string")
+    places = [(1, 0, 1), (2, 0, 0), (3, 0, 0), (4, 0, 0)]
+    frame = spark.createDataFrame([(d, p, at, 8, 1, 0, 1) for d, p, at in places], substring._SPAN)
+    found = substring.verified_places(texts, frame)
+    assert {r.doc_id: r.first for r in found.collect()} == {1: 1, 2: 2, 3: 2, 4: 1}
+
+
 def test_sharding_query_writes_the_documents(spark, monkeypatch):
     written = []
     monkeypatch.setattr(sharding, "new_path", lambda spark, name: written.append(store.new_path(spark, name)) or written[-1], raising=False)
