@@ -346,12 +346,13 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
 
     The smallest ``doc_id`` of each component stays; repeated rows of one id
     and text count as one document. Rows without words, or without an id, are
-    in no group and stay.
+    in no group and stay. Other columns may have any name.
     """
-    kept = near_duplicates(docs, size, percent).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    known = docs.where("doc_id is not null")
-    rows = known.join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi").withColumn("_print", F.xxhash64("text"))
-    rows = rows.dropDuplicates(["doc_id", "_print"]).drop("_print")
+    kept = near_duplicates(docs, size, percent).where("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
+    whole = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("print"), whole.alias("row"))
+    rows = rows.where("id is not null").join(kept, "id", "left_semi").dropDuplicates(["id", "print"])
+    rows = rows.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
     return rows.unionByName(docs.where("doc_id is null"))
 
 

@@ -52,25 +52,38 @@ def placed(docs: DataFrame, key: str = "doc_id", shards: tuple[str, ...] = SHARD
     """``docs`` with two more columns, ``slot`` (int) and ``shard`` (string).
 
     Equal keys share a shard; a null key has one too. Existing columns of
-    these names are replaced. The table has ``slots`` rows, at most
+    these names, in any case, give way. The table has ``slots`` rows, at most
     ``MOST_SLOTS``, and is broadcast; the documents are not shuffled.
     """
     table = lookup_table(shards, slots, weights)
     rows = docs.sparkSession.createDataFrame([(i, shards[j]) for i, j in enumerate(table.tolist())], "slot int, shard string")
-    keyed = docs.drop("slot", "shard").withColumn("slot", F.pmod(F.xxhash64(key), F.lit(slots)).cast("int"))
-    return keyed.join(F.broadcast(rows), "slot", "left").select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("slot", "shard")], "slot", "shard")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("slot", "shard")]
+    keyed = docs.select(*kept, F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(slots)).cast("int").alias("slot"))
+    return keyed.join(F.broadcast(rows), "slot", "left").select(*kept, "slot", "shard")
 
 
-def write_shards(docs: DataFrame, path: str, files: int = 4, **options) -> DataFrame:
-    """Write ``docs`` in one folder per shard, dealt to ``files`` tasks each.
+def write_shards(docs: DataFrame, path: str, file_bytes: int = 256 << 20, **options) -> DataFrame:
+    """Write ``docs`` in one folder per shard, in files of about ``file_bytes``.
 
-    Returns the rows as they are read back from there, with ``slot`` and
-    ``shard``.
+    The rows are dealt by shard and rebalanced: Spark's adaptive execution cuts
+    what a shard holds into tasks of at most that many shuffled bytes, so files
+    and tasks follow the data, not the number of shards, and a hot shard is
+    split. Returns the rows as they are read back, with ``slot`` and ``shard``.
+    All columns of ``docs`` but two of those names are kept, whatever they are
+    called; null, empty and repeated rows are written like others, and an empty
+    table leaves an empty folder.
     """
     own = placed(docs, **options)
-    dealt = own.withColumn("_file", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in own.columns]), F.lit(files)))
-    dealt.repartition(F.col("shard"), F.col("_file")).drop("_file").write.partitionBy("shard").parquet(path)
-    return docs.sparkSession.read.schema(own.schema).parquet(path).select(*[F.col(f"`{c}`") for c in own.columns])
+    hint = f"{file_bytes}b"
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark = docs.sparkSession
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, hint)
+    try:
+        own.hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+    return spark.read.schema(own.schema).parquet(path).select(*[F.col(f"`{c}`") for c in own.columns])
 
 
 def op4_maglev_sharding(spark, sf_dir: str) -> DataFrame:
