@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortwise.operators.counts import person_bits
+
 
 def _in_range(col: str, lo: dt.date | None, hi: dt.date | None, closed: bool = True):
     cond = F.lit(True)
@@ -94,10 +96,5 @@ def linkage_table(
 
 def linkage_check(cohort: DataFrame, linkage: DataFrame) -> DataFrame:
     """Distinct persons before and after flagging (must be equal)."""
-    tagged = cohort.select("person_id", F.lit(0).alias("side")).unionByName(
-        linkage.select("person_id", F.lit(1).alias("side"))
-    )
-    return tagged.agg(
-        F.count_distinct(F.when(F.col("side") == 0, F.col("person_id"))).alias("n_cohort"),
-        F.count_distinct(F.when(F.col("side") == 1, F.col("person_id"))).alias("n_linked"),
-    )
+    bits = person_bits({"n_cohort": cohort, "n_linked": linkage})
+    return bits.agg(*[F.count_if(F.getbit("bits", F.lit(i)) == 1).alias(name) for i, name in enumerate(("n_cohort", "n_linked"))])

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,3 +45,43 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+# Shuffled bytes that one written file holds, about.
+FILE_BYTES = 256 << 20
+# Shuffle partitions that a balanced write deals its values to: enough that a
+# small value seldom shares one, and thus its cuts, with a large one.
+SLOTS = 1024
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+@contextmanager
+def advisory_bytes(spark: SparkSession, size: int) -> Iterator[None]:
+    """Within the block, adaptive execution aims at shuffle partitions of ``size`` bytes."""
+    before = spark.conf.get(_ADVISORY, None)
+    spark.conf.set(_ADVISORY, f"{size}b")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_ADVISORY)
+        else:
+            spark.conf.set(_ADVISORY, before)
+
+
+def write_balanced(
+    df: DataFrame, path: str, by: Sequence[str], file_bytes: int = FILE_BYTES, fmt: str = "parquet", dynamic: bool = False
+) -> None:
+    """Write ``df`` partitioned by ``by``, with files per partition value bounded by bytes.
+
+    A ``REBALANCE`` deals the rows by ``by``; adaptive execution then cuts a
+    value that holds more than ``file_bytes`` into several tasks and joins small
+    ones, so the number of files follows the data and not tasks x values.
+    ``dynamic`` replaces only the values that ``df`` holds.
+    """
+    slots = max(SLOTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    writer = df.hint("rebalance", slots, *by).write.mode("overwrite").format(fmt).partitionBy(*by)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    with advisory_bytes(df.sparkSession, file_bytes):
+        writer.save(path)

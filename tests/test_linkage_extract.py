@@ -1,5 +1,6 @@
 """Linkage flags and extracts: date bounds, parent lookups, fan-out."""
 
+import pytest
 from conftest import d
 from pyspark.sql import functions as F
 
@@ -71,3 +72,95 @@ def test_diagnosis_matched_by_both_branches(spark):
 def test_five_character_codes_never_match(spark):
     look = [("A0112", "t5", "A01", "t3", 5, 0, "C", "c")]
     assert _hospital(spark, look, []) == []
+
+
+def _events(spark, n=4000, parts=40):
+    return spark.range(n, numPartitions=parts).selectExpr(
+        "id % 50 as person_id", "date_add(date'2000-01-01', int(id * 37 % 3650)) as event_dt", "sha2(string(id), 256) as code"
+    )
+
+
+def test_files_of_a_year_follow_its_bytes(spark, tmp_path):
+    """Many input partitions leave few files a year; a year beyond the bound is cut."""
+    rows = _events(spark)
+    few, cut = str(tmp_path / "few"), str(tmp_path / "cut")
+    E.write_extract(rows, few, "event_dt")
+    E.write_extract(rows, cut, "event_dt", file_bytes=8 << 10)
+
+    def files(path):
+        return {y.name: len(list(y.glob("*.parquet"))) for y in (tmp_path / path).glob("year=*")}
+
+    assert len(files("few")) == 10 and all(n <= 2 for n in files("few").values())
+    assert sum(files("cut").values()) > sum(files("few").values())
+    for path in (few, cut):
+        back = spark.read.parquet(path)
+        assert back.where("year <> year(event_dt)").count() == 0
+        assert back.drop("year").exceptAll(rows).count() == 0 and back.count() == 4000
+
+
+def test_a_hot_year_is_written_by_several_tasks(spark, tmp_path):
+    rows = _events(spark).selectExpr("person_id", "if(person_id < 40, date'2001-05-05', event_dt) as event_dt", "code")
+    E.write_extract(rows, str(tmp_path / "hot"), "event_dt", file_bytes=16 << 10)
+    sizes = {y.name: len(list(y.glob("*.parquet"))) for y in (tmp_path / "hot").glob("year=*")}
+    assert sizes["year=2001"] >= 4 and max(n for y, n in sizes.items() if y != "year=2001") <= 2
+
+
+def test_one_year_again_leaves_the_others(spark, tmp_path):
+    path = str(tmp_path / "years")
+    E.write_extract(_events(spark), path, "event_dt")
+    before = {f for f in (tmp_path / "years").rglob("*.parquet") if "year=2003" not in str(f)}
+    E.write_extract(_events(spark).where("year(event_dt) = 2003").limit(5), path, "event_dt")
+    assert before <= set((tmp_path / "years").rglob("*.parquet"))
+    assert spark.read.parquet(path).where("year = 2003").count() == 5
+
+
+RANGES = [(d("1999-01-01"), d("2001-01-01")), (d("2001-01-01"), d("2001-01-02")), (d("2001-01-02"), d("2005-06-01")), (d("2005-06-01"), d("2012-01-01"))]
+
+
+def test_ranges_load_once(spark, tmp_path):
+    path = str(tmp_path / "load")
+    rows = _events(spark).unionByName(spark.createDataFrame([(1, None, "x")], "person_id long, event_dt date, code string"))
+    assert E.read_loaded(spark, path) is None
+    assert [E.load_range(rows, path, "event_dt", lo, hi) for lo, hi in [*RANGES, RANGES[0], RANGES[2]]] == [True] * 4 + [False] * 2
+    back = E.read_loaded(spark, path)
+    assert back.count() == 4000 and back.exceptAll(rows).count() == 0
+    assert E.loaded_ranges(spark, path) == RANGES
+    for lo, hi in ((d("2000-12-31"), d("2001-01-01")), (d("2001-01-01"), d("2001-01-03")), (d("2011-12-31"), d("2013-01-01"))):
+        with pytest.raises(ValueError):
+            E.load_range(rows, path, "event_dt", lo, hi)
+    with pytest.raises(ValueError):
+        E.load_range(rows, path, "event_dt", d("2020-01-01"), d("2020-01-01"))
+
+
+def test_a_load_that_broke_off_is_done_again(spark, tmp_path, monkeypatch):
+    """Rows written without an entry in the ledger do not count, and are replaced."""
+    path = str(tmp_path / "load")
+    rows = _events(spark)
+    E.load_range(rows, path, "event_dt", *RANGES[0])
+    seen = E.read_loaded(spark, path).count()
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(E.smallfiles, "put", broken)
+        with pytest.raises(OSError):
+            E.load_range(rows, path, "event_dt", *RANGES[2])
+    assert (tmp_path / "load" / "chunks" / "2001-01-02_2005-06-01").exists()
+    assert E.read_loaded(spark, path).count() == seen
+    assert E.load_range(rows, path, "event_dt", *RANGES[2])
+    lo, hi = RANGES[2]
+    want = seen + rows.where((F.col("event_dt") >= F.lit(lo)) & (F.col("event_dt") < F.lit(hi))).count()
+    assert E.read_loaded(spark, path).count() == want
+
+
+def test_persons_of_many_tables_take_one_shuffle(spark):
+    from cohortwise.operators.counts import persons_by_tag
+
+    tables = {f"t{i}": spark.range(i * 3).selectExpr("id % 7 as person_id").unionAll(spark.sql("select null")) for i in range(20)}
+    counts = persons_by_tag(tables, "name")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Exchange SinglePartition") == 1
+    assert [(r.name, r.n) for r in counts.collect()] == [(f"t{i}", min(i * 3, 7)) for i in range(20)]
+    with pytest.raises(ValueError):
+        persons_by_tag({str(i): tables["t1"] for i in range(64)}, "name")
