@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cohortwise.functions.dates import OPEN_END
 from cohortwise.functions.study import StudyWindow
-from cohortwise.plans.sizing import small_side
 
 
 _EPOCH = "1970-01-01"
@@ -28,9 +27,6 @@ def _unpack_end(v):
     return F.date_add(F.lit(_EPOCH).cast("date"), (v % _SPAN - _DAY0).cast("int"))
 
 
-HOT_SPELLS = 50_000  # spells of one person above which its islands are built per start day
-
-
 def merge_spells(
     rows: DataFrame,
     window: StudyWindow,
@@ -38,7 +34,6 @@ def merge_spells(
     person: str = "person_id",
     start: str = "active_from",
     end: str = "active_to",
-    hot_threshold: int | None = HOT_SPELLS,
 ) -> DataFrame:
     """Islands of spells per person -> (person_id, entry_dt, exit_dt, rw_seq).
 
@@ -51,49 +46,17 @@ def merge_spells(
     window end becomes the open-end sentinel, and islands are numbered by their
     unclamped dates. Spell ends must not be null (use the open-end sentinel).
 
-    Hot groups are split: persons with more than ``hot_threshold`` spells are
-    listed first (a map-side combined count; at most rows / threshold persons,
-    broadcast after a size check). Their islands are built by the per-start-day
-    path below; everyone else takes the one-window path (one shuffle by
-    person, then ``lag`` and a running sum). ``hot_threshold=None`` sends every
-    person through the per-start-day path, ``0`` as well.
-
-    Per-start-day path: no window runs over all spells of a person. Copies of one
-    (person, start, end) spell are counted first. Extra copies only matter for
-    a malformed spell that ends two or more days before it starts: the second
-    copy then closes the island of the first and opens its own, and a third
-    adds the single-spell island (start, end); further copies repeat islands
-    already present in the result set. So at most three copies are kept, which
-    gives exactly the same islands. Then
-
-    * per (person, start day) aggregates -- the last end of the day, how many
-      of its spells open an island -- are chained over a person's start days
-      (at most one row per calendar day), giving each day the end of the
-      previous spell and the number of islands opened before it;
-    * inside one (person, start day) the spells are ordered by end (at most
-      three rows per calendar day) to finish the previous-end chain and number
-      the island openers.
-
-    A person with a huge share of the spells is therefore spread over its
-    start days, and every window is bounded by the calendar, not the data.
+    One path serves every person, however many spells it has: the spells of a
+    (person, start day) are summed up first, combined before the shuffle, and
+    the window by person then composes one summary per start day (see
+    ``_day_summaries``). So the window is bounded by the calendar, not by
+    the data, and the input is read once.
     """
     if rule not in ("pairwise", "running_max"):
         raise ValueError(f"unknown rule {rule!r}")
     spells = rows.select(F.col(person).alias("person_id"), F.col(start).alias("s"), F.col(end).alias("e"))
-    if not hot_threshold:
-        islands = _islands_by_day(spells, window.gap_days, rule)
-    else:
-        counts = spells.groupBy("person_id").agg(F.count(F.lit(1)).alias("_n"))
-        hot = small_side(counts.where(F.col("_n") > hot_threshold).select("person_id"))
-        # A null person is a group like any other, on either path.
-        listed = spells["person_id"].eqNullSafe(hot["person_id"])
-        islands = _islands_by_person(spells.join(hot, listed, "left_anti"), window.gap_days, rule).unionByName(
-            _islands_by_day(spells.join(hot, listed, "left_semi"), window.gap_days, rule)
-        )
     # Two islands can only coincide on malformed spells (end < start); keep one.
-    # Islands of well-formed spells have distinct start days, so this window is
-    # bounded by the calendar too.
-    islands = islands.distinct()
+    islands = _islands(_day_summaries(spells, window.gap_days), window.gap_days, rule).distinct()
     numbered = Window.partitionBy("person_id").orderBy("s", "e")
     return islands.select(
         "person_id",
@@ -111,71 +74,46 @@ def _island_end(rule: str):
     return F.max("e")
 
 
-def _islands_by_person(spells: DataFrame, gap: int, rule: str) -> DataFrame:
-    """(person_id, s, e) islands with one ordered window per person."""
-    ordered = Window.partitionBy("person_id").orderBy("s", "e")
-    if rule == "pairwise":
-        prev_end = F.lag("e").over(ordered)
-    else:
-        prev_end = F.max("e").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(prev_end.isNull() | (F.date_diff(F.col("s"), prev_end) >= gap), 1).otherwise(0)
-    tagged = spells.withColumn("opens", opens).withColumn(
-        "island", F.sum("opens").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    return tagged.groupBy("person_id", "island").agg(F.min("s").alias("s"), _island_end(rule).alias("e")).drop("island")
-
-
-def _islands_by_day(spells: DataFrame, gap: int, rule: str) -> DataFrame:
-    """(person_id, s, e) islands chaining per-(person, start day) aggregates."""
-    spells = (
-        spells.repartition("person_id", "s")
-        .groupBy("person_id", "s", "e")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .select("person_id", "s", "e", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(3)))).alias("copy"))
-    )
+def _day_summaries(spells: DataFrame, gap: int) -> DataFrame:
+    """(person_id, s, ends, last): what the spells that start on one day do to the chain.
 
-    # One row per (person, start day). ``small`` counts ends at least ``gap``
-    # days before the start (only malformed spells, end < start - 1, have them).
-    far = F.date_diff(F.col("s"), F.col("e")) >= gap
-    per_day = spells.groupBy("person_id", "s").agg(
-        F.max("e").alias("last_e"),
-        F.sum(F.when(far, 1).otherwise(0)).alias("small"),
+    Inside a day the spells follow by end, and one opens an island if the end
+    before it lies ``gap`` days or more before the day. Only malformed spells
+    end so early. All others of the day join into one: they need their last
+    end alone. So ``ends`` holds, in order, the early ends and then the last of
+    the others; for well-formed spells that is one date. Of copies of an early
+    spell three count: the second closes the island of the first and opens its
+    own, a third adds an island of that one spell, and further ones repeat it.
+    """
+    early = F.date_diff(F.col("s"), F.col("e")) >= gap
+    counted = spells.groupBy("person_id", "s", F.when(early, F.col("e")).alias("early")).agg(
+        F.max("e").alias("e"), F.count(F.lit(1)).alias("copies")
     )
-    days = Window.partitionBy("person_id").orderBy("s")
-    earlier = days.rowsBetween(Window.unboundedPreceding, -1)
-    if rule == "pairwise":
-        prev_day_e = F.lag("last_e").over(days)
-    else:
-        prev_day_e = F.max("last_e").over(earlier)
-    per_day = per_day.withColumn("prev_day_e", prev_day_e)
-    first_new = F.col("prev_day_e").isNull() | (F.date_diff(F.col("s"), F.col("prev_day_e")) >= gap)
-    # Spells after the first of the day compare with the previous end of the
-    # same day, which is one of the day's ends except the last one.
-    rest_small = F.col("small") - F.when(F.date_diff(F.col("s"), F.col("last_e")) >= gap, 1).otherwise(0)
-    if rule == "pairwise":
-        rest_new = rest_small
-    else:
-        rest_new = F.when(first_new, rest_small).otherwise(0)
-    per_day = per_day.withColumn("n_new", F.when(first_new, 1).otherwise(0) + rest_new)
-    per_day = per_day.select(
-        "person_id",
-        "s",
-        "prev_day_e",
-        F.coalesce(F.sum("n_new").over(earlier), F.lit(0)).alias("offset"),
+    copies = F.when(F.col("early").isNull(), 1).otherwise(F.least("copies", F.lit(3))).cast("int")
+    # From here on everything lies with its person; a row a start day and early end is left.
+    return (
+        counted.repartition("person_id")
+        .groupBy("person_id", "s")
+        .agg(F.sort_array(F.flatten(F.collect_list(F.array_repeat("e", copies)))).alias("ends"), F.max("e").alias("last"))
     )
 
-    in_day = Window.partitionBy("person_id", "s").orderBy("e")
-    prev_in_day = F.lag("e").over(in_day)
-    if rule == "pairwise":
-        prev_end = F.coalesce(prev_in_day, F.col("prev_day_e"))
-    else:
-        prev_end = F.greatest(prev_in_day, F.col("prev_day_e"))
-    opens = F.when(prev_end.isNull() | (F.date_diff(F.col("s"), prev_end) >= gap), 1).otherwise(0)
-    per_day = per_day.withColumnsRenamed({"person_id": "_person", "s": "_day"})
-    same = F.col("person_id").eqNullSafe(F.col("_person")) & (F.col("s") == F.col("_day"))
-    tagged = spells.join(per_day, same).withColumn("opens", opens)
-    tagged = tagged.withColumn(
-        "island",
-        F.col("offset") + F.sum("opens").over(in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+
+def _islands(days: DataFrame, gap: int, rule: str) -> DataFrame:
+    """(person_id, s, e) islands from the summaries of a person's start days, composed in order."""
+    ordered = Window.partitionBy("person_id").orderBy("s")
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    before = F.lag("last").over(ordered) if rule == "pairwise" else F.max("last").over(earlier)
+
+    def opens(end, i):
+        own = F.get("ends", i - 1)
+        previous = F.coalesce(own, F.col("before")) if rule == "pairwise" else F.greatest(own, "before")
+        return previous.isNull() | F.coalesce(F.date_diff(F.col("s"), previous) >= gap, F.lit(False))
+
+    days = days.withColumn("before", before).withColumn("opens", F.transform("ends", opens))
+    opened = F.size(F.filter("opens", lambda x: x))
+    days = days.withColumn("offset", F.coalesce(F.sum(opened).over(earlier), F.lit(0)))
+    spells = days.select("person_id", "s", "opens", "offset", F.posexplode("ends").alias("i", "e"))
+    number = F.col("offset") + F.size(F.filter(F.slice("opens", 1, F.col("i") + 1), lambda x: x))
+    return (
+        spells.groupBy("person_id", number.alias("island")).agg(F.min("s").alias("s"), _island_end(rule).alias("e")).drop("island")
     )
-    return tagged.groupBy("person_id", "island").agg(F.min("s").alias("s"), _island_end(rule).alias("e")).drop("island")

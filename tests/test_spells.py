@@ -16,12 +16,8 @@ WIDE = StudyWindow(start=d("1900-01-01"), end=d("9998-12-31"), events_from=d("19
 def islands(spark, spells, window=WIDE, rule="pairwise"):
     rows = [(1, d(a), d(b)) for a, b in spells]
     df = spark.createDataFrame(rows, "person_id long, active_from date, active_to date")
-    results = []
-    for threshold in (None, 10_000):  # per-start-day path and one-window path
-        out = merge_spells(df, window, rule=rule, hot_threshold=threshold).orderBy("rw_seq").collect()
-        results.append([(r.entry_dt.isoformat(), r.exit_dt.isoformat(), r.rw_seq) for r in out])
-    assert results[0] == results[1]
-    return results[0]
+    out = merge_spells(df, window, rule=rule).orderBy("rw_seq").collect()
+    return [(r.entry_dt.isoformat(), r.exit_dt.isoformat(), r.rw_seq) for r in out]
 
 
 def test_gap_of_one_day_merges_two_days_split(spark):
@@ -82,7 +78,7 @@ def test_running_max_islands_are_apart_and_cover_same_days(spark):
             s = dt.date(2000, 1, 1) + dt.timedelta(days=rng.randint(0, 300))
             rows.append((p, s, s + dt.timedelta(days=rng.randint(0, 40))))
     df = spark.createDataFrame(rows, "person_id long, active_from date, active_to date")
-    got = merge_spells(df, WIDE, rule="running_max", hot_threshold=5).collect()
+    got = merge_spells(df, WIDE, rule="running_max").collect()
     by_person = {}
     for r in got:
         by_person.setdefault(r.person_id, []).append((r.entry_dt, r.exit_dt))
@@ -122,13 +118,43 @@ def test_pairwise_matches_brute_force_with_duplicates_and_malformed_spells(spark
             if rng.random() < 0.2:
                 rows.append((p, s, e))
     df = spark.createDataFrame(rows, "person_id long, active_from date, active_to date")
-    for threshold in (None, 4, 10_000):  # all per day, mixed, all one-window
-        got = {}
-        for r in merge_spells(df, WIDE, rule="pairwise", hot_threshold=threshold).collect():
-            got.setdefault(r.person_id, []).append((r.rw_seq, r.entry_dt, r.exit_dt))
-        for p in range(60):
-            expect = _brute_pairwise([(s, e) for q, s, e in rows if q == p])
-            assert sorted(got[p]) == [(i + 1, s, e) for i, (s, e) in enumerate(expect)]
+    got = {}
+    for r in merge_spells(df, WIDE, rule="pairwise").collect():
+        got.setdefault(r.person_id, []).append((r.rw_seq, r.entry_dt, r.exit_dt))
+    for p in range(60):
+        expect = _brute_pairwise([(s, e) for q, s, e in rows if q == p])
+        assert sorted(got[p]) == [(i + 1, s, e) for i, (s, e) in enumerate(expect)]
+
+
+def test_running_max_matches_brute_force_with_copies_and_malformed_spells(spark):
+    rng = random.Random(12)
+    rows = []
+    for p in range(60):
+        for _ in range(rng.randint(1, 8)):
+            s = dt.date(2000, 1, 1) + dt.timedelta(days=rng.randint(0, 30))
+            rows += [(p, s, s + dt.timedelta(days=rng.randint(-6, 12)))] * rng.randint(1, 4)
+    df = spark.createDataFrame(rows, "person_id long, active_from date, active_to date").repartition(5)
+    got = {}
+    for r in merge_spells(df, WIDE, rule="running_max").collect():
+        got.setdefault(r.person_id, set()).add((r.entry_dt, r.exit_dt))
+    for p in range(60):
+        found, reach = [], None
+        for s, e in sorted((s, e) for q, s, e in rows if q == p):
+            if reach is None or (s - reach).days >= 2:
+                found.append([s, e])
+            else:
+                found[-1][1] = max(found[-1][1], e)
+            reach = e if reach is None else max(reach, e)
+        assert got[p] == set(map(tuple, found))
+
+
+def test_islands_read_their_input_once(spark, tmp_path):
+    """One scan, no join, and the same plan for a person with most rows as for any other."""
+    path = str(tmp_path / "spells")
+    spark.range(100).selectExpr("id % 3 as person_id", "date_add(date'2000-01-01', int(id * 7)) as active_from",
+                                "date_add(date'2000-01-01', int(id * 7 + 5)) as active_to").write.parquet(path)
+    plan = merge_spells(spark.read.parquet(path), WIDE)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
 
 
 def test_hot_person_many_spells_matches_brute_force(spark):
@@ -141,11 +167,10 @@ def test_hot_person_many_spells_matches_brute_force(spark):
         rows.append((1, s, s + dt.timedelta(days=rng.randint(0, 3))))
     rows += [(2, dt.date(2000, 1, 1), dt.date(2000, 2, 1))]
     df = spark.createDataFrame(rows, "person_id long, active_from date, active_to date").repartition(7)
-    # person 1 exceeds the threshold and takes the per-start-day path
     got = sorted((r.rw_seq, r.entry_dt, r.exit_dt) for r in
-                 merge_spells(df, WIDE, hot_threshold=1000).where("person_id = 1").collect())
+                 merge_spells(df, WIDE).where("person_id = 1").collect())
     expect = _brute_pairwise([(s, e) for p, s, e in rows if p == 1])
     assert got == [(i + 1, s, e) for i, (s, e) in enumerate(expect)]
     got_rm = sorted((r.entry_dt, r.exit_dt) for r in
-                    merge_spells(df, WIDE, rule="running_max", hot_threshold=1000).where("person_id = 1").collect())
+                    merge_spells(df, WIDE, rule="running_max").where("person_id = 1").collect())
     assert got_rm == _brute_running_max([(s, e) for p, s, e in rows if p == 1])
