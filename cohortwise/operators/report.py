@@ -10,7 +10,7 @@ of distinct ages rather than by the number of people.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cohortwise.functions.dates import full_years
 from cohortwise.functions.rounding import round_to
 from cohortwise.functions.study import StudyWindow
-from cohortwise.operators.ranking import row_number_within
+from cohortwise.operators.ranking import HOT_ROWS, row_number_within
 
 # Report layout.
 BANDS = [f"{lo}_{lo + 9}" for lo in range(0, 100, 10)]
@@ -47,56 +47,62 @@ def age_at_event(outcomes: DataFrame, cohort: DataFrame, date_col: str) -> DataF
     )
 
 
+def quintiles_on(days: DataFrame, history: DataFrame, day: str) -> DataFrame:
+    """The deprivation quintiles of the residence spells that contain a person's days.
+
+    ``days(person_id, <day>)`` -> (person_id, <day>, area_quintile), one row per
+    distinct quintile; days outside every spell have none. Spells whose start
+    lies after their end contain no day.
+
+    A sweep: the spells of a (person, quintile) that start on one day are
+    reduced to their furthest end, combined before the shuffle, and lie in one
+    order with the person's distinct days. The furthest end of all spells
+    that have started then tells whether the quintile still holds. A person has
+    at most a row per calendar day and quintile for its spells and its events,
+    however many there are of them.
+    """
+    starts = (
+        history.where("active_from <= active_to")
+        .groupBy("person_id", F.col("dep1_quintile").alias("area_quintile"), F.col("active_from").alias("_day"))
+        .agg(F.max("active_to").alias("_to"))
+    )
+    lived_in = starts.groupBy("person_id", "area_quintile").agg(F.min("_day").alias("_first"), F.max("_to").alias("_last"))
+    asked = days.select("person_id", F.col(day).alias("_day")).distinct()
+    asked = asked.join(lived_in, "person_id").where("_day BETWEEN _first AND _last")
+    line = starts.unionByName(asked.select("person_id", "area_quintile", "_day", F.lit(None).cast("date").alias("_to")))
+    so_far = Window.partitionBy("person_id", "area_quintile").orderBy("_day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = line.withColumn("_reach", F.max("_to").over(so_far)).where("_to IS NULL AND _reach >= _day")
+    return swept.select("person_id", F.col("_day").alias(day), "area_quintile")
+
+
 def enrich_events(
     aged: DataFrame,
     outcomes: DataFrame,
     history: DataFrame,
     date_col: str,
-    code_col: str,
     order: Sequence[str],
     cohort: DataFrame | None = None,
+    write: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add the deprivation quintile of the residence spell containing the
     event date (null when none; one row per distinct quintile when several
     spells match) and number each person's events by date.
 
-    The interval match runs on distinct (concept, person, date, code) keys.
-    It is an equi join on (person, year) followed by the exact range test:
-    each spell is listed once per calendar year that it covers between the
-    person's first and last event, so an event only meets the spells of its
-    own year, and an open end costs no rows. With
-    ``cohort`` the rows are restricted to (and repeated per row of) the
+    The interval match is a sweep over each person's days (``quintiles_on``).
+    With ``cohort`` the rows are restricted to (and repeated per row of) the
     cohort, as in a plain inner join. Events are numbered per (concept,
-    person) by ``order`` with a two-level row number (see
+    person) by ``order``. ``write`` keeps the rows as a table before they are
+    numbered; groups with a large share of them can then be told apart by a
+    count of that table, and all others take one window (see
     ``row_number_within``).
     """
-    keys = ["concept", "person_id", date_col, code_col]
-    day = F.col(date_col)
-    seen = outcomes.groupBy("person_id").agg(F.min(day).alias("_first"), F.max(day).alias("_last"))
-    spells = (
-        history.join(seen, "person_id")
-        .where("active_from <= active_to AND active_from <= _last AND active_to >= _first")
-        .select(
-            "person_id", F.col("active_from").alias("_from"), F.col("active_to").alias("_to"),
-            F.col("dep1_quintile").alias("area_quintile"),
-            F.explode(
-                F.sequence(F.year(F.greatest("active_from", "_first")), F.year(F.least("active_to", "_last")))
-            ).alias("_year"),
-        )
-    )
-    ev = outcomes.select(*keys).distinct().withColumn("_year", F.year(day))
-    quint = (
-        ev.join(spells, ["person_id", "_year"])
-        .where(day.between(F.col("_from"), F.col("_to")))
-        .select(*keys, "area_quintile")
-        .distinct()
-    )
-    q = quint.select(*[F.col(k).alias(f"_q{i}") for i, k in enumerate(keys)], "area_quintile")
-    cond = [F.col(k).eqNullSafe(F.col(f"_q{i}")) for i, k in enumerate(keys)]
-    tot = aged.join(q, cond, "left").select(*aged.columns, "area_quintile").distinct()
+    quintiles = quintiles_on(outcomes, history, date_col)
+    tot = aged.join(quintiles, ["person_id", date_col], "left").select(*aged.columns, "area_quintile").distinct()
     if cohort is not None:
         tot = tot.join(cohort.select("person_id"), "person_id")
-    return row_number_within(tot, ["concept", "person_id"], order, "num_event")
+    if write is None:
+        return row_number_within(tot, ["concept", "person_id"], order, "num_event")
+    return row_number_within(write(tot), ["concept", "person_id"], order, "num_event", hot_threshold=HOT_ROWS)
 
 
 def first_events(enriched: DataFrame, order: Sequence[str]) -> DataFrame:

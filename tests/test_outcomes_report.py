@@ -1,6 +1,7 @@
 """Outcome matching, ranking and report statistics."""
 
 import random
+import datetime as dt
 from collections import Counter
 
 from conftest import d
@@ -108,7 +109,50 @@ def test_event_on_shared_spell_boundary_gets_both_quintiles(spark):
         [(1, d("2000-01-01"), d("2000-03-01"), 1), (1, d("2000-03-01"), d("9999-01-01"), 4)],
         "person_id long, active_from date, active_to date, dep1_quintile int",
     )
-    out = R.enrich_events(aged, outcomes, history, "event_dt", "event_cd", ["event_dt", "event_cd", "area_quintile"])
+    out = R.enrich_events(aged, outcomes, history, "event_dt", ["event_dt", "event_cd", "area_quintile"])
     got = sorted((r.event_dt.isoformat(), r.area_quintile if r.area_quintile is not None else -1, r.num_event)
                  for r in out.collect())
     assert got == [("1999-01-01", -1, 1), ("2000-03-01", 1, 2), ("2000-03-01", 4, 3)]
+
+
+def _residences(rng, people=12):
+    rows = []
+    for p in range(people):
+        for _ in range(rng.randint(0, 9)):
+            start = dt.date(2000, 1, 1) + dt.timedelta(days=rng.randint(0, 200))
+            end = start + dt.timedelta(days=rng.randint(-3, 90))
+            rows.append((p, start, dt.date(9999, 1, 1) if rng.random() < 0.1 else end, rng.choice([1, 2, 3, None])))
+    return rows + rows[:10] + [(None, dt.date(2000, 1, 1), dt.date(2001, 1, 1), 1)]
+
+
+def test_quintiles_on_a_day_match_every_containing_spell(spark):
+    """Nested, equal, empty and open spells, edges, null persons, days and quintiles; repeated rows."""
+    rng = random.Random(31)
+    spells = _residences(rng)
+    days = [(rng.choice([*range(14), None]), dt.date(2000, 1, 1) + dt.timedelta(days=rng.randint(-20, 320))) for _ in range(400)]
+    days += [(p, edge) for p, a, b, _ in spells[:30] for edge in (a, b)] + [(1, None)]
+    history = spark.createDataFrame(spells, "person_id long, active_from date, active_to date, dep1_quintile int").repartition(3)
+    found = R.quintiles_on(spark.createDataFrame(days, "person_id long, event_dt date"), history, "event_dt")
+    want = {(p, x, q) for p, x in days if x and p is not None for o, a, b, q in spells if o == p and a <= x <= b}
+    got = [(r.person_id, r.event_dt, r.area_quintile) for r in found.collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
+def test_the_interval_match_lists_no_days(spark):
+    history = spark.createDataFrame([], "person_id long, active_from date, active_to date, dep1_quintile int")
+    days = spark.createDataFrame([], "person_id long, event_dt date")
+    plan = R.quintiles_on(days, history, "event_dt")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_one_person_with_most_spells_and_events(spark):
+    """A person's rows in the sweep follow the calendar, not its spells and events."""
+    spells = spark.range(20_000).selectExpr(
+        "1L as person_id", "date_add(date'2000-01-01', int(id % 50)) as active_from",
+        "date_add(date'2000-01-01', int(id % 50 + id % 7)) as active_to", "int(id % 2) as dep1_quintile",
+    )
+    days = spark.range(20_000).selectExpr("1L as person_id", "date_add(date'2000-01-01', int(id % 70)) as event_dt")
+    got = {(r.event_dt, r.area_quintile) for r in R.quintiles_on(days, spells, "event_dt").collect()}
+    lived = {(i % 50, i % 50 + i % 7, i % 2) for i in range(20_000)}
+    base = dt.date(2000, 1, 1)
+    assert got == {(base + dt.timedelta(days=x), q) for x in range(70) for a, b, q in lived if a <= x <= b}
