@@ -17,13 +17,14 @@ be split by AQE when one person holds a large share of the rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from cohortwise.functions.dates import OPEN_END, days_between, open_end
 from cohortwise.functions.study import StudyWindow
+from cohortwise.operators.counts import persons_by_tag
 from cohortwise.operators.ranking import row_number_within
 from cohortwise.plans.sizing import small_side
 
@@ -282,6 +283,43 @@ def cohort_table(
     ).distinct()
 
 
+#: What can give a person several cohort rows, by the columns that then differ.
+UNIQUENESS_CAUSES = {
+    "demographics": ("birth_dt", "death_dt", "sex_cd"),
+    "ethnicity": ("ethn_ner_code", "ethn_ner_desc"),
+    "start": ("flag_start", "later_dt", "entry_dt", "exit_dt"),
+    "exit_reason": ("exit_reason",),
+    "baseline": ("area_at_start", "practice_at_start"),
+}
+
+
+def observed_uniqueness(
+    df: DataFrame, causes: Mapping[str, Sequence[str]], person: str = "person_id"
+) -> tuple[DataFrame, Observation]:
+    """``df``, and an observation that the next write or action on it fills.
+
+    The observation counts ``rows``, ``persons`` (a null person is none),
+    ``several`` (persons with more than one row) and, by cause,
+    ``several_<cause>``: persons whose rows differ in one of its columns. The
+    counts come from the rows as they pass by, so the check costs no second
+    read; a person may have several causes, or none if its rows differ
+    elsewhere. A person's rows meet in one window: they are few by nature (the
+    combinations of its attributes), and no more than a window by person
+    already holds for its numbering.
+    """
+    w = Window.partitionBy(person)
+    one = F.row_number().over(w.orderBy(person)) == 1
+    marks = {"_several": F.count(F.lit(1)).over(w) > 1}
+    for name, columns in causes.items():
+        values = F.struct(*columns)
+        marks[f"_{name}"] = ~F.min(values).over(w).eqNullSafe(F.max(values).over(w))
+    marked = df.withColumn("_one", one & F.col(person).isNotNull()).withColumns(marks)
+    seen = Observation("uniqueness")
+    counts = [F.count(F.lit(1)).alias("rows"), F.count_if("_one").alias("persons"), F.count_if(F.col("_one") & F.col("_several")).alias("several")]
+    counts += [F.count_if(F.col("_one") & F.col(f"_{name}")).alias(f"several_{name}") for name in causes]
+    return marked.observe(seen, *counts).select(*df.columns), seen
+
+
 def residence_history(spells: DataFrame, cohort: DataFrame, areas_wide: DataFrame, window: StudyWindow) -> DataFrame:
     """Every in-window spell of cohort members with the full area profile.
     A spell that ends after the person's cohort exit is dropped (not clipped).
@@ -348,14 +386,5 @@ def cohort_evolution(history: DataFrame, cohort: DataFrame, areas: DataFrame, wi
 
 
 def consort_flow(steps: Sequence[tuple[str, DataFrame]], person: str = "person_id") -> DataFrame:
-    """Distinct persons at each selection step -> (step_no, step, n)."""
-    parts = [
-        df.agg(F.count_distinct(person).alias("n")).select(
-            F.lit(i + 1).alias("step_no"), F.lit(name).alias("step"), "n"
-        )
-        for i, (name, df) in enumerate(steps)
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Distinct persons at each selection step -> (step_no, step, n); null persons do not count."""
+    return persons_by_tag(dict(steps), "step", person, number="step_no")

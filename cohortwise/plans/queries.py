@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortwise.operators import codelists as K
 from cohortwise.operators import extract as E
@@ -18,6 +19,7 @@ from cohortwise.operators import report as R
 from cohortwise.plans.sizing import shared_dir
 from cohortwise.plans.study import SENSITIVE_CONCEPTS, Study
 from cohortwise.sources.codelists import read_codelists, write_codelists
+from cohortwise.sources.versions import LookupStore
 
 SINGLE_CONCEPT = "PROMO"
 
@@ -185,6 +187,40 @@ def q_latest_version(spark, sf_dir):
     return K.latest_version(_study(spark, sf_dir).fx.codelist_versions)
 
 
+def q_published_lookup(spark, sf_dir):
+    """The unversioned view after three versions were published."""
+    versions = _study(spark, sf_dir).fx.codelist_versions
+    store = LookupStore(spark, shared_dir(spark, "lookups"))
+    for version in ("2_2_3", "2_2_9", "2_2_10"):
+        store.publish(versions.where(F.col("version") == version).select("concept", "code", "concept_type"), version)
+    return store.current()
+
+
+def q_updated_lookup(spark, sf_dir):
+    """The published read lookup after a rebuild of the concepts that the diff names."""
+    s = _study(spark, sf_dir)
+    store = LookupStore(spark, shared_dir(spark, "lookups"))
+    s.publish_read_lookup(store)
+    s.republish_changed(store)
+    return store.current()
+
+
+def q_load_extract(spark, sf_dir):
+    """The GP extract loaded in five date ranges, one of them twice."""
+    s = _study(spark, sf_dir)
+    path = shared_dir(spark, "gp-load")
+    fifth = (s.w.end_plus_one - s.w.events_from) // 5
+    edges = [s.w.events_from + i * fifth for i in range(5)] + [s.w.end_plus_one]
+    ranges = list(zip(edges, edges[1:], strict=False))
+    for lo, hi in [*ranges, ranges[2]]:
+        E.load_range(s.gp_extract, path, "event_dt", lo, hi)
+    return E.read_loaded(spark, path)
+
+
+def q_cohort_uniqueness(spark, sf_dir):
+    return _study(spark, sf_dir).cohort_uniqueness()
+
+
 def q_medication_lookup(spark, sf_dir):
     return _study(spark, sf_dir).medication_lookup
 

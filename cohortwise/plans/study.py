@@ -24,11 +24,13 @@ from cohortwise.operators import linkage as L
 from cohortwise.operators import outcomes as O
 from cohortwise.operators import report as R
 from cohortwise.operators.spells import merge_spells
-from cohortwise.plans.sizing import shared_dir
+from cohortwise.plans.sizing import shared_dir, small_side
 from cohortwise.sources.fixtures import Fixtures
 from cohortwise.sources.tables import ParquetTables
+from cohortwise.sources.versions import LookupStore
 
 SENSITIVE_CONCEPTS = ("ECONOMY",)
+PUBLISHED_VERSION, NEW_VERSION = "2_2_9", "2_2_10"  # of the codelists
 OUTPATIENT_KEYS = ("provider_cd", "case_id", "attend_dt", "att_id")
 LINKAGE_GROUPS = {
     "flag_hospital": ["flag_hosp_adm", "flag_hosp_diag", "flag_hosp_oper"],
@@ -105,7 +107,7 @@ class Study:
 
     @cached_property
     def windowed(self) -> DataFrame:
-        return C.study_window_filter(self.reconciled, self.fx.ethnicity, self.w)
+        return self._cut(C.study_window_filter(self.reconciled, self.fx.ethnicity, self.w), "windowed")
 
     @cached_property
     def eligible(self) -> DataFrame:
@@ -137,7 +139,18 @@ class Study:
 
     @cached_property
     def cohort(self) -> DataFrame:
-        return self._cut(C.cohort_table(self.flagged, self.islands, self.reasons, self.baseline, self.w), "cohort")
+        rows, self._uniqueness = C.observed_uniqueness(
+            C.cohort_table(self.flagged, self.islands, self.reasons, self.baseline, self.w), C.UNIQUENESS_CAUSES
+        )
+        return self._cut(rows, "cohort")
+
+    def cohort_uniqueness(self) -> DataFrame:
+        """Rows and persons of the cohort, and persons with several rows by cause, as counted while it was written."""
+        cohort = self.cohort
+        if not self._checkpoint:  # nothing was written: a pass over the lazy rows does the counting
+            cohort.write.format("noop").mode("overwrite").save()
+        found = self._uniqueness.get
+        return self.spark.createDataFrame([(k, v or 0) for k, v in found.items()], "measure string, n long")
 
     @cached_property
     def history(self) -> DataFrame:
@@ -196,10 +209,11 @@ class Study:
     # ---- extracts -----------------------------------------------------------
     @cached_property
     def gp_extract(self) -> DataFrame:
-        return E.extract_by_person(
+        rows = E.extract_by_person(
             self.fx.gp_event, self.cohort, ["sex_cd", "birth_dt", "death_dt"], "event_dt",
             self.w.events_from, self.w.end, closed=True, where="practice_id IS NOT NULL",
         )
+        return self._cut(rows, "gp_extract")
 
     @cached_property
     def spell_extract(self) -> DataFrame:
@@ -210,43 +224,51 @@ class Study:
 
     @cached_property
     def admissions_extract(self) -> DataFrame:
-        return E.extract_by_person(
+        rows = E.extract_by_person(
             self.fx.admissions, self.cohort, ["birth_dt"], "end_date", self.w.events_from, self.w.end, closed=False
         )
+        return self._cut(rows, "admissions_extract")
 
     @cached_property
     def outpatient_extract(self) -> DataFrame:
-        return E.extract_by_person(self.fx.outpatient, self.cohort, [], "ref_dt", self.w.events_from, self.w.end)
+        rows = E.extract_by_person(self.fx.outpatient, self.cohort, [], "ref_dt", self.w.events_from, self.w.end)
+        return self._cut(rows, "outpatient_extract")
 
     @cached_property
     def episode_extract(self) -> DataFrame:
-        return E.extract_by_spell(self.fx.hospital_episode, self.spell_extract, "epi_str_dt", self.w.events_from, self.w.end)
+        rows = E.extract_by_spell(self.fx.hospital_episode, self.spell_extract, "epi_str_dt", self.w.events_from, self.w.end)
+        return self._cut(rows, "episode_extract")
 
     @cached_property
     def diag_extract(self) -> DataFrame:
-        return E.extract_by_spell(self.fx.hospital_diag, self.spell_extract)
+        rows = E.extract_by_spell(self.fx.hospital_diag, self.spell_extract)
+        return self._cut(rows, "diag_extract")
 
     @cached_property
     def oper_extract(self) -> DataFrame:
-        return E.extract_by_spell(self.fx.hospital_oper, self.spell_extract, "oper_dt", self.w.events_from, self.w.end)
+        rows = E.extract_by_spell(self.fx.hospital_oper, self.spell_extract, "oper_dt", self.w.events_from, self.w.end)
+        return self._cut(rows, "oper_extract")
 
     @cached_property
     def emergency_extract(self) -> DataFrame:
-        return E.extract_semi(self.fx.emergency, self.cohort)
+        rows = E.extract_semi(self.fx.emergency, self.cohort)
+        return self._cut(rows, "emergency_extract")
 
     @cached_property
     def outpatient_diag_extract(self) -> DataFrame:
-        return E.extract_via_parent(
+        rows = E.extract_via_parent(
             self.fx.outpatient_diag, self.fx.outpatient, OUTPATIENT_KEYS, self.cohort, "attend_dt",
             self.w.events_from, self.w.end,
         )
+        return self._cut(rows, "outpatient_diag_extract")
 
     @cached_property
     def outpatient_oper_extract(self) -> DataFrame:
-        return E.extract_via_parent(
+        rows = E.extract_via_parent(
             self.fx.outpatient_oper, self.fx.outpatient, OUTPATIENT_KEYS, self.cohort, "attend_dt",
             self.w.events_from, self.w.end,
         )
+        return self._cut(rows, "outpatient_oper_extract")
 
     def extracts(self) -> dict[str, DataFrame]:
         return {
@@ -297,8 +319,8 @@ class Study:
 
     def _codelist_sides(self) -> tuple[DataFrame, DataFrame]:
         v = self.fx.codelist_versions
-        new = v.where(F.col("version") == "2_2_10")
-        return new, K.latest_version(v.where(F.col("version") != "2_2_10"))
+        new = v.where(F.col("version") == NEW_VERSION)
+        return new, K.latest_version(v.where(F.col("version") != NEW_VERSION))
 
     def codelist_changes(self) -> DataFrame:
         return K.codelist_diff(*self._codelist_sides())
@@ -309,6 +331,21 @@ class Study:
         codes = K.flag_sensitive(K.codelist_build(*self._codelist_sides()), self.fx.sensitive_codes, SENSITIVE_CONCEPTS)
         return K.read_lookup(codes, self.fx.read_dict)
 
+    def publish_read_lookup(self, store: LookupStore) -> None:
+        """Publish the read lookup of the codelists published before the new version."""
+        _, published = self._codelist_sides()
+        codes = K.flag_sensitive(published.drop("version"), self.fx.sensitive_codes, SENSITIVE_CONCEPTS)
+        store.publish(K.read_lookup(codes, self.fx.read_dict), PUBLISHED_VERSION)
+
+    def republish_changed(self, store: LookupStore) -> None:
+        """Build and publish the concepts that the diff calls new or updated, and no other."""
+        new, _ = self._codelist_sides()
+        changed = self.codelist_changes().where("status IN ('new', 'updated')").select("concept")
+        changed = self._cut(changed, "changed_concepts")  # a row a concept
+        rows = new.drop("version").join(small_side(changed), "concept", "left_semi")
+        codes = K.flag_sensitive(rows, self.fx.sensitive_codes, SENSITIVE_CONCEPTS)
+        store.publish(K.read_lookup(codes, self.fx.read_dict), NEW_VERSION, [r.concept for r in changed.collect()])
+
     # ---- outcomes -----------------------------------------------------------
     @cached_property
     def cohort_persons(self) -> DataFrame:
@@ -375,13 +412,17 @@ class Study:
     @cached_property
     def gp_enriched(self) -> DataFrame:
         return self._cut(
-            R.enrich_events(self.gp_aged, self.gp_outcomes, self.history, "event_dt", "event_cd", R.GP_ORDER, self.cohort),
+            R.enrich_events(
+                self.gp_aged, self.gp_outcomes, self.history, "event_dt", R.GP_ORDER, self.cohort, lambda df: self._cut(df, "gp_placed")
+            ),
             "gp_enriched",
         )
 
     @cached_property
     def hosp_enriched(self) -> DataFrame:
         return self._cut(
-            R.enrich_events(self.hosp_aged, self.hosp_outcomes, self.history, "admis_dt", "diag_cd", R.HOSP_ORDER),
+            R.enrich_events(
+                self.hosp_aged, self.hosp_outcomes, self.history, "admis_dt", R.HOSP_ORDER, write=lambda df: self._cut(df, "hosp_placed")
+            ),
             "hosp_enriched",
         )

@@ -79,25 +79,3 @@ def read_code_list(spark: SparkSession, path: str, column: str = "code") -> Data
     files with a header: only ``column`` is kept, as a string, right-trimmed."""
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     return raw.select(F.rtrim(F.col(f"`{column}`")).alias("code")).where(F.col("code").isNotNull())
-
-
-def publish_versioned(df: DataFrame, path: str, version: str) -> None:
-    """Add one version of a lookup to a versioned store (Parquet partitioned
-    by version). Writing a version replaces only that version."""
-    (
-        df.withColumn("version", F.lit(version))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("version")
-        .parquet(path)
-    )
-
-
-def register_latest_view(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Temporary view ``name`` over the latest version of each concept in a
-    versioned store (the unversioned name always shows the newest lookup)."""
-    from cohortwise.operators.codelists import latest_version
-
-    latest = latest_version(spark.read.option("basePath", path).parquet(path).withColumn("version", F.col("version").cast("string")))
-    latest.createOrReplaceTempView(name)
-    return latest

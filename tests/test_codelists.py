@@ -2,11 +2,14 @@
 
 import os
 
+import pytest
 from conftest import d
+from pyspark.sql import functions as F
 
 from cohortwise.operators import codelists as K
 from cohortwise.plans.study import Study
 from cohortwise.sources.codelists import READ_V2_HEADER, read_codelists
+from cohortwise.sources.versions import LookupStore
 
 CODES = "concept string, code string, concept_type string"
 
@@ -105,20 +108,81 @@ def test_read_code_list_keeps_codes_as_text(spark, tmp_path):
     assert sorted(r.code for r in read_code_list(spark, str(tmp_path)).collect()) == ["0012.", "5136.", "7E253"]
 
 
-def test_versioned_store_and_latest_view(spark, tmp_path):
-    from cohortwise.sources.codelists import publish_versioned, register_latest_view
+LOOKUP = "concept string, code string"
+
 
-    store = str(tmp_path / "lookups")
-    v1 = spark.createDataFrame([("A", "a"), ("B", "b")], "concept string, code string")
-    publish_versioned(v1, store, "2_2_9")
-    publish_versioned(spark.createDataFrame([("A", "a2")], "concept string, code string"), store, "2_2_10")
-    register_latest_view(spark, store, "lookup_latest")
+def test_versioned_store_and_latest_view(spark, tmp_path):
+    store = LookupStore(spark, str(tmp_path / "lookups"))
+    with pytest.raises(LookupError):
+        store.current()
+    store.publish(spark.createDataFrame([("A", "a"), ("B", "b"), (None, "n")], LOOKUP), "2_2_9")
+    store.publish(spark.createDataFrame([("A", "a2")], LOOKUP), "2_2_10")
+    store.register_view("lookup_latest")
     rows = sorted((r.concept, r.code, r.version) for r in spark.table("lookup_latest").collect())
     assert rows == [("A", "a2", "2_2_10"), ("B", "b", "2_2_9")]
     # re-publishing a version replaces only that version
-    publish_versioned(spark.createDataFrame([("A", "a3")], "concept string, code string"), store, "2_2_10")
-    back = spark.read.parquet(store)
-    assert sorted((str(r.version), r.code) for r in back.collect()) == [("2_2_10", "a3"), ("2_2_9", "a"), ("2_2_9", "b")]
+    store.publish(spark.createDataFrame([("A", "a3")], LOOKUP), "2_2_10")
+    assert store.versions() == ["2_2_9", "2_2_10"]
+    assert [r.code for r in store.version("2_2_10").collect()] == ["a3"]
+    assert sorted(r.code for r in store.version("2_2_9").collect()) == ["a", "b"]
+    # an older version is kept, but the view goes on showing the newer rows
+    store.publish(spark.createDataFrame([("A", "a0"), ("C 1/x", "c")], LOOKUP), "2_2_3")
+    rows = sorted((r.concept, r.code, r.version) for r in store.current().collect())
+    assert rows == [("A", "a3", "2_2_10"), ("B", "b", "2_2_9"), ("C 1/x", "c", "2_2_3")]
+    with pytest.raises(ValueError):
+        store.publish(spark.createDataFrame([("A", 1)], "concept string, code int"), "2_2_11")
+
+
+def test_a_publish_that_broke_off_leaves_the_old_view(spark, tmp_path, monkeypatch):
+    store = LookupStore(spark, str(tmp_path / "lookups"))
+    store.publish(spark.createDataFrame([("A", "old")], LOOKUP), "1_0_0")
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr("cohortwise.sources.versions.smallfiles.put", broken)
+        with pytest.raises(OSError):
+            store.publish(spark.createDataFrame([("A", "new")], LOOKUP), "1_0_1")
+    assert len(list((tmp_path / "lookups" / "data").iterdir())) == 2  # written, but no manifest names it
+    assert [r.code for r in store.current().collect()] == ["old"] and store.versions() == ["1_0_0"]
+    store.publish(spark.createDataFrame([("A", "new")], LOOKUP), "1_0_1")
+    assert [r.code for r in store.current().collect()] == ["new"]
+
+
+def test_two_publishes_at_once_cannot_both_win(spark, tmp_path):
+    from cohortwise.sources import smallfiles
+
+    path = str(tmp_path / "p" / "1")
+    smallfiles.put(spark, path, "one é")
+    with pytest.raises(FileExistsError):
+        smallfiles.put(spark, path, "two")
+    assert smallfiles.get(spark, path) == "one é" and smallfiles.names(spark, str(tmp_path / "p")) == ["1"]
+
+
+def test_a_rebuild_rewrites_the_changed_concepts_alone(spark, tmp_path):
+    """The files of concepts that the diff does not call new or updated keep their names."""
+    study = Study(spark, "/root/testdata/sf0.001")
+    store = LookupStore(spark, str(tmp_path / "lookups"))
+    study.publish_read_lookup(store)
+
+    def files():
+        return {r.file for r in store.current().select(F.input_file_name().alias("file")).distinct().collect()}
+
+    before = files()
+    status = {r.concept: r.status for r in study.codelist_changes().collect()}
+    changed = {c for c, s in status.items() if s in ("new", "updated")}
+    study.republish_changed(store)
+    after = files()
+
+    def concepts(files):
+        return {f.split("concept=")[1].split("/")[0] for f in files}
+
+    assert concepts(after - before) == changed and concepts(before & after) == set(status) - changed
+    assert {v: store.version(v).select("concept").distinct().count() for v in store.versions()}["2_2_10"] == len(changed)
+    want = study.updated_read_lookup()
+    got = store.current().drop("version").select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
 def test_icd10_layout_reads_five_columns(spark, tmp_path):
