@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -56,6 +60,15 @@ class Scratch:
         self._paths.append(path)
         return _written(df, path)
 
+    def release(self) -> None:
+        """Let the cluster drop the shuffle files of finished queries now.
+
+        Spark's cleaner drops them once the driver has collected the plans
+        that own them, which may be long after the last use.
+        """
+        gc.collect()
+        self._spark._jvm.java.lang.System.gc()
+
 
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a stage's folder from whatever store holds it."""
@@ -68,6 +81,14 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
@@ -96,7 +117,38 @@ def ship(spark: SparkSession) -> None:
     context._cohortwise_shipped = True
 
 
+#: Bytes of rows that go to a task's Python at a time, about (one row at least).
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _tidy() -> None:
+    """Give what this worker's allocators hold free back to the machine."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def _tidied(task):
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:  # workers serve many tasks of many stages
+            _tidy()
+
+    return run
+
+
 def map_arrow(df: DataFrame, task, schema: str | StructType) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand in the tasks."""
-    ship(df.sparkSession)
-    return df.mapInArrow(task, schema)
+    """``df.mapInArrow`` with this package at hand in the tasks.
+
+    Batches are bounded by bytes (the session's bound is lowered to
+    ``BATCH_BYTES``), since texts may be long, and a worker keeps no memory
+    from one task to the next.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    bound = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH_SETTING))
+    if bound > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
+    return df.mapInArrow(_tidied(task), schema)
