@@ -1,6 +1,6 @@
 """Substring deduplication on a compacted de Bruijn graph of word windows.
 
-An edge of the graph is a window of ``WINDOW`` words, by its 64-bit hash, that
+An edge of the graph is a window of ``WINDOW`` words, found by its 64-bit hash, that
 starts in at least two documents; its source is its first place (smallest
 document, then position). Two edges that follow each other belong to one path when neither
 branches: every occurrence of the first is followed by the second, and every
@@ -11,6 +11,10 @@ edge and length, and found again in a document by its first edge alone.
 Only windows that can repeat become edges. The smallest hash among the
 ``ANCHOR``-word grams inside a window is its anchor; equal windows have equal
 anchors, so a window whose anchor lies in one document only is left out.
+
+Hashes only find the spans. The words that stand at a span's place and those
+at its source are then read again and compared by a 128-bit digest of the
+words themselves: only places that agree in it count as one passage.
 """
 
 from __future__ import annotations
@@ -310,10 +314,56 @@ def repeated_paths(
     )
 
 
+_SPAN = "doc_id long, part int, pos int, length int, src_doc long, src_part int, src_pos int"
+
+
+def _words_at(batches, window: int) -> Iterator[pa.RecordBatch]:
+    """The places of each text's spans, with a digest of the words that stand there."""
+    names = [field.split()[0] for field in _SPAN.split(", ")][2:]
+    for batch in batches:
+        places = batch.column("places")
+        bounds = places.offsets.to_numpy()
+        fields = dict(zip(names, (x.to_numpy(zero_copy_only=False) for x in places.values.flatten()), strict=True))
+        for chunk in W.chunks(batch.column("text")):
+            rows, digests = [], []
+            for i in range(chunk.n):
+                row = chunk.row + i
+                text, base, of = memoryview(chunk.data)[chunk.offsets[i] : chunk.offsets[i + 1]], chunk.offsets[i], chunk.first[i]
+                for at in range(bounds[row], bounds[row + 1]):
+                    begin = of + fields["pos"][at]
+                    end = begin + fields["length"][at] + window - 1
+                    span = text[chunk.starts[begin] - base : chunk.ends[end - 1] - base].tobytes()
+                    digests.append(hashlib.blake2b(b" ".join(span.split()), digest_size=16).digest())
+                    rows.append(at)
+            counts = np.diff(bounds)[chunk.row : chunk.row + chunk.n]
+            owner = pa.array(np.repeat(np.arange(chunk.row, chunk.row + chunk.n), counts))
+            out = {name: batch.column(name).take(owner) for name in ("doc_id", "part")}
+            out |= {name: pa.array(values[rows].astype(np.int64 if name == "src_doc" else np.int32)) for name, values in fields.items()}
+            out["words"] = pa.array(digests, pa.binary())
+            yield pa.RecordBatch.from_pydict(out)
+
+
+def verified_places(texts: DataFrame, places: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``places`` with ``first``: the smallest document that has the same words at a place of the same path.
+
+    ``places`` are those of ``repeated_paths`` over ``texts``. The words at
+    each place and at its source are read from the texts and compared by a
+    128-bit digest, so that spans which agree in their hashes alone part.
+    """
+    span = F.struct("pos", "length", "src_doc", "src_part", "src_pos")
+    lists = places.groupBy("doc_id", "part").agg(F.collect_set(span).alias("places"))
+    found = map_arrow(texts.join(lists, ["doc_id", "part"]), lambda b: _words_at(b, window), _SPAN + ", words binary")
+    found = stage(found, "substring-words")
+    source = ["src_doc", "src_part", "src_pos", "words"]
+    return found.join(found.groupBy(*source).agg(F.min("doc_id").alias("first")), source)
+
+
 def _spans(texts: DataFrame, window: int, anchor: int) -> DataFrame:
     """By row of ``texts``, the spans that an earlier document has."""
     with Scratch(texts.sparkSession) as scratch:
-        spans = repeated_paths(texts, window, anchor, scratch.stage).where("src_doc < doc_id")
+        places = scratch.stage(repeated_paths(texts, window, anchor, scratch.stage), "substring-places")
+        scratch.release()
+        spans = verified_places(texts, places, window).where("first < doc_id")
         return stage(
             spans.groupBy("doc_id", "part").agg(F.collect_set(F.struct("pos", "length")).alias("spans")), "substring-spans"
         )
