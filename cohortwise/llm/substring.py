@@ -339,7 +339,8 @@ def _words_at(batches, window: int) -> Iterator[pa.RecordBatch]:
             owner = pa.array(np.repeat(np.arange(chunk.row, chunk.row + chunk.n), counts))
             out = {name: batch.column(name).take(owner) for name in ("doc_id", "part")}
             out |= {name: pa.array(values[rows].astype(np.int64 if name == "src_doc" else np.int32)) for name, values in fields.items()}
-            out["words"] = pa.array(digests, pa.binary())
+            halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            out |= {"words1": pa.array(halves[:, 0]), "words2": pa.array(halves[:, 1])}
             yield pa.RecordBatch.from_pydict(out)
 
 
@@ -348,14 +349,24 @@ def verified_places(texts: DataFrame, places: DataFrame, window: int = WINDOW) -
 
     ``places`` are those of ``repeated_paths`` over ``texts``. The words at
     each place and at its source are read from the texts and compared by a
-    128-bit digest, so that spans which agree in their hashes alone part.
+    128-bit digest, summed up by path: where all places of a path agree, its
+    source is the first. Only paths on which they differ, spans that agree in
+    their hashes alone, are taken apart by their words.
     """
     span = F.struct("pos", "length", "src_doc", "src_part", "src_pos")
     lists = places.groupBy("doc_id", "part").agg(F.collect_set(span).alias("places"))
-    found = map_arrow(texts.join(lists, ["doc_id", "part"]), lambda b: _words_at(b, window), _SPAN + ", words binary")
+    found = map_arrow(texts.join(lists, ["doc_id", "part"]), lambda b: _words_at(b, window), _SPAN + ", words1 long, words2 long")
     found = stage(found, "substring-words")
-    source = ["src_doc", "src_part", "src_pos", "words"]
-    return found.join(found.groupBy(*source).agg(F.min("doc_id").alias("first")), source)
+    source, words = ["src_doc", "src_part", "src_pos"], ["words1", "words2"]
+    ends = [f(w).alias(f"{w}_{name}") for w in words for name, f in (("lo", F.min), ("hi", F.max))]
+    apart = found.groupBy(*source).agg(*ends).where("words1_lo <> words1_hi or words2_lo <> words2_hi").select(*source)
+    apart = stage(apart, "substring-apart")
+    if apart.isEmpty():
+        return found.withColumn("first", F.col("src_doc"))
+    agreed = found.join(apart, source, "left_anti").withColumn("first", F.col("src_doc"))
+    others = found.join(apart, source, "left_semi")
+    first = others.groupBy(*source, *words).agg(F.min("doc_id").alias("first"))
+    return agreed.unionByName(others.join(first, source + words).select(*agreed.columns))
 
 
 def _spans(texts: DataFrame, window: int, anchor: int) -> DataFrame:
