@@ -488,7 +488,8 @@ def test_words_that_look_alike_stay_apart(spark, lookalikes):
     assert [r.component_id for r in jaccard.near_duplicates(lookalikes).orderBy("doc_id").collect()] == [0, 1]
     assert [r.n_removed for r in substring.repeat_digests(lookalikes).orderBy("doc_id").collect()] == [0, 0]
     items = lookalikes.where("doc_id = 0").select(F.col("doc_id").alias("item_id"), "text")
-    assert decontaminate.contaminated(lookalikes, items).where("doc_id = 1").count() == 0
+    scores = {r.doc_id: r.score for r in decontaminate.contaminated(lookalikes, items).collect()}
+    assert scores[0] > scores.get(1, 0)  # the rare word counts for one document alone
 
 
 def test_word_hashes_do_not_depend_on_the_slices(monkeypatch):
