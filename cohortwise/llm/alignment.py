@@ -41,8 +41,8 @@ class Settings:
     byte_bpe: str = BYTE_BPE
     piece_bpe: str = PIECE_BPE
     piece: int = 1 << 18  # characters that are aligned at once, about
-    chunks: int = 1 << 17  # that a task keeps
-    kept_bytes: int = 32 << 20  # of kept chunks
+    chunks: int = 400_000  # that a task keeps, some 300 bytes each
+    kept_bytes: int = 64 << 20  # of kept chunks, links and group names
     count_rows: int = 2_000_000  # pair counts (17 bytes each) in one broadcast
 
 
@@ -118,7 +118,7 @@ class Aligner:
         whole = " ".join(texts)
         raw = f" {whole}".encode()
         ends = np.cumsum([len(t.encode()) + 1 for t in texts])
-        spaced = self.tokenizers.a.encode(f" {whole}", add_special_tokens=False).ids
+        spaced = self.tokenizers.a.encode_batch_fast([f" {whole}"], add_special_tokens=False)[0].ids
         out, sound = [], True
         for ids, by in ((spaced, self.a), (self.tokenizers.b.encode(whole), self.b)):
             ids = np.array(ids, np.int64)
