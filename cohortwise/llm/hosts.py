@@ -79,24 +79,33 @@ def host_verdicts(rows: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     """``(host, host_kept)`` of every host named in ``rows`` (of ``with_rules``).
 
     For each rule, the mean and variance of the host rates give a beta prior
-    by moments; if they allow none (one host, or no spread beyond chance) the
-    prior has the strength of the hosts' mean number of documents. A host is
-    kept if its shrunken rate is at most ``limit`` for every rule. Rates enter
-    as whole millionths, so sums do not depend on their order.
+    by beta-binomial moments: of the variance ``v`` around the mean ``m``, the
+    share ``h`` (mean of 1/documents) of ``m (1 - m)`` is what chance alone
+    gives, and only what is beyond counts as spread between hosts, ``rho = (v
+    / (m (1 - m)) - h) / (1 - h)``. The prior's strength is ``1 / rho - 1``
+    documents, at least 1 and at most all documents. Without spread beyond
+    chance (one host, one document a host, equal rates) it is all documents,
+    so hosts share one rate. A host is kept if its shrunken rate is at most
+    ``limit`` for every rule. Rates and ``1/documents`` enter as whole
+    millionths, so sums do not depend on their order.
     """
     flags = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("failed")) for r in RULES])
     tall = rows.where("host is not null").select("host", F.explode(flags).alias("f"))
     counts = tall.groupBy("host", "f.rule").agg(F.count("*").alias("n"), F.count_if("f.failed").alias("k"))
     counts = stage(counts, "host-counts")
     rate = F.expr(f"k * {MILLION} div n").cast("decimal(38,0)")
+    one = F.expr(f"{MILLION} div n").cast("decimal(38,0)")
     moments = counts.groupBy("rule").agg(
-        F.count("*").alias("hosts"), F.sum("n").alias("total"), F.sum(rate).alias("s1"), F.sum(rate * rate).alias("s2")
+        F.count("*").alias("hosts"), F.sum("n").alias("total"), F.sum(rate).alias("s1"), F.sum(rate * rate).alias("s2"), F.sum(one).alias("s3")
     )
     mean = F.expr(f"cast(s1 as double) / hosts / {MILLION}")
     variance = F.expr("(cast(s2 as double) - cast(s1 as double) * cast(s1 as double) / hosts) / hosts / 1e12")
-    moments = moments.select("rule", mean.alias("m"), variance.alias("v"), F.expr("cast(total as double) / hosts").alias("size"))
-    strength = F.expr("case when v > 0 and v < m * (1 - m) then m * (1 - m) / v - 1 else size end")
-    prior = moments.select("rule", "m", strength.alias("w"))
+    chance = F.expr(f"cast(s3 as double) / hosts / {MILLION}")
+    moments = moments.select("rule", "total", mean.alias("m"), variance.alias("v"), chance.alias("h"))
+    rho = F.expr("case when m > 0 and m < 1 and h < 1 then (v / (m * (1 - m)) - h) / (1 - h) end")
+    strength = F.expr("case when rho > 0 then greatest(1d, least(total, 1 / rho - 1)) else cast(total as double) end")
+    moments = moments.withColumn("rho", rho).withColumn("w", strength)
+    prior = moments.select("rule", "m", "w")
     shrunken = counts.join(F.broadcast(prior), "rule").withColumn("rate", F.expr("(k + m * w) / (n + w)"))
     return shrunken.groupBy("host").agg((F.max("rate") <= limit).alias("host_kept"))
 

@@ -62,13 +62,15 @@ host as (
   select source, r.rule, count(*) as n, sum(cast(bad[r.rule] as int)) as k
   from g, (values (1), (2), (3), (4)) r(rule) where source is not null group by all),
 moment as (
-  select rule, sum(cast(k * 1000000 // n as hugeint)) / count(*) / 1e6 as m, sum(n) / count(*) as size,
+  select rule, sum(cast(k * 1000000 // n as hugeint)) / count(*) / 1e6 as m, sum(n) as total,
+         cast(sum(1000000 // n) as double) / count(*) / 1e6 as h,
          (sum(cast(k * 1000000 // n as hugeint) * cast(k * 1000000 // n as hugeint))
           - sum(cast(k * 1000000 // n as hugeint)) * 1.0 * sum(cast(k * 1000000 // n as hugeint)) / count(*)) / count(*) / 1e12 as v
   from host group by rule),
+spread as (select *, case when m > 0 and m < 1 and h < 1 then (v / (m * (1 - m)) - h) / (1 - h) end as rho from moment),
 verdict as (
   select source, max((k + m * weight) / (n + weight)) <= 0.5 as ok
-  from host join (select *, case when v > 0 and v < m * (1 - m) then m * (1 - m) / v - 1 else size end as weight from moment) using (rule)
+  from host join (select *, case when rho > 0 then greatest(1.0, least(total, 1 / rho - 1)) else total end as weight from spread) using (rule)
   group by source)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, bad[1] or bad[2] as base_failed,
        not (bad[1] or bad[2]) and coalesce(ok, true) as kept
