@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortwise.llm import words as W
-from cohortwise.llm.store import Scratch, map_arrow
+from cohortwise.llm.store import Scratch, map_arrow, stage
 
 U = np.uint64
 K1, B = 1.2, 0.75
@@ -348,9 +348,20 @@ def _clean_of(batches, indexes: list[Index], settings: Settings):
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no test item."""
+    """The rows of ``docs``, with all their columns, that hold no test item.
+
+    Null and empty texts hold none and stay, repeated rows stay or go
+    together, whatever their ids; an empty benchmark takes nothing. Where the
+    benchmark needs several shards, the rows that one leaves are written
+    before the next searches them, so a task has one shard's index at a time.
+    """
+    waiting = None
     for sent in _shards(docs, items, settings):
+        if waiting is not None:
+            docs = stage(docs, "clean-documents")
+            waiting.unpersist()
         docs = map_arrow(docs, lambda batches, sent=sent: _clean_of(batches, sent.value, settings), docs.schema)
+        waiting = sent
     return docs
 
 

@@ -3,7 +3,8 @@
 Random Fourier features approximate a Gaussian kernel over a few statistics of
 the text. The normal equations of ridge regression are sums over rows, so each
 partition adds up its own and Spark adds the partitions. An isotonic
-(monotone) fit turns raw scores into the share of good documents.
+(monotone) fit turns raw scores into the share of good documents; the raw
+scores it learns from come from weights that have not seen the row.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ class Settings:
     seed: int = 7
     bins: int = 400  # of the raw score, for calibration
     tasks: int = 128  # that add up normal equations
+    folds: int = 5  # whose raw scores come from the others' weights
     cut: float = 0.7
 
 
@@ -126,25 +128,39 @@ def isotonic(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.concatenate([[v] * n for v, _, n in blocks]) if blocks else np.zeros(0)
 
 
-def _equations(batches, model: Model):
+def _equations(batches, model: Model, folds: int):
     size = len(model.shifts) + 1
-    total = np.zeros((size, size + 1))
+    total = np.zeros((folds, size, size + 1))
     for batch in batches:
         f = model.features(_matrix(batch.column("x")))
-        y = batch.column("y").to_numpy()
-        total[:, :size] += f.T @ f
-        total[:, size] += f.T @ y
-    at = np.indices(total.shape)
-    yield pa.RecordBatch.from_pydict({"i": at[0].ravel().astype(np.int32), "j": at[1].ravel().astype(np.int32), "v": total.ravel()})
-
-
-def _raw_bins(batches, model: Model, bins: int):
+        y, fold = batch.column("y").to_numpy(), batch.column("fold").to_numpy()
+        for k in np.unique(fold):
+            of = f[fold == k]
+            total[k, :, :size] += of.T @ of
+            total[k, :, size] += of.T @ y[fold == k]
+    for k in np.flatnonzero(total[:, -1, -2]):  # folds with rows: the constant feature counts them
+        at = np.indices(total[k].shape)
+        places = {"i": at[0].ravel().astype(np.int32), "j": at[1].ravel().astype(np.int32), "v": total[k].ravel()}
+        yield pa.RecordBatch.from_pydict({"fold": np.full(at[0].size, k, np.int32)} | places)
+
+
+def _raw_bins(batches, model: Model, weights: np.ndarray, bins: int):
+    """Raw scores of rows by the weights of their fold, binned."""
     for batch in batches:
-        raw = model.raw(_matrix(batch.column("x")))
+        f = model.features(_matrix(batch.column("x")))
+        raw = np.einsum("ij,ij->i", f, weights[batch.column("fold").to_numpy()])
         at = np.clip(np.floor((raw + 0.5) / 2 * bins), 0, bins - 1).astype(np.int32)
         yield pa.RecordBatch.from_pydict({"bin": at, "raw": raw, "y": batch.column("y")})
 
 
+def ridge_weights(equations: np.ndarray, ridge: float) -> np.ndarray:
+    """Solve summed normal equations; the last feature is the constant, hardly penalised."""
+    size = len(equations)
+    penalty = ridge * equations[-1, -2] * np.eye(size) / size
+    penalty[-1, -1] = 1e-9
+    return np.linalg.solve(equations[:, :size] + penalty, equations[:, size])
+
+
 def _scores_of(batches, model: Model):
     for batch in batches:
         scores = model.score(_matrix(batch.column("x"))) if len(batch) else np.zeros(0)
@@ -154,9 +170,14 @@ def _scores_of(batches, model: Model):
 def fit(training: DataFrame, settings: Settings = Settings()) -> Model:
     """Fit on ``training(x, y)``: statistics and 0/1 labels of all its rows.
 
+    Rows are dealt into ``folds`` by a hash of their statistics, so equal
+    texts share a fold. Each fold's raw scores for the calibration come from
+    weights of the other folds; the final weights come from all rows. Where
+    one fold holds all rows it is scored by its own weights.
+
     What reaches the driver has a fixed size: two moments a statistic, the
-    normal equations (``features`` squared) and the calibration bins. Without
-    any row the score is 0.5 throughout.
+    normal equations of each fold (``features`` squared) and the calibration
+    bins. Without any row the score is 0.5 throughout.
     """
     rng = np.random.default_rng(settings.seed)
     moments = training.agg(
@@ -171,15 +192,18 @@ def fit(training: DataFrame, settings: Settings = Settings()) -> Model:
         return Model(none, none + 1, waves, shifts, np.zeros(settings.features + 1), np.zeros(1), np.full(1, 0.5))
     sd = np.array(moments.sd)
     model = Model(np.array(moments.mean), np.where(sd > 1e-9, sd, 1), waves, shifts)
-    sums = map_arrow(training.coalesce(settings.tasks), lambda b: _equations(b, model), "i int, j int, v double")
+    dealt = training.withColumn("fold", F.pmod(F.xxhash64("x"), F.lit(settings.folds)).cast("int"))
+    sums = map_arrow(dealt.coalesce(settings.tasks), lambda b: _equations(b, model, settings.folds), "fold int, i int, j int, v double")
     size = settings.features + 1
-    equations = np.zeros((size, size + 1))
-    for r in sums.groupBy("i", "j").agg(F.sum("v").alias("v")).toLocalIterator():
-        equations[r.i, r.j] = r.v
-    penalty = settings.ridge * moments.n * np.eye(size) / size
-    penalty[-1, -1] = 1e-9
-    model.weights = np.linalg.solve(equations[:, :size] + penalty, equations[:, size])
-    bins = map_arrow(training, lambda b: _raw_bins(b, model, settings.bins), "bin int, raw double, y double")
+    equations = np.zeros((settings.folds, size, size + 1))
+    for r in sums.groupBy("fold", "i", "j").agg(F.sum("v").alias("v")).toLocalIterator():
+        equations[r.fold, r.i, r.j] = r.v
+    whole = equations.sum(axis=0)
+    model.weights = ridge_weights(whole, settings.ridge)
+    others = [whole - own for own in equations]
+    alone = [round(other[-1, -2]) == 0 for other in others]
+    weights = np.array([model.weights if a else ridge_weights(o, settings.ridge) for o, a in zip(others, alone, strict=True)])
+    bins = map_arrow(dealt, lambda b: _raw_bins(b, model, weights, settings.bins), "bin int, raw double, y double")
     bins = bins.groupBy("bin").agg(F.avg("raw").alias("raw"), F.avg("y").alias("y"), F.count("*").alias("n"))
     found = sorted((r.raw, r.y, r.n) for r in bins.collect())
     model.knots = np.array([f[0] for f in found])

@@ -233,6 +233,24 @@ def test_a_bad_host_takes_its_documents(spark):
     assert all(got[i] for i in range(80)) and not any(got[100 + i] for i in range(20))
 
 
+def test_a_host_prior_takes_no_chance_for_spread(spark):
+    rng = random.Random(12)
+    fine = [(i, sentence(rng, 80), f"h{i}") for i in range(30)]
+    short = [(100 + i, sentence(rng, 10), f"s{i}") for i in range(10)]  # one document a host: no evidence on any host
+    rows = hosts.with_rules(spark.createDataFrame(fine + short, "doc_id long, text string, source string"))
+    assert {r.host_kept for r in hosts.host_verdicts(rows).collect()} == {True}
+    counts = {"a": (40, 1), "b": (60, 4), "c": (30, 27), "d": (1, 1)}  # documents and short ones
+    table = [(0, sentence(rng, 10 if i < k else 80), h) for h, (n, k) in counts.items() for i in range(n)]
+    rows = hosts.with_rules(spark.createDataFrame(table, "doc_id long, text string, source string"))
+    rate, one = [k * 10**6 // n / 1e6 for n, k in counts.values()], [10**6 // n / 1e6 for n, _ in counts.values()]
+    m, v, h = np.mean(rate), np.var(rate), np.mean(one)
+    rho = (v / (m * (1 - m)) - h) / (1 - h)
+    w = min(max(1 / rho - 1, 1), sum(n for n, _ in counts.values()))
+    for limit in (0.2, 0.4, 0.6, 0.8):
+        got = {r.host: r.host_kept for r in hosts.host_verdicts(rows, limit).collect()}
+        assert got == {host: (k + m * w) / (n + w) <= limit for host, (n, k) in counts.items()}
+
+
 def test_languages(spark, none):
     rng = random.Random(4)
     sounds = {"a": ["ka", "lo", "mi"], "b": ["sch", "ung", "tz"], "c": ["eau", "oi", "que"]}
@@ -264,6 +282,37 @@ def test_quality(spark, none):
     assert quality.quality_scores(none, labels).count() == 0
 
 
+def test_quality_fit_is_the_dense_solution(spark):
+    """Weights by a plain solve of all rows; the curve by scores of the other folds."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, quality.N_STATS))
+    y = (x[:, 0] + 0.5 * rng.normal(size=300) > 0).astype(float)
+    settings = quality.Settings(features=16, bins=40)
+    table = spark.createDataFrame([(r.tolist(), float(t)) for r, t in zip(x, y)], "x array<double>, y double").repartition(7)
+    model = quality.fit(table, settings)
+    folds = {tuple(r.x): r.k for r in table.select("x", F.pmod(F.xxhash64("x"), F.lit(settings.folds)).alias("k")).collect()}
+    fold = np.array([folds[tuple(r)] for r in x.tolist()])
+    assert len(set(fold)) == settings.folds
+
+    def solve(rows):
+        f = model.features(x[rows])
+        penalty = np.diag([settings.ridge * rows.sum() / 17] * 16 + [1e-9])
+        return np.linalg.solve(f.T @ f + penalty, f.T @ y[rows])
+
+    assert np.allclose(model.weights, solve(np.ones(300, bool)), atol=1e-6)
+    raw = np.zeros(300)
+    for k in range(settings.folds):
+        raw[fold == k] = model.features(x[fold == k]) @ solve(fold != k)
+    at = np.clip(np.floor((raw + 0.5) / 2 * settings.bins), 0, settings.bins - 1).astype(int)
+    bins = sorted((raw[at == b].mean(), y[at == b].mean(), (at == b).sum()) for b in set(at))
+    assert np.allclose(model.knots, [b[0] for b in bins], atol=1e-6)
+    assert np.allclose(model.values, quality.isotonic(np.array([b[1] for b in bins]), np.array([float(b[2]) for b in bins])), atol=1e-6)
+    same = spark.createDataFrame([([1.0] * quality.N_STATS, 1.0)] * 5, "x array<double>, y double")  # one fold alone
+    assert np.allclose(quality.fit(same, settings).score(np.ones((1, quality.N_STATS))), 1, atol=1e-3)
+
+
 def test_isotonic():
     rng = np.random.default_rng(0)
     y, w = rng.random(200), rng.integers(1, 9, 200).astype(float)
@@ -309,6 +358,9 @@ def test_shards_and_other_items_change_no_score(spark):
     whole = found()
     assert 10 < len(whole) < 60 and min(x[1] for x in whole.values()) < 0.7
     assert found(shard_bytes=900) == whole
+    for size in (900, 32 << 20):
+        clean = decontaminate.clean_documents(texts, tests, decontaminate.Settings(**some, shard_bytes=size))
+        assert {r.doc_id for r in clean.collect()} == set(range(60)) - {d for d, _ in whole}
 
 
 def test_a_long_item_widens_no_other_items_passages(spark):
