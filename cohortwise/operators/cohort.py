@@ -286,7 +286,7 @@ def cohort_table(
 #: What can give a person several cohort rows, by the columns that then differ.
 UNIQUENESS_CAUSES = {
     "demographics": ("birth_dt", "death_dt", "sex_cd"),
-    "ethnicity": ("ethn_ner_code", "ethn_ner_desc"),
+    "ethnicity": ("ethn_ner_code", "ethn_ner_desc", "ethn_ons_code", "ethn_ons_desc"),
     "start": ("flag_start", "later_dt", "entry_dt", "exit_dt"),
     "exit_reason": ("exit_reason",),
     "baseline": ("area_at_start", "practice_at_start"),

@@ -18,10 +18,11 @@ from cohortwise.operators import outcomes as O
 from cohortwise.operators import report as R
 from cohortwise.plans.sizing import shared_dir
 from cohortwise.plans.study import SENSITIVE_CONCEPTS, Study
-from cohortwise.sources.codelists import read_codelists, write_codelists
+from cohortwise.sources.codelists import codelist_lines, read_codelists, scan_codelists, write_codelist_files, write_codelists
 from cohortwise.sources.versions import LookupStore
 
 SINGLE_CONCEPT = "PROMO"
+OTHER_LAYOUT = "MEDIUM"  # the concept whose file comes in the other vocabulary's layout
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,6 +164,35 @@ def q_load_codelists(spark, sf_dir):
     return read_codelists(spark, path, "readv2", "2_2_3", concept_from="column")
 
 
+def _delivered_files(codes: DataFrame, vocab: str, end: str) -> DataFrame:
+    """The scan of a delivery of one CSV per concept with faults in it: codes
+    that end in 3, 5 and 7 (before ``end``) lack the code, name another concept
+    and lack a field; one file has the layout of the other vocabulary."""
+    rows = codes.select(
+        F.col("concept").alias("file"),
+        F.when(F.col("code").endswith("5" + end), "OTHER").otherwise(F.col("concept")).alias("concept"),
+        F.when(~F.col("code").endswith("3" + end), F.col("code")).alias("code"),
+        "concept_type",
+        F.concat(F.lit("about "), "code").alias("description"),
+    )
+    other = {"readv2": "icd10", "icd10": "readv2"}[vocab]
+    odd = F.col("file") == OTHER_LAYOUT
+    lines = codelist_lines(rows.where(~odd), vocab, "file").unionByName(codelist_lines(rows.where(odd), other, "file"))
+    short = F.coalesce(F.col("code").endswith("7" + end), F.lit(False))
+    lines = lines.withColumn("line", F.when(short, F.regexp_replace("line", ",[^,]*$", "")).otherwise(F.col("line")))
+    path = shared_dir(codes.sparkSession, f"codelist-files-{vocab}")
+    write_codelist_files(lines, path)
+    return scan_codelists(codes.sparkSession, path, vocab, "2_2_3")
+
+
+def q_load_codelist_files(spark, sf_dir):
+    return _delivered_files(_study(spark, sf_dir).fx.codelist_read, "readv2", ".")
+
+
+def q_load_codelist_files_icd10(spark, sf_dir):
+    return _delivered_files(_study(spark, sf_dir).fx.codelist_icd10, "icd10", "")
+
+
 def q_codelist_diff(spark, sf_dir):
     return _study(spark, sf_dir).codelist_changes()
 

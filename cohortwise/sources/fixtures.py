@@ -104,6 +104,8 @@ FIXTURES: dict[str, FixtureDef] = {
             "person_id": "c_custkey",
             "ethn_ner_code": "CAST(c_nationkey % 6 AS INT)",
             "ethn_ner_desc": "concat('group ', CAST(c_nationkey % 6 AS STRING))",
+            "ethn_ons_code": "CASE WHEN c_custkey % 11 <> 0 THEN CAST(c_nationkey % 5 AS INT) END",
+            "ethn_ons_desc": "CASE WHEN c_custkey % 11 <> 0 THEN concat('census ', CAST(c_nationkey % 5 AS STRING)) END",
         },
         "customer WHERE c_custkey % 8 <> 0",
         lambda t: t["customer"].where("c_custkey % 8 <> 0"),
@@ -114,6 +116,25 @@ FIXTURES: dict[str, FixtureDef] = {
             "dep1_quintile": "CAST(1 + p_size % 5 AS INT)",
             "dep2_quintile": "CAST(1 + (p_size * 3) % 5 AS INT)",
             "dep_score": "CAST(p_size * 1.25 AS DECIMAL(15,9))",
+            "area_desc": "concat('Area ', CAST(p_size AS STRING))",
+            "area_ons_desc": "concat('District ', lpad(CAST(p_size - 1 AS STRING), 3, '0'))",
+            "area_name": "concat('Place ', CAST(p_size % 12 AS STRING))",
+            "local_address": "CAST(p_size % 2 AS INT)",
+            "dep0_score": "CAST(p_size * 0.75 AS DECIMAL(15,9))",
+            "dep0_rank": "CAST(51 - p_size AS INT)",
+            "dep0_quintile": "CAST(1 + floor((50 - p_size) / 10.0) AS INT)",
+            "dep0_quintile_desc": "concat(CAST(CAST(1 + floor((50 - p_size) / 10.0) AS INT) AS STRING), '. of 5')",
+            "dep0_decile": "CAST(1 + floor(((51 - p_size) - 1) * 10 / 50.0) AS INT)",
+            "dep0_decile_desc": "concat(CAST(CAST(1 + floor(((51 - p_size) - 1) * 10 / 50.0) AS INT) AS STRING), '. of 10')",
+            "dep0_quartile": "CAST(1 + floor(((51 - p_size) - 1) * 4 / 50.0) AS INT)",
+            "dep0_quartile_desc": "concat(CAST(CAST(1 + floor(((51 - p_size) - 1) * 4 / 50.0) AS INT) AS STRING), '. of 4')",
+            "dep1_rank": "CAST(p_size AS INT)",
+            "dep1_quintile_desc": "concat(CAST(1 + p_size % 5 AS STRING), '. of 5')",
+            "dep1_decile": "CAST(1 + floor((p_size - 1) * 10 / 50.0) AS INT)",
+            "dep1_decile_desc": "concat(CAST(CAST(1 + floor((p_size - 1) * 10 / 50.0) AS INT) AS STRING), '. of 10')",
+            "dep1_quartile": "CAST(1 + floor((p_size - 1) * 4 / 50.0) AS INT)",
+            "dep1_quartile_desc": "concat(CAST(CAST(1 + floor((p_size - 1) * 4 / 50.0) AS INT) AS STRING), '. of 4')",
+            "dep2_quintile_desc": "concat(CAST(1 + (p_size * 3) % 5 AS STRING), '. of 5')",
         },
         "(SELECT DISTINCT p_size FROM part) p",
         lambda t: t["part"].select("p_size").distinct(),

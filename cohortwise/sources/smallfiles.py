@@ -1,4 +1,4 @@
-"""Small text files in whatever store holds a path: ledgers and pointers.
+"""Small files in whatever store holds a path: ledgers, pointers, code lists.
 
 They say which written folders count, and are put in place by one rename, so a
 reader sees the old one or the new one and never a part.
@@ -45,3 +45,18 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     if not store.exists(where):
         return []
     return sorted(n for n in (s.getPath().getName() for s in store.listStatus(where)) if not n.startswith((".", "_")))
+
+
+def move(spark: SparkSession, old: str, new: str) -> None:
+    """Rename ``old`` to ``new``, which goes first if it exists."""
+    source, store = _store(spark, old)
+    target, _ = _store(spark, new)
+    if store.exists(target):
+        store.delete(target, False)
+    if not store.rename(source, target):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
+def drop(spark: SparkSession, folder: str) -> None:
+    where, store = _store(spark, folder)
+    store.delete(where, True)

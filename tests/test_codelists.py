@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortwise.operators import codelists as K
 from cohortwise.plans.study import Study
-from cohortwise.sources.codelists import READ_V2_HEADER, read_codelists
+from cohortwise.sources.codelists import ICD10_HEADER, READ_V2_HEADER, codelist_lines, read_codelists, scan_codelists, write_codelist_files
 from cohortwise.sources.versions import LookupStore
 
 CODES = "concept string, code string, concept_type string"
@@ -25,6 +25,44 @@ def test_csv_reader_positional_schema_and_file_concept(spark, tmp_path):
     assert dict(df.dtypes)["code"] == "string"
 
 
+def test_scan_sets_faulty_lines_aside(spark, tmp_path):
+    read, icd = ",".join(READ_V2_HEADER), ",".join(ICD10_HEADER)
+    files = {
+        "TIA": [read, "5136.,x,TIA,a,b,condition", "7E253 ,y,TIA,a,b,condition", '"G4,5",z,TIA,a,b,condition', "", "7E254,y,TIA,a,b,condition,more", "7E255,y"],
+        "HEART FAILURE+": [read, " ,x,HEART FAILURE+,a,b,condition", "G58..,x,TIA,a,b,condition", "G58..,x,HEART FAILURE+,a,b,condition", "G58..,x,HEART FAILURE+,a,b,condition", "G5,x,,a,b,c"],
+        "OTHER": [icd, "I50,x,OTHER,a,condition"],
+        "HEADLESS": ["G1,x,HEADLESS,a,b,condition"],
+        "EMPTY": [],
+    }
+    for name, lines in files.items():
+        (tmp_path / f"{name}.csv").write_text("\n".join(lines))
+    (tmp_path / "notes.txt").write_text("not a code list")
+    (tmp_path / "BOM.csv").write_text("\ufeff" + read + "\r\nB1,x,BOM,a,b,\r\n", encoding="utf-8")
+    got = scan_codelists(spark, str(tmp_path), "readv2", "2_2_3")
+    good = sorted((r.concept, r.code, r.concept_type or "") for r in got.where("problem IS NULL").collect())
+    assert good == [("BOM", "B1", "")] + [("HEART FAILURE+", "G58..", "condition")] * 2 + [("TIA", c, "condition") for c in ("5136.", "7E253", "G4,5")]
+    bad = sorted((r.concept, r.problem, r.line) for r in got.where("problem IS NOT NULL").collect())
+    assert bad == sorted(
+        [("TIA", "columns", files["TIA"][5]), ("TIA", "columns", "7E255,y")]
+        + [("HEART FAILURE+", p, files["HEART FAILURE+"][i]) for p, i in (("no code", 1), ("concept", 2), ("concept", 5))]
+        + [("OTHER", "layout", icd), ("OTHER", "layout", files["OTHER"][1]), ("HEADLESS", "layout", files["HEADLESS"][0])]
+    )
+    assert got.where("problem IS NOT NULL AND (code IS NOT NULL OR concept_type IS NOT NULL)").count() == 0
+    assert got.select("code").where("code IS NOT NULL").count() == 6  # whatever columns are read
+
+
+@pytest.mark.parametrize("vocab", ["readv2", "icd10"])
+def test_codelist_files_round_trip(spark, tmp_path, vocab):
+    rows = [(c, f"{c[0]}{i:03d}", "condition", "about, it") for c in ("TIA", "HEART FAILURE+", "50%") for i in range(40)] + [("TIA", "T001", None, None)]
+    df = spark.createDataFrame(rows, "concept string, code string, concept_type string, description string").repartition(9)
+    for _ in range(2):  # the second write replaces the files
+        write_codelist_files(codelist_lines(df, vocab), str(tmp_path))
+    assert sorted(os.listdir(tmp_path)) == sorted(["TIA.csv", "HEART FAILURE+.csv", "50%.csv"] + [f for f in os.listdir(tmp_path) if f.endswith(".crc")])
+    back = scan_codelists(spark, str(tmp_path), vocab, "1").collect()
+    assert all(r.problem is None for r in back)
+    assert sorted((r.concept, r.code, r.concept_type or "") for r in back) == sorted((c, k, t or "") for c, k, t, _ in rows)
+
+
 def test_latest_version_compares_numerically(spark):
     v = spark.createDataFrame(
         [("A", "2_2_3", "x"), ("A", "2_2_10", "y"), ("A", "2_2_9", "z"), ("B", "2_2_9", "w")],
