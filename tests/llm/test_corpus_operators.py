@@ -266,6 +266,29 @@ def test_languages(spark, none):
     assert language.languages(none).count() == 0
 
 
+def test_languages_are_those_of_plain_kernel_ridge(spark):
+    """With every row a landmark, the scores of a dense solve over the n-gram sets themselves."""
+    import pyarrow as pa
+
+    from cohortwise.llm import words as W
+
+    rng = random.Random(9)
+    sounds = {"a": "abc ", "b": "bcd ", "c": "cde "}
+    table = [(i, " ".join("".join(rng.choices(sounds[x], k=4)) for _ in range(rng.randrange(2, 9))), x) for i, x in enumerate("abc" * 9 + "aab")]
+    settings = language.Settings(features=1 << 18, landmarks=100)
+    model = language.fit(spark.createDataFrame(table, "doc_id long, text string, lang string"), settings)
+    assert model.languages == ["a", "b", "c"] and model.landmarks.shape[1] == len(table)
+    sets = [{t[i : i + n] for n in settings.grams for i in range(len(t) - n + 1)} for _, t, _ in table]
+    k = np.array([[len(p & q) / np.sqrt(len(p) * len(q)) for q in sets] for p in sets])
+    y = np.array([[1.0 if x == c else -1.0 for c in "abc"] for *_, x in table])
+    w = np.array([1 / sum(x == z for *_, z in table) for *_, x in table])
+    left = np.block([[w[:, None] * k + settings.ridge * np.eye(len(k)), w[:, None]], [w @ k, np.array([[w.sum()]])]])
+    solved = np.linalg.solve(left, np.vstack([w[:, None] * y, w @ y]))
+    (chunk,) = W.chunks(pa.array([t for _, t, _ in table]))
+    got = model.scores(language.presence(chunk, 0, chunk.n, settings))
+    assert np.allclose(got, k @ solved[:-1] + solved[-1], atol=2e-3)
+
+
 def test_quality(spark, none):
     rng = random.Random(6)
     table = [(i, sentence(rng, rng.randrange(20, 90)) if i % 3 else "BUY### NOW$$$ " * rng.randrange(10, 40)) for i in range(200)]
@@ -410,6 +433,33 @@ def test_flexible_packing(docs, rows, none):
     assert packing.best_fit_bins(none).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_flexible_bins_are_those_of_a_plain_search(seed):
+    """Which bin each piece goes to, which length is opened and what each bin shrinks to."""
+    rng = np.random.default_rng(seed)
+    sizes, overhead = (16, 40, 100), (0, 3, 16, 60)[seed]
+    lengths = np.minimum(rng.geometric(0.05, 400), 100)
+    bins, offsets, closed = packing.pack(lengths, sizes[::-1], overhead)
+    opened, fill, touched, plain = [], [], [], {}
+    left = int(lengths.sum())
+    for turn, i in enumerate(sorted(range(400), key=lambda i: (-lengths[i], i))):
+        n = int(lengths[i])
+        fits = [b for b in range(len(fill)) if opened[b] - fill[b] >= n]
+        if fits:  # the least room; of equal ones the bin that was touched last
+            b = min(fits, key=lambda b: (opened[b] - fill[b], -touched[b]))
+        else:
+            b = len(fill)
+            opened.append(min((c for c in sizes if c >= n), key=lambda c: ((c + overhead) / min(c, left), c)))
+            fill.append(0)
+            touched.append(0)
+        plain[i] = b, fill[b]
+        fill[b] += n
+        touched[b] = turn
+        left -= n
+    assert [plain[i] for i in range(400)] == list(zip(bins.tolist(), offsets.tolist()))
+    assert closed.tolist() == [min(c for c in sizes if c >= f) for f in fill]
+
+
 def test_best_fit_takes_the_least_room():
     rng = np.random.default_rng(1)
     lengths = rng.integers(1, 101, 500)

@@ -145,6 +145,43 @@ def test_run_is_the_chain_of_its_stages_by_hand(spark, monkeypatch):
     assert sizes == {i: len(WORD.findall(t)) + 1 for i, t in texts.items()}
 
 
+CLASHING = ("_file", "Slot", "_print", "_kept", "print", "part", "rest", "block", "row", "h", "x", "label")
+
+
+def test_stages_take_rows_of_every_kind(spark):
+    """Nulls in every column, empty and blank texts, repeated rows, a long text, clashing names, empty tables."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    odd = [(10**6, None), (10**6 + 1, ""), (10**6 + 2, " \n\t"), (10**6 + 3, text), (10**6 + 3, text), (None, text), (None, None), (10**6 + 4, "word " * 200_000)]
+    extra = spark.createDataFrame(odd, "doc_id long, text string")
+    for c in docs.columns[2:]:
+        extra = extra.withColumn(c, F.lit(None).cast(docs.schema[c].dataType))
+    docs = docs.unionByName(extra.select(docs.columns)).withColumns({c: F.col("doc_id") % 7 for c in CLASHING})
+
+    def ids(df):
+        return collections.Counter(r.doc_id for r in df.select("doc_id").collect())
+
+    every = ids(docs)
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        got, none = step(spark, docs, SMALL), step(spark, docs.limit(0), SMALL)
+        assert got.columns == docs.columns == none.columns, name
+        assert none.count() == 0, name
+        assert got.where("doc_id IS NOT NULL AND NOT (_file <=> doc_id % 7 AND `label` <=> doc_id % 7)").count() == 0, name
+        kept = ids(got)
+        assert not kept - every, name
+        if name == "near_duplicates":
+            assert all(kept[i] == 1 for i in range(10**6, 10**6 + 5)) and kept[None] == 2
+        elif name == "substrings":
+            assert kept == every
+        elif name == "decontamination":
+            assert all(kept[i] == every[i] for i in (None, *range(10**6, 10**6 + 5)))
+    packed = ids(corpus_pipeline.packing(spark, docs, SMALL))
+    assert set(packed) == set(every) and all(packed[i] >= n for i, n in every.items())
+    assert corpus_pipeline.packing(spark, docs.limit(0), SMALL).count() == 0
+
+
 def test_stages_keep_the_columns_and_take_effect(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").cache()
     ids = {r.doc_id for r in docs.select("doc_id").collect()}
