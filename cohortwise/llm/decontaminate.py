@@ -4,11 +4,14 @@ The test items form an inverted index: for each term the items that hold it
 and their BM25 impact, here as a share of the item's own full score, so one
 threshold serves all items. Items lie in blocks; a term's largest impact in a
 block bounds what it can add to any item there. Every passage of every text is
-a query. A block is opened only if the bounds of the passage's terms reach the
-threshold (the WAND pivot test, for a batch of passages at once); terms that
-most items share are not looked up for that, their largest sum per block
-counts in full. Items of opened blocks are scored exactly, and a hit is
-verified by the word n-grams of the item's question and answer.
+a query. Its terms stand in the order of their largest impact anywhere, weakest
+first: the pivot is the first at which the impacts summed so far reach the
+threshold, so only blocks that the pivot or a stronger term names are looked
+at. There the block's bounds of the weaker terms are added, strongest first,
+until what is left can no longer reach the threshold; a block that passes them
+all is opened. Terms that most items share are not looked up for that, their
+largest sum per block counts in full. The items of opened blocks are scored
+exactly, and a hit is verified by the word n-grams of its question and answer.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from cohortwise.llm.store import Scratch, map_arrow, stage
 
 U = np.uint64
 K1, B = 1.2, 0.75
-CELLS = 1 << 20  # passages x blocks whose bounds a task holds at once
+CELLS = 1 << 20  # pairs of passage and block that a task looks at together
 #: Marks trimmed from both ends of a word before it is compared.
 TRIM = np.zeros(256, bool)
 TRIM[list(b".,;:!?\"'()[]{}|*#$%&<>-")] = True
@@ -85,30 +88,41 @@ class Corpus:
 
 @dataclass
 class Index:
-    """Postings in compressed rows: term t has ``at[t] .. at[t + 1]``."""
+    """Items in order of what shared terms add to them, ``block`` of them a block.
+
+    ``key`` are the (term, block) pairs with a bound as term x blocks + block,
+    those of term t from ``block_at[t]`` to ``block_at[t + 1]``. Item j's terms
+    and their impacts stand from ``item_at[j]`` to ``item_at[j + 1]``.
+    """
 
     items: np.ndarray
     terms: np.ndarray
     filter: np.ndarray
-    at: np.ndarray
-    item: np.ndarray
-    impact: np.ndarray
     block_at: np.ndarray
-    block: np.ndarray
+    key: np.ndarray
     bound: np.ndarray
+    most: np.ndarray  # a term's largest bound
     rest: np.ndarray  # per block: the most that shared terms can add
     common: np.ndarray
+    item_at: np.ndarray
+    item_term: np.ndarray
+    impact: np.ndarray
     question: list[np.ndarray]
     answer: list[np.ndarray]
     gram: list[tuple[int, int]]
     stride: int
 
 
-def item_words(text: str | None) -> np.ndarray | None:
-    """The hashes of an item's words; None if it has none."""
-    if not text or not text.split():
-        return None
-    return trimmed(next(W.chunks(pa.array([text]))))
+def item_words(texts: list[str | None]) -> list[np.ndarray | None]:
+    """The hashes of each item's words; None if it has none."""
+    out: list[np.ndarray | None] = [None] * len(texts)
+    for chunk in W.chunks(pa.array(texts, pa.string())):
+        h = trimmed(chunk)
+        for i in range(chunk.n):
+            text = texts[chunk.row + i]
+            if text and text.split():
+                out[chunk.row + i] = h[chunk.first[i] : chunk.first[i + 1]].copy()
+    return out
 
 
 def build_indexes(items: list[tuple[int, str]], settings: Settings, corpus: Corpus | None = None) -> list[Index]:
@@ -116,16 +130,25 @@ def build_indexes(items: list[tuple[int, str]], settings: Settings, corpus: Corp
 
     ``corpus`` describes the whole benchmark if ``items`` are only part of it.
     """
-    classes: dict[int, list[tuple[int, str]]] = {}
-    hashes = []
-    for i, text in items:
-        h = item_words(text) if i is not None else None
-        if h is not None:
-            classes.setdefault(stride_of(len(h), settings), []).append((i, text))
-            hashes.append(h)
-    if corpus is None and hashes:
-        corpus = _corpus(hashes)
-    return [build_index(own, settings, corpus) for _, own in sorted(classes.items())]
+    known = _known(items)
+    if corpus is None and known:
+        corpus = _corpus([h for *_, h in known])
+    classes: dict[int, list[tuple[int, str, np.ndarray]]] = {}
+    for i, text, h in known:
+        classes.setdefault(stride_of(len(h), settings), []).append((i, text, h))
+    return [_index(own, settings, corpus) for _, own in sorted(classes.items())]
+
+
+def build_index(items: list[tuple[int, str]], settings: Settings, corpus: Corpus | None = None) -> Index | None:
+    """One index of test items of any length; None if no item has a word."""
+    known = _known(items)
+    return _index(known, settings, corpus or _corpus([h for *_, h in known])) if known else None
+
+
+def _known(items: list[tuple[int, str]]) -> list[tuple[int, str, np.ndarray]]:
+    """(id, text, words) of the items that have an id and a word."""
+    hashes = item_words([text for _, text in items])
+    return [(i, text, h) for (i, text), h in zip(items, hashes, strict=True) if i is not None and h is not None]
 
 
 def _corpus(hashes: list[np.ndarray]) -> Corpus:
@@ -133,18 +156,43 @@ def _corpus(hashes: list[np.ndarray]) -> Corpus:
     return Corpus(len(hashes), sum(len(h) for h in hashes) / len(hashes), terms, df)
 
 
-def build_index(items: list[tuple[int, str]], settings: Settings, corpus: Corpus | None = None) -> Index | None:
-    """One index of test items, its stride that of the longest; None if no item has a word."""
-    items = [(i, t, item_words(t)) for i, t in items if i is not None]
-    items = [(i, t, h) for i, t, h in items if h is not None]
-    if not items:
-        return None
-    corpus = corpus or _corpus([h for _, _, h in items])
-    hashes, sizes, questions, answers, grams = [], [], [], [], []
-    for _, text, h in items:
+def _index(items: list[tuple[int, str, np.ndarray]], settings: Settings, corpus: Corpus) -> Index:
+    """One index of test items with words, its stride that of the longest."""
+    count = len(items)
+    sizes = np.array([len(h) for *_, h in items])
+    pairs = [np.unique(h, return_counts=True) for *_, h in items]
+    held = np.array([len(t) for t, _ in pairs])
+    terms, term = np.unique(np.concatenate([t for t, _ in pairs]), return_inverse=True)
+    tf, item = np.concatenate([n for _, n in pairs]), np.repeat(np.arange(count), held)
+    df = corpus.df[np.searchsorted(corpus.terms, terms)]
+    idf = np.log1p((corpus.count - df + 0.5) / (df + 0.5))
+    norm = K1 * (1 - B + B * sizes[item] / corpus.mean)
+    impact = idf[term] * tf * (K1 + 1) / (tf + norm)
+    impact = impact / np.bincount(item, weights=impact, minlength=count)[item]
+    common = np.bincount(term, minlength=len(terms)) > max(2, settings.shared * count)
+    # Items to which shared terms add alike share blocks, which keeps ``rest`` close.
+    by_item = np.bincount(item, weights=impact * common[term], minlength=count)
+    order = np.argsort(by_item, kind="stable")
+    place = np.empty(count, np.int64)
+    place[order] = np.arange(count)
+    sort = np.argsort(place[item], kind="stable")
+    item, term, impact = place[item][sort], term[sort], impact[sort]
+    blocks = -(-count // settings.block)
+    rest = np.maximum.reduceat(by_item[order], np.arange(0, count, settings.block))
+    # Largest impact of each rare term in each of its blocks.
+    rare = ~common[term]
+    key = term[rare] * blocks + item[rare] // settings.block
+    by_key = np.argsort(key, kind="stable")
+    some, first = np.unique(key[by_key], return_index=True)
+    bound = np.maximum.reduceat(impact[rare][by_key], first) if len(some) else np.zeros(0)
+    most = np.zeros(len(terms))
+    np.maximum.at(most, some // blocks, bound)
+    seen = np.zeros(1 << min(24, max(18, (8 * len(terms)).bit_length())), bool)
+    seen[_slots(terms[~common], seen)] = True
+    questions, answers, grams = [], [], []
+    for j in order:
+        _, text, h = items[j]
         head = split_item(text)
-        hashes.append(h)
-        sizes.append(len(h))
         parts = []
         for part in (h[:head], h[head:]):
             n = max(1, min(settings.gram, len(part)))
@@ -152,41 +200,17 @@ def build_index(items: list[tuple[int, str]], settings: Settings, corpus: Corpus
         questions.append(parts[0][1])
         answers.append(parts[1][1])
         grams.append((parts[0][0], parts[1][0]))
-    count = len(items)
-    pairs = []
-    for i, h in enumerate(hashes):
-        terms, tf = np.unique(h, return_counts=True)
-        pairs.append((terms, np.full(len(terms), i), tf))
-    term, item, tf = (np.concatenate(x) for x in zip(*pairs, strict=True))
-    order = np.lexsort((item, term))
-    term, item, tf = term[order], item[order], tf[order]
-    terms, at = np.unique(term, return_index=True)
-    at = np.append(at, len(term))
-    held = np.diff(at)  # items of this index that hold the term
-    df = corpus.df[np.searchsorted(corpus.terms, terms)]
-    idf = np.log1p((corpus.count - df + 0.5) / (df + 0.5))
-    norm = K1 * (1 - B + B * np.array(sizes)[item] / corpus.mean)
-    impact = np.repeat(idf, held) * tf * (K1 + 1) / (tf + norm)
-    impact = impact / np.bincount(item, weights=impact, minlength=count)[item]
-    common = held > max(2, settings.shared * count)
-    posting_common = np.repeat(common, held)
-    by_item = np.bincount(item[posting_common], weights=impact[posting_common], minlength=count)
-    blocks = -(-count // settings.block)
-    rest = np.zeros(blocks)
-    np.maximum.at(rest, np.arange(count) // settings.block, by_item)
-    # Largest impact of each term in each of its blocks.
-    key = np.repeat(np.arange(len(terms)), held) * blocks + item // settings.block
-    some, first = np.unique(key, return_index=True)
-    bound = np.maximum.reduceat(impact, first)
-    block_at = np.searchsorted(some // blocks, np.arange(len(terms) + 1))
-    seen = np.zeros(1 << 18, bool)
-    seen[(terms[~common] & U((1 << 18) - 1)).astype(np.int64)] = True
     return Index(
-        np.array([i for i, *_ in items], np.int64), terms, seen, at, item, impact, block_at, some % blocks, bound, rest,
-        common, questions, answers, grams, stride_of(max(sizes), settings),
+        np.array([items[j][0] for j in order], np.int64), terms, seen, np.searchsorted(some // blocks, np.arange(len(terms) + 1)),
+        some, bound, most, rest, common, np.concatenate([[0], np.cumsum(held[order])]), term, impact,
+        questions, answers, grams, stride_of(int(sizes.max()), settings),
     )
 
 
+def _slots(hashes: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    return (hashes & U(len(seen) - 1)).astype(np.int64)
+
+
 def _search(chunk: W.Chunk, h: np.ndarray, index: Index, settings: Settings) -> Iterator[tuple]:
     """(text, item position, passage's first word, score, overlaps) of all hits."""
     counts = chunk.counts()
@@ -194,7 +218,7 @@ def _search(chunk: W.Chunk, h: np.ndarray, index: Index, settings: Settings) ->
     passages = np.maximum(cells - 1, (counts > 0).astype(np.int64))  # each spans two cells
     pfirst = np.concatenate([[0], np.cumsum(passages)])
     # Rare terms of each passage.
-    maybe = np.flatnonzero(index.filter[(h & U((1 << 18) - 1)).astype(np.int64)])
+    maybe = np.flatnonzero(index.filter[_slots(h, index.filter)])
     term = np.searchsorted(index.terms, h[maybe])
     term[term == len(index.terms)] = 0
     hit = (index.terms[term] == h[maybe]) & ~index.common[term]
@@ -207,29 +231,66 @@ def _search(chunk: W.Chunk, h: np.ndarray, index: Index, settings: Settings) ->
         ok = (p >= 0) & (p < passages[text])
         pairs.append((pfirst[text[ok]] + p[ok]) * len(index.terms) + term[ok])
     pairs = np.unique(np.concatenate(pairs))
-    passage, term = pairs // len(index.terms), pairs % len(index.terms)
-    # So many passages at a time that passages x blocks stays bounded.
-    blocks = len(index.rest)
-    step = max(1, CELLS // blocks)
-    for low in range(0, int(pfirst[-1]), step):
-        high = min(low + step, int(pfirst[-1]))
-        own = slice(*np.searchsorted(passage, [low, high]))
-        opened = _opened(passage[own] - low, term[own], high - low, index, settings.threshold)
-        for p in np.flatnonzero(opened.any(axis=1)):
-            yield from _scored(chunk, h, pfirst, low + p, opened[p], index, settings)
-
-
-def _opened(passage: np.ndarray, term: np.ndarray, passages: int, index: Index, threshold: float) -> np.ndarray:
-    """Which blocks (columns) the bounds of each passage's terms (rows) open."""
-    blocks = len(index.rest)
-    sizes = index.block_at[term + 1] - index.block_at[term]
-    posting = W.ranges(index.block_at[term], sizes)
-    key = np.repeat(passage, sizes) * blocks + index.block[posting]
-    bounds = np.bincount(key, weights=index.bound[posting], minlength=passages * blocks).reshape(passages, blocks)
-    return bounds + index.rest >= threshold - 1e-9
-
-
-def _scored(chunk: W.Chunk, h: np.ndarray, pfirst: np.ndarray, p: int, opened: np.ndarray, index: Index, settings: Settings) -> Iterator[tuple]:
+    named: dict[int, np.ndarray] = {}
+    for passage, block in _opened(pairs // len(index.terms), pairs % len(index.terms), index, settings.threshold):
+        own, at = np.unique(passage, return_index=True)
+        named.update(zip(own.tolist(), np.split(block, at[1:]), strict=False))
+    always = np.flatnonzero(index.rest >= settings.threshold - 1e-9)  # blocks that need no rare term
+    for p in range(int(pfirst[-1])) if len(always) else named:
+        blocks = np.concatenate([always, named.get(p, always[:0])])
+        yield from _scored(chunk, h, pfirst, p, blocks, index, settings)
+
+
+def _opened(passage: np.ndarray, term: np.ndarray, index: Index, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(passages, blocks) that the rare terms of each passage open, in order; blocks that need none are left out.
+
+    ``passage`` is sorted. Passages go in groups of at most ``CELLS`` named blocks (one at least).
+    """
+    if not len(term):
+        return
+    need = threshold - 1e-9
+    free = index.rest < need
+    reach = need - index.rest[free].max(initial=-np.inf)  # what rare terms must add at least
+    order = np.lexsort((index.most[term], passage))
+    passage, term = passage[order], term[order]
+    most = index.most[term]
+    starts = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
+    sums = np.cumsum(most)
+    group = np.cumsum(np.append(False, passage[1:] != passage[:-1]))
+    below = sums - (sums[starts] - most[starts])[group]  # a term's and all weaker ones' most
+    strong = below >= reach - 1e-9  # the pivot and the terms after it
+    weak = np.bincount(group[~strong], minlength=len(starts))  # weaker terms come first in a group
+    left = np.where(weak > 0, below[starts + np.maximum(weak, 1) - 1], 0.0)
+    sizes = np.where(strong, index.block_at[term + 1] - index.block_at[term], 0)
+    total = np.concatenate([[0], np.cumsum(np.add.reduceat(sizes, starts))])
+    ends = np.append(starts[1:], len(term))
+    low = 0
+    while low < len(starts):
+        high = max(low + 1, int(np.searchsorted(total, total[low] + CELLS, "right")) - 1)
+        own = slice(starts[low], ends[high - 1])
+        posting = W.ranges(index.block_at[term[own]], sizes[own])
+        block = index.key[posting] % len(index.rest)
+        pair = np.repeat(group[own] - low, sizes[own]) * len(index.rest) + block
+        pair, back = np.unique(pair, return_inverse=True)
+        bound = np.bincount(back, weights=index.bound[posting], minlength=len(pair))
+        at, block = pair // len(index.rest) + low, pair % len(index.rest)
+        live = free[block] & (bound + left[at] + index.rest[block] >= need - 1e-9)
+        at, block, bound = at[live], block[live], bound[live]
+        step = weak[at]  # weaker terms that are still to be looked up
+        while (todo := np.flatnonzero(step > 0)).size:
+            place = starts[at[todo]] + step[todo] - 1
+            key = term[place] * len(index.rest) + block[todo]
+            hit = np.minimum(np.searchsorted(index.key, key), len(index.key) - 1)
+            bound[todo] += np.where(index.key[hit] == key, index.bound[hit], 0.0)
+            step[todo] -= 1
+            rest = np.where(step > 0, below[starts[at] + np.maximum(step, 1) - 1], 0.0)
+            live = bound + rest + index.rest[block] >= need - 1e-9
+            at, block, bound, step = at[live], block[live], bound[live], step[live]
+        yield passage[starts[at]], block
+        low = high
+
+
+def _scored(chunk: W.Chunk, h: np.ndarray, pfirst: np.ndarray, p: int, blocks: np.ndarray, index: Index, settings: Settings) -> Iterator[tuple]:
     """The verified hits of passage ``p`` among the items of its opened blocks."""
     i = int(np.searchsorted(pfirst, p, "right")) - 1
     start = int(chunk.first[i] + (p - pfirst[i]) * index.stride)
@@ -238,16 +299,19 @@ def _scored(chunk: W.Chunk, h: np.ndarray, pfirst: np.ndarray, p: int, opened: n
     t = np.searchsorted(index.terms, own)
     t[t == len(index.terms)] = 0
     t = t[index.terms[t] == own]
-    posting = W.ranges(index.at[t], index.at[t + 1] - index.at[t])
-    posting = posting[opened[index.item[posting] // settings.block]]
-    scores = np.bincount(index.item[posting], weights=index.impact[posting], minlength=len(index.items))
-    for j in np.flatnonzero(scores >= settings.threshold):
-        found = []
+    begin = blocks * settings.block
+    items = W.ranges(begin, np.minimum(settings.block, len(index.items) - begin))
+    sizes = index.item_at[items + 1] - index.item_at[items]
+    posting = W.ranges(index.item_at[items], sizes)
+    there = np.isin(index.item_term[posting], t)
+    scores = np.bincount(np.repeat(np.arange(len(items)), sizes)[there], weights=index.impact[posting[there]], minlength=len(items))
+    for at in np.flatnonzero(scores >= settings.threshold):
+        j, found = int(items[at]), []
         for grams, n in ((index.question[j], index.gram[j][0]), (index.answer[j], index.gram[j][1])):
             there, _ = W.windows(words, np.array([0, len(words)]), n)
             found.append(float(np.isin(grams, there).mean()) if len(grams) else 1.0)
         if found[0] >= settings.question and found[1] >= settings.answer:
-            yield i, j, start - int(chunk.first[i]), float(scores[j]), found[0], found[1]
+            yield i, j, start - int(chunk.first[i]), float(scores[at]), found[0], found[1]
 
 
 def _hits_of(batches, indexes: list[Index], settings: Settings):
@@ -270,8 +334,8 @@ PAIRS = "doc_id long, item_id long, passage_word long, score double, question_ov
 
 def _terms_of(batches):
     for batch in batches:
-        found = [(shard, item_words(text)) for shard, text in zip(*(batch.column(c).to_pylist() for c in ("shard", "text")), strict=True)]
-        found = [(shard, h) for shard, h in found if h is not None]
+        shards, texts = (batch.column(c).to_pylist() for c in ("shard", "text"))
+        found = [(shard, h) for shard, h in zip(shards, item_words(texts), strict=True) if h is not None]
         terms = pa.array([np.unique(h).view(np.int64) for _, h in found], pa.list_(pa.int64()))
         yield pa.RecordBatch.from_pydict(
             {"shard": pa.array([k for k, _ in found], pa.int32()), "words": pa.array([len(h) for _, h in found], pa.int64()), "terms": terms}
