@@ -29,6 +29,8 @@ from cohortwise.llm.store import Scratch, map_arrow, stage
 
 U = np.uint64
 K1, B = 1.2, 0.75
+SLACK = 2e-9  # for rounding in sums of bounds
+DENSE = 64  # pairs of passage and block for each named one from which on they are sorted, not laid out
 CELLS = 1 << 20  # pairs of passage and block that a task looks at together
 #: Marks trimmed from both ends of a word before it is compared.
 TRIM = np.zeros(256, bool)
@@ -88,14 +90,15 @@ class Corpus:
 
 @dataclass
 class Index:
-    """Items in order of what shared terms add to them, ``block`` of them a block.
+    """Places of items, in ``order`` of what shared terms add to them, ``block`` of them a block.
 
     ``key`` are the (term, block) pairs with a bound as term x blocks + block,
-    those of term t from ``block_at[t]`` to ``block_at[t + 1]``. Item j's terms
-    and their impacts stand from ``item_at[j]`` to ``item_at[j + 1]``.
+    those of term t from ``block_at[t]`` to ``block_at[t + 1]``. The terms and
+    impacts of the item at place j stand from ``item_at[j]`` to ``item_at[j + 1]``.
     """
 
     items: np.ndarray
+    order: np.ndarray
     terms: np.ndarray
     filter: np.ndarray
     block_at: np.ndarray
@@ -190,8 +193,7 @@ def _index(items: list[tuple[int, str, np.ndarray]], settings: Settings, corpus:
     seen = np.zeros(1 << min(24, max(18, (8 * len(terms)).bit_length())), bool)
     seen[_slots(terms[~common], seen)] = True
     questions, answers, grams = [], [], []
-    for j in order:
-        _, text, h = items[j]
+    for _, text, h in items:
         head = split_item(text)
         parts = []
         for part in (h[:head], h[head:]):
@@ -201,7 +203,7 @@ def _index(items: list[tuple[int, str, np.ndarray]], settings: Settings, corpus:
         answers.append(parts[1][1])
         grams.append((parts[0][0], parts[1][0]))
     return Index(
-        np.array([items[j][0] for j in order], np.int64), terms, seen, np.searchsorted(some // blocks, np.arange(len(terms) + 1)),
+        np.array([i for i, *_ in items], np.int64), order, terms, seen, np.searchsorted(some // blocks, np.arange(len(terms) + 1)),
         some, bound, most, rest, common, np.concatenate([[0], np.cumsum(held[order])]), term, impact,
         questions, answers, grams, stride_of(int(sizes.max()), settings),
     )
@@ -235,7 +237,7 @@ def _search(chunk: W.Chunk, h: np.ndarray, index: Index, settings: Settings) ->
     for passage, block in _opened(pairs // len(index.terms), pairs % len(index.terms), index, settings.threshold):
         own, at = np.unique(passage, return_index=True)
         named.update(zip(own.tolist(), np.split(block, at[1:]), strict=False))
-    always = np.flatnonzero(index.rest >= settings.threshold - 1e-9)  # blocks that need no rare term
+    always = np.flatnonzero(index.rest >= settings.threshold - SLACK)  # blocks that need no rare term
     for p in range(int(pfirst[-1])) if len(always) else named:
         blocks = np.concatenate([always, named.get(p, always[:0])])
         yield from _scored(chunk, h, pfirst, p, blocks, index, settings)
@@ -248,9 +250,9 @@ def _opened(passage: np.ndarray, term: np.ndarray, index: Index, threshold: floa
     """
     if not len(term):
         return
-    need = threshold - 1e-9
-    free = index.rest < need
-    reach = need - index.rest[free].max(initial=-np.inf)  # what rare terms must add at least
+    need = threshold - SLACK
+    floor = np.where(index.rest < need, need - index.rest, np.inf)  # what rare terms must add in each block
+    reach = floor.min()
     order = np.lexsort((index.most[term], passage))
     passage, term = passage[order], term[order]
     most = index.most[term]
@@ -258,7 +260,7 @@ def _opened(passage: np.ndarray, term: np.ndarray, index: Index, threshold: floa
     sums = np.cumsum(most)
     group = np.cumsum(np.append(False, passage[1:] != passage[:-1]))
     below = sums - (sums[starts] - most[starts])[group]  # a term's and all weaker ones' most
-    strong = below >= reach - 1e-9  # the pivot and the terms after it
+    strong = below >= reach  # the pivot and the terms after it
     weak = np.bincount(group[~strong], minlength=len(starts))  # weaker terms come first in a group
     left = np.where(weak > 0, below[starts + np.maximum(weak, 1) - 1], 0.0)
     sizes = np.where(strong, index.block_at[term + 1] - index.block_at[term], 0)
@@ -271,10 +273,15 @@ def _opened(passage: np.ndarray, term: np.ndarray, index: Index, threshold: floa
         posting = W.ranges(index.block_at[term[own]], sizes[own])
         block = index.key[posting] % len(index.rest)
         pair = np.repeat(group[own] - low, sizes[own]) * len(index.rest) + block
-        pair, back = np.unique(pair, return_inverse=True)
-        bound = np.bincount(back, weights=index.bound[posting], minlength=len(pair))
+        if (high - low) * len(index.rest) <= DENSE * len(pair):
+            bound = np.bincount(pair, weights=index.bound[posting], minlength=(high - low) * len(index.rest))
+            pair = np.flatnonzero((bound.reshape(high - low, -1) + left[low:high, None] >= floor) & (bound.reshape(high - low, -1) > 0))
+            bound = bound[pair]
+        else:
+            pair, back = np.unique(pair, return_inverse=True)
+            bound = np.bincount(back, weights=index.bound[posting], minlength=len(pair))
         at, block = pair // len(index.rest) + low, pair % len(index.rest)
-        live = free[block] & (bound + left[at] + index.rest[block] >= need - 1e-9)
+        live = bound + left[at] >= floor[block]
         at, block, bound = at[live], block[live], bound[live]
         step = weak[at]  # weaker terms that are still to be looked up
         while (todo := np.flatnonzero(step > 0)).size:
@@ -284,7 +291,7 @@ def _opened(passage: np.ndarray, term: np.ndarray, index: Index, threshold: floa
             bound[todo] += np.where(index.key[hit] == key, index.bound[hit], 0.0)
             step[todo] -= 1
             rest = np.where(step > 0, below[starts[at] + np.maximum(step, 1) - 1], 0.0)
-            live = bound + rest + index.rest[block] >= need - 1e-9
+            live = bound + rest >= floor[block]
             at, block, bound, step = at[live], block[live], bound[live], step[live]
         yield passage[starts[at]], block
         low = high
@@ -306,7 +313,7 @@ def _scored(chunk: W.Chunk, h: np.ndarray, pfirst: np.ndarray, p: int, blocks: n
     there = np.isin(index.item_term[posting], t)
     scores = np.bincount(np.repeat(np.arange(len(items)), sizes)[there], weights=index.impact[posting[there]], minlength=len(items))
     for at in np.flatnonzero(scores >= settings.threshold):
-        j, found = int(items[at]), []
+        j, found = int(index.order[items[at]]), []
         for grams, n in ((index.question[j], index.gram[j][0]), (index.answer[j], index.gram[j][1])):
             there, _ = W.windows(words, np.array([0, len(words)]), n)
             found.append(float(np.isin(grams, there).mean()) if len(grams) else 1.0)
