@@ -8,12 +8,16 @@ the shortest permitted length that holds its contents.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortwise.llm.store import ship, stage
+from cohortwise.llm import tokens as T
+from cohortwise.llm.store import map_arrow, ship, stage
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 16  # cost of a bin beside its length
@@ -99,17 +103,91 @@ def best_fit_bins(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, ove
     one task, and only its last bins can be less than full.
     """
     units = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long") + 1
-    lengths = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), units.alias("length")), "packing-lengths")
+    lengths = docs.select(F.col("doc_id").cast("long").alias("doc_id"), units.alias("length"))
+    return _bins(stage(lengths, "packing-lengths"), capacities, overhead, block)
+
+
+def _bins(lengths: DataFrame, capacities: tuple[int, ...], overhead: int, block: int) -> DataFrame:
+    """Bins of written ``lengths(doc_id, length)``."""
     blocks = max(1, -(-lengths.count() // block))
     row = F.monotonically_increasing_id()  # repeated rows must not meet in one block
     dealt = lengths.withColumn("block", F.pmod(F.xxhash64("doc_id", "length", row), F.lit(blocks)))
-    ship(docs.sparkSession)
+    ship(lengths.sparkSession)
     return dealt.groupBy("block").applyInArrow(
         lambda table: _packed(table, capacities, overhead),
         "doc_id long, piece int, piece_start long, length long, bin_id long, bin_offset long, bin_capacity long",
     )
 
 
+def _pieces_of(batches, ranks: bytes, settings: T.Settings, top: int) -> Iterator[pa.RecordBatch]:
+    """Each text's token ids, a row per ``top`` of them; ``key`` tells the texts apart."""
+    encoder, made = T.Encoder(ranks, settings.piece), 0
+    task = TaskContext.get().partitionId()
+    for batch in batches:
+        texts, docs = batch.column("text"), batch.column("doc_id")
+        for start, stop in T._slices(texts, settings.slice_bytes):
+            ids, offsets = encoder.encode(texts.slice(start, stop - start), settings.end)
+            pieces = -(-np.diff(offsets) // top)
+            doc = np.repeat(np.arange(stop - start), pieces)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            cuts = np.append(offsets[doc] + piece * top, offsets[-1]).astype(np.int32)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "key": pa.array((task << 33) + made + doc),
+                    "doc_id": docs.slice(start, stop - start).take(pa.array(doc)),
+                    "piece": pa.array(piece.astype(np.int32)),
+                    "ids": pa.ListArray.from_arrays(pa.array(cuts), pa.array(ids)),
+                }
+            )
+            made += stop - start
+
+
+def packed_sequences(
+    docs: DataFrame,
+    vocabulary: str = T.VOCABULARY,
+    capacities: tuple[int, ...] = CAPACITIES,
+    overhead: int = OVERHEAD,
+    block: int = BLOCK,
+    settings: T.Settings = T.Settings(),
+) -> DataFrame:
+    """Packed token sequences of all whole texts of ``docs(doc_id, text)``, one row per bin.
+
+    Lengths are numbers of tokens, ``settings.end`` closes every text, and bins
+    are chosen as by ``best_fit_bins``. Returns ``bin_id``, ``bin_capacity``,
+    ``n_tokens``, ``ids`` (without padding), ``cu_seqlens`` (0 and the end of
+    each segment) and, by segment, ``doc_ids`` and ``doc_starts`` (its first
+    token in its document). A text longer than the largest capacity is split
+    without loss; a null or empty one is its end token alone. Repeated rows
+    and null ids are packed like any other, other columns are ignored, and an
+    empty table gives no rows.
+
+    Texts are encoded once, into written rows of at most the largest capacity;
+    a bin's rows, which its capacity bounds, meet in one aggregate.
+    """
+    top = max(capacities)
+    with open(vocabulary, "rb") as file:
+        ranks = docs.sparkSession.sparkContext.broadcast(file.read())
+    texts = docs.selectExpr("cast(doc_id as long) as doc_id", "text")
+    pieces = map_arrow(
+        texts, lambda batches: _pieces_of(batches, ranks.value, settings, top), "key long, doc_id long, piece int, ids array<int>"
+    )
+    pieces = stage(pieces, "packing-pieces")
+    lengths = pieces.groupBy(F.col("key").alias("doc_id")).agg(F.sum(F.size("ids")).alias("length"))
+    bins = _bins(stage(lengths, "packing-lengths"), capacities, overhead, block).withColumnRenamed("doc_id", "key")
+    segment = F.struct("bin_offset", "doc_id", "piece_start", "length", "ids")
+    held = bins.join(pieces, ["key", "piece"]).groupBy("bin_id", "bin_capacity").agg(F.array_sort(F.collect_list(segment)).alias("s"))
+    ends = F.transform("s", lambda x: (x["bin_offset"] + x["length"]).cast("int"))
+    return held.select(
+        "bin_id",
+        "bin_capacity",
+        F.aggregate("s", F.lit(0).cast("long"), lambda n, x: n + x["length"]).alias("n_tokens"),
+        F.flatten(F.col("s.ids")).alias("ids"),
+        F.concat(F.array(F.lit(0)), ends).alias("cu_seqlens"),
+        F.col("s.doc_id").alias("doc_ids"),
+        F.col("s.piece_start").alias("doc_starts"),
+    )
+
+
 def op6_flexible_packing(spark, sf_dir: str) -> DataFrame:
     """Bins for the whole ``documents`` table."""
     return best_fit_bins(spark.read.parquet(f"{sf_dir}/documents.parquet"))
