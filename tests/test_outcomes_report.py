@@ -156,3 +156,91 @@ def test_one_person_with_most_spells_and_events(spark):
     lived = {(i % 50, i % 50 + i % 7, i % 2) for i in range(20_000)}
     base = dt.date(2000, 1, 1)
     assert got == {(base + dt.timedelta(days=x), q) for x in range(70) for a, b, q in lived if a <= x <= b}
+
+
+def _stay_tables(spark, n=300):
+    """Diagnoses, episodes, spells, lookup and dictionary with repeated rows, null codes and null persons."""
+    rng = random.Random(7)
+    codes = ["A01", "A02", "B03", None]
+    diag = [("P", rng.randint(0, 40), f"0{rng.randint(1, 2)}", 1, "x", c, rng.choice([f"{c}1", f"{c}2", None])) for c in codes for _ in range(n // 4)]
+    epi = [("P", s, e, d("2000-01-01") + dt.timedelta(days=s % 9), d("2000-02-01")) for s in range(40) for e in ("01", "02")]
+    spl = [(None if s % 13 == 0 else s % 5, "P", s, d("2000-01-01") + dt.timedelta(days=s % 4), d("2000-03-01")) for s in range(38)]
+    look = [(c, "t" + c, c[:3], "t" + c[:3], len(c), int(c == "A02"), k, "c") for c in ("A01", "A02", "A011", "A012", "B032") for k in ("C", "D")]
+    dic = [(None, c, "t" + c if i else "other", None) for i, c in enumerate(("A011", "A012", "A012", "B031"))]
+    return [
+        spark.createDataFrame(diag + diag[:20], "provider_cd string, spell_id long, epi_num string, diag_num int, diag_cd string, diag_cd_123 string, diag_cd_1234 string"),
+        spark.createDataFrame(epi + epi[:9], "provider_cd string, spell_id long, epi_num string, epi_str_dt date, epi_end_dt date"),
+        spark.createDataFrame(spl + spl[:9], "person_id long, provider_cd string, spell_id long, admis_dt date, disch_dt date"),
+        spark.createDataFrame(look + look[:3], "code string, description string, code3 string, title3 string, code_length int, sensitive int, concept string, concept_type string"),
+        spark.createDataFrame(dic, "code string, alt_code string, description string, effective_to date"),
+    ]
+
+
+def _matched_plainly(tables):
+    diag, epi, spl, look, dic = [t.collect() for t in tables]
+    out = set()
+    for g in diag:
+        for e in epi:
+            for s in spl:
+                if (g.provider_cd, g.spell_id, g.epi_num) != (e.provider_cd, e.spell_id, e.epi_num) or (s.provider_cd, s.spell_id) != (g.provider_cd, g.spell_id):
+                    continue
+                for k in look:
+                    if k.sensitive or k.code != (g.diag_cd_123 if k.code_length == 3 else g.diag_cd_1234):
+                        continue
+                    titles = [x.description for x in dic if x.alt_code == g.diag_cd_1234 is not None] or [None]
+                    for t in titles if k.code_length == 3 else [k.description]:
+                        out.add((k.concept, s.person_id, g.provider_cd, g.spell_id, s.admis_dt, s.disch_dt, e.epi_str_dt, e.epi_end_dt, g.epi_num,
+                                 g.diag_num, g.diag_cd, g.diag_cd_123, k.title3, g.diag_cd_1234, t))
+    return out
+
+
+def test_hospital_matches_of_written_stays(spark):
+    """Whole and in two steps, the matches are those of nested loops; ranks agree whether persons are hot or not."""
+    tables = _stay_tables(spark)
+    want = _matched_plainly(tables)
+    got = O.match_hospital(*tables)
+    assert got.columns == O.HOSP_COLUMNS
+    assert Counter(map(tuple, got.collect())) == Counter(want) and len(want) > 100
+    w = Window.partitionBy("concept", "person_id").orderBy(*[F.col(c).asc_nulls_first() for c in O.HOSP_RANK_ORDER])
+    ranked = Counter(map(tuple, got.withColumn("event_seq", F.rank().over(w)).collect()))
+    assert Counter(map(tuple, O.hospital_outcomes(*tables).collect())) == ranked
+    assert Counter(map(tuple, O.hospital_outcomes(*tables, write=lambda df: df).collect())) == ranked
+    hot = spark.createDataFrame([(1,), (3,), (None,)], "person_id long")
+    assert Counter(map(tuple, O.rank_events(got, O.HOSP_RANK_ORDER, hot).collect())) == ranked
+
+
+def test_rows_of_all_concepts_are_not_shuffled(spark):
+    """From the stays on, matching, ranking, ages and numbering need no shuffle of the rows of all concepts."""
+    diag, epi, spl, look, dic = _stay_tables(spark)
+    stays = O.diagnosis_stays(diag, epi, spl, look)
+    none = spark.createDataFrame([], "person_id long")
+    ranked = O.rank_events(O.match_by_person(stays, look, dic), O.HOSP_RANK_ORDER, none)
+    cohort = spark.createDataFrame([(1, 1, d("1950-01-01")), (1, 1, d("1950-01-02"))], "person_id long, sex_cd int, birth_dt date")
+    plan = R.age_at_event(ranked, cohort, "admis_dt")._jdf.queryExecution().executedPlan().toString()
+    after = plan[: plan.index("HashAggregate")] if "HashAggregate" in plan else plan
+    assert "hashpartitioning(concept" not in plan and "hashpartitioning(person_id#" in plan
+    assert after.count("Window") == 1
+
+
+def test_numbering_with_persons_known_to_be_hot(spark):
+    rng = random.Random(9)
+    rows = [(rng.randint(0, 4), rng.choice("CD"), d("2000-01-01") + dt.timedelta(days=rng.randint(0, 3)), i) for i in range(200)]
+    df = spark.createDataFrame(rows, "person_id long, concept string, event_dt date, uid int")
+    aged = df.withColumns({"sex_cd": F.lit(1), "age_event": F.lit(40)})
+    history = spark.createDataFrame([(1, d("2000-01-01"), d("2000-01-02"), 2)], "person_id long, active_from date, active_to date, dep1_quintile int")
+    order = ["event_dt", "uid", "area_quintile"]
+    plain = Counter(map(tuple, R.enrich_events(aged, df, history, "event_dt", order).collect()))
+    for hot in ([], [(1,), (2,)], [(i,) for i in range(5)]):
+        known = spark.createDataFrame(hot, "person_id long")
+        assert Counter(map(tuple, R.enrich_events(aged, df, history, "event_dt", order, hot=known).collect())) == plain
+
+
+def test_partitions_follow_the_rows(spark):
+    from cohortwise.plans.sizing import dealt, partitions_for, stage_settings
+
+    assert partitions_for(spark, 10) == 4 and partitions_for(spark, 1_000_001) == 11
+    assert dealt(spark.range(1000), "id", 10).rdd.getNumPartitions() == 100
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.requireAllClusterKeysForCoPartition")}
+    with stage_settings(spark, 2_000_000):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "10"
+    assert {k: spark.conf.get(k, None) for k in before} == before
