@@ -239,7 +239,10 @@ def test_partitions_follow_the_rows(spark):
     from cohortwise.plans.sizing import dealt, partitions_for, stage_settings
 
     assert partitions_for(spark, 10) == 4 and partitions_for(spark, 1_000_001) == 11
-    assert dealt(spark.range(1000), "id", 10).rdd.getNumPartitions() == 100
+    rows = spark.range(0, 1000, 1, 3)
+    assert dealt(rows, "id", task_rows=10).rdd.getNumPartitions() == 100
+    assert dealt(rows, "id", rows.limit(0), 10).rdd.getNumPartitions() == 100
+    assert dealt(rows, "id", rows.limit(1), 10).rdd.getNumPartitions() == 3  # a hot key's rows stay in all tasks
     before = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.requireAllClusterKeysForCoPartition")}
     with stage_settings(spark, 2_000_000):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "10"
