@@ -5,6 +5,7 @@ import datetime as dt
 from collections import Counter
 
 from conftest import d
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -247,3 +248,68 @@ def test_partitions_follow_the_rows(spark):
     with stage_settings(spark, 2_000_000):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "10"
     assert {k: spark.conf.get(k, None) for k in before} == before
+
+
+def _cohort_with_doubles(spark):
+    """Persons with several cohort rows of equal and different birth dates and sexes; person 4 is no member."""
+    rows = [(0, 1, d("1950-01-05")), (1, 1, d("1950-01-01")), (1, 1, d("1950-01-03")), (1, 2, d("1950-01-01")), (2, None, None),
+            (2, 2, d("1960-01-01")), (3, 2, d("1960-01-02")), (3, 2, d("1960-01-02"))]
+    return spark.createDataFrame(rows, "person_id long, sex_cd int, birth_dt date")
+
+
+def _crossing_places(spark):
+    spells = [(p, d("2000-01-01"), d("2000-01-02"), 1 + p) for p in range(5)] + [(1, d("2000-01-02"), d("2000-02-01"), None), (3, d("1999-01-01"), d("2001-01-01"), 1)]
+    return spark.createDataFrame(spells, "person_id long, active_from date, active_to date, dep1_quintile int")
+
+
+@pytest.mark.parametrize("members", [False, True])
+def test_enriched_by_day_as_row_by_row(spark, members):
+    """Ages and places taken by day, and one sort for ranks and numbers, give the rows of the steps one after the other."""
+    rng = random.Random(3)
+    rows = {(rng.choice(["C", "D", None]), rng.randint(0, 4), d("2000-01-01") + dt.timedelta(days=rng.randint(0, 3)), rng.choice([None, 1, 2, 3])) for _ in range(160)}
+    matched = spark.createDataFrame(sorted(rows, key=str), "concept string, person_id long, event_dt date, uid int")
+    cohort, history = _cohort_with_doubles(spark), _crossing_places(spark)
+    order = ["event_dt", "uid", "event_seq", "sex_cd", "age_event", "area_quintile"]
+    none = spark.createDataFrame([], "person_id long")
+    aged = R.age_at_event(O.rank_events(matched, ["event_dt"], none), cohort, "event_dt")
+    plain = R.enrich_events(aged, matched, history, "event_dt", order, cohort if members else None, hot=none)
+    want = Counter(map(tuple, plain.collect()))
+    assert sum(want.values()) > len(rows) / 2 and max(want.values()) == 1
+    placed = matched.join(R.facts_of_days(matched, cohort, history, "event_dt", members), ["person_id", "event_dt"])
+    placed = placed.select(*matched.columns, "facts")
+    for hot in ([], [(1,), (3,)], [(i,) for i in range(5)]):
+        out = R.enrich_by_day(placed, ["event_dt"], order, spark.createDataFrame(hot, "person_id long"))
+        assert sorted(out.columns) == sorted(plain.columns)
+        assert Counter(map(tuple, out.select(*plain.columns).collect())) == want
+
+
+def test_rows_of_all_concepts_are_sorted_once(spark, tmp_path):
+    """From the written stays on, one sort by person and concept serves ranks and numbers, and no distinct follows it."""
+    diag, epi, spl, look, dic = _stay_tables(spark)
+    kept = {"stays": O.diagnosis_stays(diag, epi, spl, look)}
+    kept["facts"] = R.facts_of_days(kept["stays"], _cohort_with_doubles(spark), _crossing_places(spark), "admis_dt")
+    for name, df in kept.items():
+        df.write.parquet(str(tmp_path / name))
+        kept[name] = spark.read.parquet(str(tmp_path / name))
+    none = spark.createDataFrame([], "person_id long")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = O.match_by_person(kept["stays"], look, dic, none, facts=kept["facts"])
+        plan = R.enrich_by_day(rows, O.HOSP_RANK_ORDER, R.HOSP_ORDER, none)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    above = plan[: plan.index("BroadcastHashJoin")]
+    assert above.count("Window") == 2 and above.count("Sort [") == 1
+    assert "Aggregate" not in above and "Exchange" not in above
+
+
+def test_report_writes_the_columns_that_it_reads(spark):
+    """A report query alone keeps no wide stage; a written one is taken as it is."""
+    from cohortwise.plans.study import Study
+
+    study = Study(spark, "/root/testdata/sf0.001")
+    gp, hosp = study.reported
+    assert "hosp_enriched" not in study.__dict__ and (gp.columns, hosp.columns) == (R.GP_REPORTED, R.HOSP_REPORTED)
+    whole = study.hosp_enriched.select(*R.HOSP_REPORTED)
+    assert Counter(map(tuple, hosp.collect())) == Counter(map(tuple, whole.collect())) and whole.count() > 0
