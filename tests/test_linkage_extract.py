@@ -164,3 +164,17 @@ def test_persons_of_many_tables_take_one_shuffle(spark):
     assert [(r.name, r.n) for r in counts.collect()] == [(f"t{i}", min(i * 3, 7)) for i in range(20)]
     with pytest.raises(ValueError):
         persons_by_tag({str(i): tables["t1"] for i in range(64)}, "name")
+
+
+def test_extract_checks_write_no_extract(spark):
+    """The check counts persons of plans that read little more than the person; a written extract is taken as it is."""
+    from cohortwise.operators.extract import extract_checks
+    from cohortwise.plans.study import Study
+
+    study = Study(spark, "/root/testdata/sf0.001")
+    counted = {r["extract"]: r.n for r in extract_checks(study.extracts()).collect()}
+    assert {n for n in study.__dict__ if n.endswith("_extract")} == {"spell_extract"}
+    written = {name: getattr(study, name) for name in ("gp_extract", "diag_extract", "outpatient_diag_extract")}
+    assert study.extracts()["gp_events"] is written["gp_extract"]
+    want = {name: df.where("person_id IS NOT NULL").select("person_id").distinct().count() for name, df in study.extracts().items()}
+    assert counted == want and min(want[n] for n in ("gp_events", "hospital_diagnoses")) > 0
